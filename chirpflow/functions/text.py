@@ -56,8 +56,9 @@ def space_tokens(c: Column | str) -> Column:
 
 
 def whitespace_tokens(c: Column | str) -> Column:
-    """split on whitespace runs, no empty tokens (Python ``str.split()``)."""
-    return F.filter(F.split(_col(c), C.PY_WHITESPACE_RUN), lambda t: t != "")
+    """split on whitespace runs, no empty tokens (Python ``str.split()``).
+    ``array_remove`` (not a lambda ``filter``) keeps it inside whole-stage codegen."""
+    return F.array_remove(F.split(_col(c), C.PY_WHITESPACE_RUN), "")
 
 
 def word_count(c: Column | str) -> Column:
@@ -100,7 +101,7 @@ def regex_tokens(c: Column | str, unicode: bool = False) -> Column:
     stream needs no ML stage.
     """
     sep = C.NON_WORD_UNICODE if unicode else C.NON_WORD
-    return F.filter(F.split(F.lower(_col(c)), sep), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_col(c)), sep), "")
 
 
 def shape(c: Column | str = "text") -> list[Column]:

@@ -90,10 +90,19 @@ def doc_terms(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "do
               text_col: str = "text") -> DataFrame:
     """Per-document term counts ``(id, term, tf)``."""
     p = get_profile(profile)
-    toks = tokenize(df, p, text_col).select(id_col, F.explode(p.tokens_col).alias("term"))
+    toks = explode_tokens(tokenize(df, p, text_col), [id_col], p.tokens_col, "term")
     return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def explode_tokens(df: DataFrame, keep: list[str], arr: str | Column, name: str) -> DataFrame:
+    """One row per array element.  ``explode_outer`` + a NOT NULL filter above
+    it instead of ``explode``: for a plain explode Catalyst infers
+    ``size(arr) > 0`` and pushes it below joins and exchanges, which evaluates
+    the whole tokenizer a second time."""
+    a = F.col(arr) if isinstance(arr, str) else arr
+    return df.select(*keep, F.explode_outer(a).alias(name)).filter(F.col(name).isNotNull())
+
+
 def term_stats(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """A4: corpus term frequency and document frequency ``(term, tf, df)``."""

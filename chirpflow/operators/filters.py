@@ -11,14 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.text import regex_tokens
 
-# A keyword table with at most this many rows is inlined into the plan as a
-# literal map (no shuffle, stream-safe).  Bigger tables take the join path.
+# A keyword table with at most this many topics and keywords is inlined into
+# the plan as literals (no shuffle, stream-safe, whole-stage codegen).  Bigger
+# tables take the join path.
+MAX_INLINE_TOPICS = 64
 MAX_INLINE_KEYWORDS = 10_000
 
 
@@ -44,24 +46,20 @@ def routes_frame(spark: SparkSession,
     return spark.createDataFrame(rows, "topic string, keyword string")
 
 
-def _inline_topics(routes: DataFrame, tokens: Column) -> Column | None:
-    """Topics of a token array through a literal keyword->topics map, or None
-    when the keyword table is too big to inline."""
-    small = routes.select(F.lower("keyword").alias("k"), "topic").distinct()
+def _inline_routes(routes: DataFrame) -> dict[str, list[str]] | None:
+    """``{topic: [keywords]}`` of a small keyword table, or None when the table
+    is over the inline limits.  At most ``MAX_INLINE_KEYWORDS + 1`` rows are
+    fetched, so the size check itself is bounded."""
+    small = routes.select("topic", F.lower("keyword").alias("k")).distinct()
     rows = small.limit(MAX_INLINE_KEYWORDS + 1).collect()
     if len(rows) > MAX_INLINE_KEYWORDS:
         return None
-    by_kw: dict[str, set[str]] = {}
+    by_topic: dict[str, set[str]] = {}
     for r in rows:
-        by_kw.setdefault(r.k, set()).add(r.topic)
-    if not by_kw:
-        return F.array().cast("array<string>")
-    kw_map = F.create_map(*[x for k in sorted(by_kw)
-                            for x in (F.lit(k), F.array(*[F.lit(t) for t in sorted(by_kw[k])]))])
-    hit = F.transform(F.array_distinct(tokens),
-                      lambda t: F.coalesce(F.element_at(kw_map, t),
-                                           F.array().cast("array<string>")))
-    return F.array_distinct(F.flatten(hit))
+        by_topic.setdefault(r.topic, set()).add(r.k)
+    if len(by_topic) > MAX_INLINE_TOPICS:
+        return None
+    return {t: sorted(k) for t, k in sorted(by_topic.items())}
 
 
 def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
@@ -70,22 +68,34 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
     """One row per (text, topic) match: ``id_col, topic, *keep``.
 
     Small keyword tables (the normal case: a handful of keywords per topic) are
-    inlined as a literal map, so routing is a narrow projection + explode with no
-    shuffle; this also works on a stream.  A larger table goes through an
+    inlined as literal arrays, one ``arrays_overlap`` per topic over the text's
+    distinct tokens; routing is a narrow projection + explode with no shuffle,
+    inside whole-stage codegen, and works on a stream.  (There is deliberately
+    no separate pre-filter on the raw text: Catalyst would push it below a
+    repartition and tokenize twice.)  A larger table goes through an
     equi-join on the token (Spark broadcasts it only if its measured size is
     under the broadcast threshold; AQE splits a hot token) and a distinct on
     ``(id, topic)``, whose partial aggregate removes duplicates before the
     shuffle.
     """
-    tokens = regex_tokens(text_col, unicode)
-    topics = _inline_topics(routes, tokens)
     cols = [id_col, *keep]
-    if topics is not None:
-        return (df.select(*cols, F.explode(topics).alias("topic"))
+    tokens = F.array_distinct(regex_tokens(text_col, unicode))
+    inline = _inline_routes(routes)
+    if inline is not None:
+        if not inline:
+            return df.select(*cols, F.lit(None).cast("string").alias("topic")).limit(0) \
+                .select(id_col, "topic", *keep)
+        lit_array = lambda ws: F.array(*[F.lit(w) for w in ws])
+        hits = F.array(*[F.when(F.arrays_overlap(F.col("_tokens"), lit_array(ws)), F.lit(t))
+                         for t, ws in inline.items()])
+        return (df.select(*cols, tokens.alias("_tokens"))
+                .select(*cols, F.explode_outer(hits).alias("topic"))
+                .filter(F.col("topic").isNotNull())
                 .select(id_col, "topic", *keep))
     if df.isStreaming:
         raise ValueError("keyword table too large to inline for a streaming frame")
     kw = routes.select(F.lower("keyword").alias("token"), "topic").distinct()
-    toks = df.select(*cols, F.explode(F.array_distinct(tokens)).alias("token"))
+    toks = (df.select(*cols, F.explode_outer(tokens).alias("token"))
+            .filter(F.col("token").isNotNull()))
     return (toks.join(kw, "token").select(id_col, "topic", *keep)
             .dropDuplicates([id_col, "topic"]))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
     RandomForestClassifier,
@@ -21,7 +21,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import ENGLISH, WEIGHTS, Profile, feature_pipeline, get_profile, idf_weights, tfidf_terms
+from .features import ENGLISH, WEIGHTS, Profile, get_profile, idf_weights, tfidf_terms
 
 
 def classifier(name: str, label_col: str = "label"):
@@ -43,20 +43,35 @@ def classifier(name: str, label_col: str = "label"):
 def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
                names: Sequence[str] = ("lr", "nb"), text_col: str = "text",
                label_col: str = "label") -> dict[str, PipelineModel]:
-    """M9: fit the feature stages once, then one classifier per name."""
+    """M9: fit the feature stages once, then one classifier per name.
+
+    The training text is scanned and tokenized once: the token arrays are
+    persisted (MEMORY_AND_DISK, recomputed from lineage if an executor is
+    lost) for the vectorizer and IDF passes, then the TF-IDF vectors are
+    persisted for the iterative classifier fits and the tokens released.
+    """
     p = get_profile(profile)
-    prepared = p.prepare(train, text_col)
-    feats = feature_pipeline(p, text_col).fit(prepared)
-    featurized = feats.transform(prepared).select(WEIGHTS, label_col)
-    featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
+    token_stages = p.token_stages(text_col)
+    tokens = p.prepare(train, text_col)
+    if token_stages:
+        tokens = PipelineModel(stages=token_stages).transform(tokens)
+    tokens = tokens.select(p.tokens_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    featurized = None
     try:
+        vec = Pipeline(stages=p.feature_stages(text_col)[len(token_stages):]).fit(tokens)
+        featurized = (vec.transform(tokens).select(WEIGHTS, label_col)
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+        featurized.count()
+        tokens.unpersist()
         models = {}
         for name in names:
             clf = classifier(name, label_col).fit(featurized)
-            models[name] = PipelineModel(stages=[*feats.stages, clf])
+            models[name] = PipelineModel(stages=[*token_stages, *vec.stages, clf])
         return models
     finally:
-        featurized.unpersist()
+        tokens.unpersist()
+        if featurized is not None:
+            featurized.unpersist()
 
 
 def score_texts(df: DataFrame, model: PipelineModel, profile: str | Profile = ENGLISH,

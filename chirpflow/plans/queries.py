@@ -45,7 +45,7 @@ SINK_TOPIC = "tweets"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return read_table(spark, sf_dir, "documents", spread=True)
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,13 +86,13 @@ def strip_retweet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strip_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 on raw web pages (every page has URLs)."""
-    return read_table(spark, sf_dir, "pages").select(
+    return read_table(spark, sf_dir, "pages", spread=True).select(
         "page_id", T.strip_urls("html").alias("text"))
 
 
 def clean_tweet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 on pages with a retweet marker prepended: marker and URLs removed."""
-    df = _with_retweet_marker(read_table(spark, sf_dir, "pages"), "page_id", "html")
+    df = _with_retweet_marker(read_table(spark, sf_dir, "pages", spread=True), "page_id", "html")
     return df.select("page_id", *T.shape(T.clean_tweet("text")))
 
 
@@ -321,7 +321,7 @@ def whitespace_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score the ``benchmark`` texts with both models."""
     models, _ = _fitted(spark, sf_dir, ("lr", "nb"))
-    items = read_table(spark, sf_dir, "benchmark")
+    items = read_table(spark, sf_dir, "benchmark", spread=True)
     lr = M.score_texts(items, models["lr"]).select("item_id", F.col("prediction").alias("lr"))
     nb = M.score_texts(items, models["nb"]).select("item_id", F.col("prediction").alias("nb"))
     return lr.join(nb, "item_id")

@@ -14,9 +14,29 @@ TEXT_SCHEMA = StructType([StructField("text", StringType(), True)])
 CSV_SCHEMA = "col0 INT, col1 STRING"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's Parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One of the driver's Parquet tables (``spread``: see ``spread_small_scan``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if spread else df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work enough tasks when the input has few splits.
+
+    Parquet splits at row-group granularity, so a file with one row group is
+    read by one task however many cores wait (and the other splits of that file
+    come up empty).  When a scan yields fewer than twice as many splits as the
+    default parallelism, the rows are spread round-robin over one partition per
+    core (a shuffle of the pruned columns only: Catalyst pushes projections
+    below it).  A large input has far more splits than cores, so there this is
+    a no-op and adds no shuffle.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores)
 
 
 def read_json_texts(spark: SparkSession, path: str, schema: StructType | str | None = TEXT_SCHEMA,
