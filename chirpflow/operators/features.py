@@ -16,6 +16,7 @@ mapper and never lands whole on one reducer.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -87,14 +88,15 @@ def tokenize(df: DataFrame, profile: str | Profile = ENGLISH, text_col: str = "t
 
 
 def doc_terms(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
-    """Per-document term counts ``(id, term, tf)``."""
+              text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Per-document term counts ``(id, *keep, term, tf)``; ``keep`` columns must
+    be functions of the document (label, split side)."""
     p = get_profile(profile)
-    toks = explode_tokens(tokenize(df, p, text_col), [id_col], p.tokens_col, "term")
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    toks = explode_tokens(tokenize(df, p, text_col), [id_col, *keep], p.tokens_col, "term")
+    return toks.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def explode_tokens(df: DataFrame, keep: list[str], arr: str | Column, name: str) -> DataFrame:
+def explode_tokens(df: DataFrame, keep: Sequence[str], arr: str | Column, name: str) -> DataFrame:
     """One row per array element.  ``explode_outer`` + a NOT NULL filter above
     it instead of ``explode``: for a plain explode Catalyst infers
     ``size(arr) > 0`` and pushes it below joins and exchanges, which evaluates
@@ -121,11 +123,32 @@ def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
 def idf_weights(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """A5: ``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))``, m = training
-    documents.  ``m`` is a scalar subquery: Spark runs it as its own small job
-    and folds the value into the plan."""
+    documents."""
     p = get_profile(profile)
-    m = p.prepare(train, text_col).select(F.count(F.lit(1))).scalar()
-    stats = term_stats(train, p, id_col, text_col)
+    return idf_from_terms(doc_terms(train, p, id_col, text_col), doc_count(train, p, text_col))
+
+
+def doc_count(df: DataFrame, p: Profile, text_col: str, fit: Column | None = None) -> Column:
+    """Number of (prepared) documents as a scalar subquery: Spark runs it as
+    its own small job, pruned to the columns it needs, and folds the value in."""
+    prepared = p.prepare(df, text_col)
+    if fit is not None:
+        prepared = prepared.filter(fit)
+    return prepared.select(F.count(F.lit(1))).scalar()
+
+
+def idf_from_terms(terms: DataFrame, m: Column, fit: Column | None = None) -> DataFrame:
+    """IDF from per-document terms, counting only rows where ``fit`` holds.
+
+    The count reads ``tf`` (always >= 1) on purpose: column pruning would
+    otherwise drop the per-document count from this branch, its plan would
+    differ from the weights branch of ``tfidf_terms``, and Spark would tokenize
+    the corpus a second time instead of reusing the shuffle."""
+    present = F.col("tf") > 0
+    df_col = F.count_if(present) if fit is None else F.count_if(fit & present)
+    stats = terms.groupBy("term").agg(df_col.alias("df"))
+    if fit is not None:
+        stats = stats.filter(F.col("df") > 0)
     return stats.select("term", "df", idf_column(m, F.col("df")).alias("idf"))
 
 
@@ -133,15 +156,27 @@ def idf_column(m: Column, df_col: Column) -> Column:
     return F.log((m.cast("double") + 1.0) / (df_col.cast("double") + 1.0))
 
 
-def tfidf_terms(docs: DataFrame, idf: DataFrame, profile: str | Profile = ENGLISH,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """M4 in long form: ``(id, term, tf, weight)``; terms outside the IDF
-    vocabulary are dropped, as the fitted vectorizer ignores them.  The join is
-    on ``term``: the IDF table is one row per term, so Spark broadcasts it when
-    it measures small and shuffles both sides otherwise."""
-    terms = doc_terms(docs, profile, id_col, text_col)
+def tfidf_terms(docs: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
+                text_col: str = "text", fit: Column | None = None,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """M4 in long form: ``(id, *keep, term, tf, weight)`` for every document,
+    with the IDF fitted on the rows where ``fit`` holds (all rows if None).
+    Terms the IDF has not seen are dropped, as the fitted vectorizer ignores
+    them.
+
+    The text is tokenized once: the IDF is a conditional count over the same
+    per-document terms, so both branches share one shuffle (Spark reuses the
+    exchange).  The IDF table has one row per term; Spark broadcasts it when
+    it measures small and shuffles both sides on ``term`` otherwise.
+    """
+    p = get_profile(profile)
+    fit_keep = ["_fit"] if fit is not None else []
+    base = docs.withColumn("_fit", fit) if fit is not None else docs
+    terms = doc_terms(base, p, id_col, text_col, [*keep, *fit_keep])
+    m = doc_count(docs, p, text_col, fit)
+    idf = idf_from_terms(terms, m, F.col("_fit") if fit is not None else None)
     return (terms.join(idf.select("term", "idf"), "term")
-            .select(id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
+            .select(id_col, *keep, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
 
 
 def feature_pipeline(profile: str | Profile = ENGLISH, text_col: str = "text") -> Pipeline:

@@ -21,7 +21,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import ENGLISH, WEIGHTS, Profile, get_profile, idf_weights, tfidf_terms
+from .features import (
+    ENGLISH, WEIGHTS, Profile, doc_count, doc_terms, get_profile, idf_from_terms,
+)
 
 
 def classifier(name: str, label_col: str = "label"):
@@ -122,15 +124,16 @@ def nb_parameters(train: DataFrame, profile: str | Profile = ENGLISH, id_col: st
     """A6, likelihoods of multinomial NB on TF-IDF with smoothing 1, in long form
     ``(label, term, mass, log_theta)`` for every observed (label, term):
     ``log_theta = ln(mass + 1) - ln(total_c + V)``; unobserved pairs have
-    ``mass = 0``.  Computed with joins and aggregations only, so it is a check of
-    the fitted MLlib model that runs at any scale."""
+    ``mass = 0``.  Computed with joins and aggregations only (the label rides
+    along with each document's terms, so no join back to the labels), as a check
+    of the fitted MLlib model that runs at any scale."""
     p = get_profile(profile)
-    idf = idf_weights(train, p, id_col, text_col)
+    terms = doc_terms(train, p, id_col, text_col, keep=[label_col])
+    idf = idf_from_terms(terms, doc_count(train, p, text_col))
     vocab = idf.select(F.count(F.lit(1))).scalar()
-    weights = tfidf_terms(train, idf, p, id_col, text_col)
-    labels = p.prepare(train, text_col).select(id_col, label_col)
-    mass = (weights.join(labels, id_col)
-            .groupBy(label_col, "term").agg(F.sum("weight").alias("mass")))
+    weights = terms.join(idf.select("term", "idf"), "term").select(
+        label_col, "term", (F.col("tf") * F.col("idf")).alias("weight"))
+    mass = weights.groupBy(label_col, "term").agg(F.sum("weight").alias("mass"))
     totals = mass.groupBy(label_col).agg(F.sum("mass").alias("total"))
     return (mass.join(totals, label_col)
             .select(label_col, "term", "mass",

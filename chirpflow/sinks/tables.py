@@ -8,10 +8,14 @@ with the query checkpoint this gives exactly-once rows in the table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import spread_small_scan
+
 
 def append_to_table(df: DataFrame, table: str, path: str | None = None,
                     fmt: str = "parquet") -> None:
@@ -24,12 +28,20 @@ def append_to_table(df: DataFrame, table: str, path: str | None = None,
 
 
 def append_batch(batch: DataFrame, batch_id: int, path: str, table: str | None = None,
-                 fmt: str = "parquet") -> None:
+                 fmt: str = "parquet",
+                 transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K2 for one micro-batch (the ``foreachBatch`` body).  Skips empty
     batches (P9), overwrites only this batch's partition, and keeps an
-    optional catalog table over the folder up to date."""
+    optional catalog table over the folder up to date.
+
+    ``transform`` is a stateless per-batch step applied after the batch is
+    spread over the cores (``spread_small_scan``): a micro-batch of a few
+    large files otherwise runs its text work in a handful of tasks.  The
+    emptiness check runs on the raw batch, before any text work."""
     if batch.isEmpty():
         return
+    if transform is not None:
+        batch = transform(spread_small_scan(batch))
     (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").format(fmt).save(path))

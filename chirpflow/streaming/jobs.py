@@ -9,7 +9,7 @@ functions serve batch frames.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +46,15 @@ def shape_stream(df: DataFrame, keep: Sequence[str] = (), clean: bool = True,
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                 table: str | None = None, wait: bool | None = None) -> StreamingQuery:
+                 table: str | None = None, wait: bool | None = None,
+                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """T3 + T4 + T6 + K2: append every micro-batch to the table at ``path``.
+    ``transform`` is an optional stateless per-batch step (see ``append_batch``).
     With the default drain trigger the call blocks until the input is consumed."""
     trig = trigger or DRAIN_TRIGGER
     q = (df.writeStream
-         .foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path, table))
+         .foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path, table,
+                                                            transform=transform))
          .option("checkpointLocation", checkpoint)
          .trigger(**trig)
          .start())
