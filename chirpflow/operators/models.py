@@ -9,6 +9,7 @@ applied the same way for training and scoring.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -42,6 +43,18 @@ def classifier(name: str, label_col: str = "label"):
     raise ValueError(f"unknown classifier {name!r}")
 
 
+# Rows per partition of the cached training vectors.  Iterative fits (L-BFGS)
+# pay a per-task cost on every iteration (dense gradient and coefficient arrays
+# of vocabulary width), so a small training set is fitted in few partitions
+# while a large one keeps one partition per ~20k documents.
+ROWS_PER_FIT_PARTITION = 20_000
+
+
+def fit_partitions(rows: int, current: int) -> int:
+    """Partitions for ``rows`` training rows: never more than ``current``."""
+    return max(1, min(current, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
+
+
 def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
                names: Sequence[str] = ("lr", "nb"), text_col: str = "text",
                label_col: str = "label") -> dict[str, PipelineModel]:
@@ -51,6 +64,9 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
     persisted (MEMORY_AND_DISK, recomputed from lineage if an executor is
     lost) for the vectorizer and IDF passes, then the TF-IDF vectors are
     persisted for the iterative classifier fits and the tokens released.
+    The classifiers read the cached vectors merged (``coalesce``, no shuffle)
+    down to ``fit_partitions``; tokenization, vectorizer and IDF passes keep
+    full parallelism.
     """
     p = get_profile(profile)
     token_stages = p.token_stages(text_col)
@@ -63,11 +79,14 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
         vec = Pipeline(stages=p.feature_stages(text_col)[len(token_stages):]).fit(tokens)
         featurized = (vec.transform(tokens).select(WEIGHTS, label_col)
                       .persist(StorageLevel.MEMORY_AND_DISK))
-        featurized.count()
+        rows = featurized.count()
         tokens.unpersist()
+        current = featurized.rdd.getNumPartitions()
+        parts = fit_partitions(rows, current)
+        fit_input = featurized.coalesce(parts) if parts < current else featurized
         models = {}
         for name in names:
-            clf = classifier(name, label_col).fit(featurized)
+            clf = classifier(name, label_col).fit(fit_input)
             models[name] = PipelineModel(stages=[*token_stages, *vec.stages, clf])
         return models
     finally:
