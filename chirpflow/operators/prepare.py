@@ -97,3 +97,25 @@ def with_split_side(df: DataFrame, key: str = "doc_id",
     """Tag rows with ``side`` = train/test instead of producing two frames."""
     return df.withColumn("side", F.when(split_bucket(key) < train_percent, F.lit("train"))
                          .otherwise(F.lit("test")))
+
+
+def index_labels(df: DataFrame, input_col: str = "sentiment", output_col: str = "label"):
+    """Learn the label from a class-name column with ``StringIndexer``.
+    The most frequent name gets 0.0, so the meaning of 0/1 follows the data
+    (unlike the literal labels of ``class_frame``).  Returns the fitted
+    indexer and the indexed frame."""
+    from pyspark.ml.feature import StringIndexer
+    model = StringIndexer(inputCol=input_col, outputCol=output_col,
+                          stringOrderType="frequencyDesc").fit(df)
+    return model, model.transform(df)
+
+
+def shuffle_rows(df: DataFrame, seed: int = C.RANDOM_SPLIT_SEED) -> DataFrame:
+    """Random global order (a range-partitioned sort on a seeded random key)."""
+    return df.orderBy(F.rand(seed))
+
+
+def schema_frame(df: DataFrame) -> DataFrame:
+    """K4/K5: the column names and types of a frame as rows ``(column, type)``
+    (built from schema metadata, not from the data)."""
+    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")

@@ -122,3 +122,13 @@ def test_vocabulary_topk_ties_by_term(spark):
     stats = spark.createDataFrame([("b", 3, 1), ("a", 3, 1), ("c", 5, 2), ("d", 1, 1)],
                                   "term string, tf long, df long")
     assert [r.term for r in FT.vocabulary_topk(stats, 3).collect()] == ["c", "a", "b"]
+
+
+def test_string_indexer_labels(split):
+    from chirpflow.operators.prepare import index_labels
+    labelled, _, _ = split
+    model, indexed = index_labels(labelled.drop("label"))
+    majority = labelled.groupBy("sentiment").count().orderBy(F.desc("count")).first().sentiment
+    assert model.labels[0] == majority
+    row = indexed.filter(F.col("sentiment") == majority).first()
+    assert row.label == 0.0

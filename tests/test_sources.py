@@ -40,3 +40,17 @@ def test_kafka_frame_contract_roundtrip(spark):
     back = [r.text for r in payload_text(frame).collect()]
     assert back == ["héllo", None]
     assert frame.filter("key IS NOT NULL").count() == 0
+
+
+def test_schema_frame_lists_columns(spark):
+    from chirpflow.operators.prepare import schema_frame
+    df = texts_frame(spark, ["x"]).selectExpr("text", "length(text) AS n")
+    assert [tuple(r) for r in schema_frame(df).collect()] == [("text", "string"), ("n", "int")]
+
+
+def test_shuffle_rows_keeps_rows(spark):
+    from chirpflow.operators.prepare import shuffle_rows
+    df = spark.range(100)
+    out = shuffle_rows(df, 7)
+    assert sorted(r.id for r in out.collect()) == list(range(100))
+    assert [r.id for r in out.collect()] == [r.id for r in shuffle_rows(df, 7).collect()]
