@@ -8,10 +8,6 @@ from __future__ import annotations
 
 # --- Fixed values: regular expressions (Java regex syntax, RE2-compatible) ---
 
-# Retweet marker "RT @handle: ".  (?U) makes \s and \w Unicode-aware in Java so a
-# no-break space or a non-Latin handle is matched the way Python 3's `re` does.
-RETWEET_MARKER = r"(?U)RT\s@\w*:\s"
-
 # A URL and everything after it on the same line.  (?d) (UNIX_LINES) makes `.`
 # stop only at "\n", like Python's `.`; plain Java `.` also stops at \r, U+0085,
 # U+2028 and U+2029.
@@ -31,6 +27,14 @@ PY_WHITESPACE_CLASS = (
 )
 PY_WHITESPACE_RUN = PY_WHITESPACE_CLASS + "+"
 
+# Python's Unicode \w: letters, numbers (Nd, Nl, No) and underscore.  Java's
+# (?U)\w differs (it takes combining marks and leaves out No digits such as
+# "²"), so the class is written out; RE2 reads it the same way.
+PY_WORD_CLASS = r"[\p{L}\p{N}_]"
+
+# Retweet marker "RT @handle: " anywhere in the text, with Python's \s and \w.
+RETWEET_MARKER = "RT" + PY_WHITESPACE_CLASS + "@" + PY_WORD_CLASS + "*:" + PY_WHITESPACE_CLASS
+
 # Non-word separator of the English tokenizer (ASCII \W, as MLlib's default).
 NON_WORD = r"\W"
 NON_WORD_UNICODE = r"(?U)\W"

@@ -1,8 +1,8 @@
 """DuckDB SQL twins of the named queries (same column names and values).
 
 The regular expressions are the RE2 spellings of the Java patterns in
-``constants``: RE2's ``\\s``/``\\w`` are ASCII-only, so the Unicode classes are
-written out.  RE2's ``.`` already stops only at ``\\n``, like Python's.
+``constants``; the Unicode classes there are written out so both engines read
+them alike.  RE2's ``.`` already stops only at ``\\n``, like Python's.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 from .. import constants as C
 from .queries import DEMO_KEYWORDS, DEMO_ROUTES
 
-WS = C.PY_WHITESPACE_CLASS
-RT_RE2 = "RT" + WS + r"@[\pL\pN\pM_]*:" + WS
+# The retweet pattern is written in the common subset of Java and RE2 syntax.
+RT_RE2 = C.RETWEET_MARKER
 URL_RE2 = r"https?.*"
 
 
