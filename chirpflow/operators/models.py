@@ -81,9 +81,12 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
                       .persist(StorageLevel.MEMORY_AND_DISK))
         rows = featurized.count()
         tokens.unpersist()
-        current = featurized.rdd.getNumPartitions()
+        try:
+            current = featurized.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+            current = 1 << 30
         parts = fit_partitions(rows, current)
-        fit_input = featurized.coalesce(parts) if parts < current else featurized
+        fit_input = featurized.coalesce(parts) if parts < min(current, 1 << 30) else featurized
         models = {}
         for name in names:
             clf = classifier(name, label_col).fit(fit_input)

@@ -59,9 +59,16 @@ def class_counts(df: DataFrame, cols: Sequence[str] = ("label", "sentiment")) ->
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
-def label_sort(df: DataFrame, col: str = "label") -> DataFrame:
-    """O1: global ascending sort (range-partitioned shuffle)."""
-    return df.orderBy(F.col(col).asc())
+def label_sort(df: DataFrame, col: str = "label",
+               tie_break: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """O1: global ascending sort by label (range-partitioned shuffle).
+
+    A label has two values, so range partitioning on it alone would put each
+    class, half the data or more, into one partition.  The unique tie-break
+    key lets the range partitioner cut inside a class; the order by label is
+    unchanged (the order within a label is unspecified anyway)."""
+    keys = [F.col(col).asc(), *[F.col(k).asc() for k in tie_break if k in df.columns]]
+    return df.orderBy(*keys)
 
 
 def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -132,3 +132,33 @@ def test_string_indexer_labels(split):
     assert model.labels[0] == majority
     row = indexed.filter(F.col("sentiment") == majority).first()
     assert row.label == 0.0
+
+
+def test_term_stats_and_tfidf_independent_of_layout(split):
+    labelled, _, _ = split
+    fit = P.split_bucket("doc_id") < 80
+    a = {tuple(r) for r in FT.term_stats(labelled).collect()}
+    b = {tuple(r) for r in FT.term_stats(labelled.repartition(3).orderBy(F.rand(1))).collect()}
+    assert a == b
+    w1 = {(r.doc_id, r.term): r.weight for r in FT.tfidf_terms(labelled, fit=fit).collect()}
+    w2 = {(r.doc_id, r.term): r.weight
+          for r in FT.tfidf_terms(labelled.repartition(5), fit=fit).collect()}
+    assert w1.keys() == w2.keys()
+    assert all(math.isclose(w1[k], w2[k], rel_tol=1e-12) for k in w1)
+
+
+def test_unicode_profile_keeps_accented_words(spark):
+    df = spark.createDataFrame([("Café au lait, ça va",)], "text string")
+    ascii_words = FT.tokenize(df, FT.ENGLISH).first().words
+    uni = FT.Profile("english", tokens_col="filtered", unicode=True)
+    unicode_words = FT.tokenize(df, uni).first().words
+    assert "caf" in ascii_words and "café" in unicode_words and "ça" in unicode_words
+
+
+def test_label_sort_orders_by_label_and_spreads(split):
+    labelled, _, _ = split
+    out = P.label_sort(labelled.select("doc_id", "label"))
+    labels = [r.label for r in out.collect()]
+    assert labels == sorted(labels)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "doc_id" in plan.split("rangepartitioning")[1].split(")")[0]
