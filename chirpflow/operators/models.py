@@ -105,6 +105,45 @@ def score_texts(df: DataFrame, model: PipelineModel, profile: str | Profile = EN
     return model.transform(get_profile(profile).prepare(df, text_col))
 
 
+def score_all(df: DataFrame, models: dict[str, PipelineModel],
+              profile: str | Profile = ENGLISH, text_col: str = "text") -> DataFrame:
+    """Several models in one pass: ``prediction_<name>`` per model.
+
+    Models from one ``fit_models`` call share their fitted feature stages, so
+    the text is prepared and vectorized once and each classifier adds its own
+    output columns (no per-model scan, no join of the results).  Models with
+    different feature stages are applied one after another on the same rows.
+    """
+    out = get_profile(profile).prepare(df, text_col)
+    done: list = []
+    for name, model in models.items():
+        *feats, clf = model.stages
+        if [id(s) for s in feats] != [id(s) for s in done]:
+            if done:
+                raise ValueError("score_all needs models with shared feature stages")
+            out = PipelineModel(stages=feats).transform(out)
+            done = feats
+        clf = clf.copy()
+        clf.setPredictionCol(f"prediction_{name}")
+        for setter, col in (("setRawPredictionCol", "rawPrediction"),
+                            ("setProbabilityCol", "probability")):
+            if hasattr(clf, setter):
+                getattr(clf, setter)(f"{col}_{name}")
+        out = clf.transform(out)
+    return out
+
+
+def accuracies(scored: DataFrame, names: Sequence[str], label_col: str = "label") -> DataFrame:
+    """M12 from one ``score_all`` frame: one aggregate pass, rows
+    ``(model, metric, value)``."""
+    label = F.col(label_col).cast("double")
+    agg = scored.agg(*[F.avg((F.col(f"prediction_{n}") == label).cast("double")).alias(n)
+                       for n in names])
+    rows = [F.struct(F.lit(n).alias("model"), F.lit("accuracy").alias("metric"),
+                     F.col(n).alias("value")) for n in names]
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def accuracy(pred: DataFrame, model_name: str | None = None, label_col: str = "label") -> DataFrame:
     """A3 as a distributed aggregate: ``(model, metric, value)``."""
     value = F.avg((F.col("prediction") == F.col(label_col).cast("double")).cast("double"))

@@ -302,11 +302,11 @@ def lr_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9 + M12: one shared feature fit, two classifiers, accuracies side by side."""
+    """M9 + M12: one shared feature fit, two classifiers, accuracies side by
+    side; the held-out rows are scanned and vectorized once for both."""
     models, test = _fitted(spark, sf_dir, ("lr", "nb"))
-    preds = {"logistic_regression": M.score_texts(test, models["lr"]),
-             "naive_bayes": M.score_texts(test, models["nb"])}
-    return M.compare_models(preds)
+    named = {"logistic_regression": models["lr"], "naive_bayes": models["nb"]}
+    return M.accuracies(M.score_all(test, named), list(named))
 
 
 def whitespace_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,12 +318,12 @@ def whitespace_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score the ``benchmark`` texts with both models."""
+    """Score the ``benchmark`` texts with both models in one pass."""
     models, _ = _fitted(spark, sf_dir, ("lr", "nb"))
     items = read_table(spark, sf_dir, "benchmark", spread=True)
-    lr = M.score_texts(items, models["lr"]).select("item_id", F.col("prediction").alias("lr"))
-    nb = M.score_texts(items, models["nb"]).select("item_id", F.col("prediction").alias("nb"))
-    return lr.join(nb, "item_id")
+    scored = M.score_all(items, {"lr": models["lr"], "nb": models["nb"]})
+    return scored.select("item_id", F.col("prediction_lr").alias("lr"),
+                         F.col("prediction_nb").alias("nb"))
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,3 +162,15 @@ def test_label_sort_orders_by_label_and_spreads(split):
     assert labels == sorted(labels)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "doc_id" in plan.split("rangepartitioning")[1].split(")")[0]
+
+
+def test_score_all_equals_separate_scoring(split, models):
+    _, _, test = split
+    both = M.score_all(test, models).select("doc_id", "prediction_lr", "prediction_nb")
+    got = {r.doc_id: (r.prediction_lr, r.prediction_nb) for r in both.collect()}
+    for i, name in enumerate(("lr", "nb")):
+        sep = M.score_texts(test, models[name]).select("doc_id", "prediction").collect()
+        assert {r.doc_id: r.prediction for r in sep} == {k: v[i] for k, v in got.items()}
+    acc = {r.model: r.value for r in M.accuracies(M.score_all(test, models), ["lr", "nb"]).collect()}
+    for name in ("lr", "nb"):
+        assert math.isclose(acc[name], M.evaluate(M.score_texts(test, models[name])), rel_tol=1e-12)
