@@ -17,7 +17,7 @@ mapper and never lands whole on one reducer.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
@@ -39,7 +39,6 @@ class Profile:
     stop_words: tuple[str, ...] = ()
     unicode: bool = False
     vocab_size: int = C.VOCAB_SIZE
-    extra: dict = field(default_factory=dict)
 
     def prepare(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Null policy (P6) + the profile's text cleaning; batch or stream."""

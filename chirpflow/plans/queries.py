@@ -41,9 +41,6 @@ DEMO_ROUTES = [
     ("spanish_tweets", ["para", "por"]),
 ]
 
-SINK_TOPIC = "tweets"
-
-
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", spread=True)
 

@@ -22,12 +22,23 @@ def payload_text(df: DataFrame, keep_topic: bool = False) -> DataFrame:
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
-                      starting_offsets: str = "latest", **options: str) -> DataFrame:
-    """S3: subscribe to one topic; offsets are tracked by the query checkpoint."""
+                      starting_offsets: str = "latest", min_partitions: int | None = None,
+                      max_offsets_per_trigger: int | None = None, **options: str) -> DataFrame:
+    """S3: subscribe to one topic; offsets are tracked by the query checkpoint.
+
+    ``min_partitions`` lets Spark split a topic's offset ranges over more tasks
+    than the topic has partitions (no shuffle; text work then uses every
+    core), and ``max_offsets_per_trigger`` bounds a micro-batch after a
+    backlog, so a restart after downtime does not build one giant batch.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in options.items():
         reader = reader.option(k, v)
     return payload_text(reader.load())
