@@ -47,24 +47,35 @@ _STOP = "[" + ", ".join(_q(w) for w in C.ENGLISH_STOP_WORDS) + "]"
 
 _BUCKET = "CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100"
 
-LABELLED = f"""
+def _labelled_cte(where: str = "") -> str:
+    cond = f" WHERE {where}" if where else ""
+    return f"""
 labelled AS (
   SELECT d.doc_id, d.text, CAST(l.quality AS INTEGER) AS label,
          CASE WHEN l.quality = 1 THEN 'Positive' ELSE 'Negative' END AS sentiment,
          {_BUCKET.replace('doc_id', 'd.doc_id')} AS bucket
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id{cond}
 )"""
 
+
+LABELLED = _labelled_cte()
+
 # English profile: digits removed, tokens on ASCII non-word chars, stop words out.
-TOKENS = LABELLED + f""",
+ENGLISH_WORDS = _word_tokens(_DIGITLESS)
+ENGLISH_TERMS = f"list_filter(words, lambda x: NOT list_contains({_STOP}, x))"
+# Whitespace (Pashto) profile: reversed text split on whitespace runs.
+WHITESPACE_WORDS = _ws_tokens("reverse(text)")
+
+
+def _tokens_cte(words: str = ENGLISH_WORDS, terms: str = ENGLISH_TERMS, where: str = "") -> str:
+    """labelled -> prepared (words) -> filtered (terms) -> tf -> m -> idf."""
+    return _labelled_cte(where) + f""",
 prepared AS (
-  SELECT doc_id, label, bucket,
-         {_word_tokens(_DIGITLESS)} AS words
+  SELECT doc_id, label, bucket, {words} AS words
   FROM labelled WHERE text IS NOT NULL
 ),
 filtered AS (
-  SELECT doc_id, label, bucket, list_filter(words, lambda x: NOT list_contains({_STOP}, x)) AS terms
-  FROM prepared
+  SELECT doc_id, label, bucket, {terms} AS terms FROM prepared
 ),
 tf AS (
   SELECT doc_id, label, bucket, term, count(*) AS tf
@@ -77,7 +88,10 @@ idf AS (
   FROM tf, m WHERE bucket < 80 GROUP BY term, m.m
 )"""
 
-NB_MODEL = TOKENS + """,
+
+TOKENS = _tokens_cte()
+
+_NB_PARAMS = """,
 w AS (
   SELECT tf.label, tf.term, sum(tf.tf * idf.idf) AS mass
   FROM tf JOIN idf ON tf.term = idf.term WHERE tf.bucket < 80
@@ -95,11 +109,13 @@ theta AS (
   FROM w JOIN tot ON w.label = tot.label, v
 )"""
 
+NB_MODEL = TOKENS + _NB_PARAMS
+
 
-def _nb_scores(scored_docs: str, doc_terms: str) -> str:
+def _nb_scores(scored_docs: str, doc_terms: str, model: str = NB_MODEL) -> str:
     """Predictions of the closed-form NB for ``scored_docs(doc_id)`` whose term
     counts are in ``doc_terms(doc_id, term, tf)``."""
-    return NB_MODEL + f""",
+    return model + f""",
 sd AS ({scored_docs}),
 dt AS ({doc_terms}),
 cls AS (SELECT pri.label, pri.log_pi, tot.total FROM pri JOIN tot ON pri.label = tot.label),
@@ -121,13 +137,18 @@ pred AS (
 )"""
 
 
-NB_TEST_PRED = "WITH " + _nb_scores(
-    "SELECT doc_id FROM prepared WHERE bucket >= 80",
-    "SELECT doc_id, term, tf FROM tf WHERE bucket >= 80")
+_TEST_DOCS = "SELECT doc_id FROM prepared WHERE bucket >= 80"
+_TEST_TERMS = "SELECT doc_id, term, tf FROM tf WHERE bucket >= 80"
+
+WHITESPACE_TEST_PRED = "WITH " + _nb_scores(
+    _TEST_DOCS, _TEST_TERMS,
+    _tokens_cte(WHITESPACE_WORDS, "words", "d.lang <> 'en'") + _NB_PARAMS)
+
+NB_TEST_PRED = "WITH " + _nb_scores(_TEST_DOCS, _TEST_TERMS)
 
 _ALL_DOC_TERMS = f"""
   SELECT doc_id, term, count(*) AS tf FROM (
-    SELECT doc_id, unnest(list_filter({_word_tokens(_DIGITLESS)},
+    SELECT doc_id, unnest(list_filter({ENGLISH_WORDS},
                                       lambda x: NOT list_contains({_STOP}, x))) AS term
     FROM documents WHERE text IS NOT NULL)
   GROUP BY doc_id, term"""
@@ -216,6 +237,8 @@ ORACLE: dict[str, str] = {
     "nb_accuracy": NB_TEST_PRED + " SELECT 'naive_bayes' AS model, 'accuracy' AS metric, "
                    "round(avg(CASE WHEN pred.prediction = p.label THEN 1.0 ELSE 0.0 END), 6) AS value "
                    "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
+    "whitespace_pipeline": WHITESPACE_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
+                           "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
     "model_roundtrip": NB_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
                        "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
     "json_source": "SELECT doc_id, text FROM documents",

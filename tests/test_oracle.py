@@ -32,8 +32,7 @@ def test_every_sql_twin_has_a_query():
 
 def test_rows_only_queries_are_the_iterative_or_random_ones():
     assert set(QUERIES) - set(SQL) == {
-        "random_split", "lr_predictions", "lr_accuracy", "model_comparison",
-        "whitespace_pipeline", "score_texts"}
+        "random_split", "lr_predictions", "lr_accuracy", "model_comparison", "score_texts"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
