@@ -22,6 +22,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .features import (
     ENGLISH, WEIGHTS, Profile, doc_count, doc_terms, get_profile, idf_from_terms,
 )
@@ -57,13 +58,17 @@ def fit_partitions(rows: int, current: int) -> int:
 
 def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
                names: Sequence[str] = ("lr", "nb"), text_col: str = "text",
-               label_col: str = "label") -> dict[str, PipelineModel]:
+               label_col: str = "label", reliable: bool = True) -> dict[str, PipelineModel]:
     """M9: fit the feature stages once, then one classifier per name.
 
     The training text is scanned and tokenized once: the token arrays are
     persisted (MEMORY_AND_DISK, recomputed from lineage if an executor is
     lost) for the vectorizer and IDF passes, then the TF-IDF vectors are
     persisted for the iterative classifier fits and the tokens released.
+    With ``reliable`` (default) the vectors are first written to the shared
+    ``spark.checkpoint.dir`` (``DataFrame.checkpoint``), which cuts the
+    lineage: an executor lost during the many LR iterations costs a re-read
+    of its vectors, not a re-scan and re-tokenization of the raw text.
     The classifiers read the cached vectors merged (``coalesce``, no shuffle)
     down to ``fit_partitions``; tokenization, vectorizer and IDF passes keep
     full parallelism.
@@ -77,8 +82,11 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
     featurized = None
     try:
         vec = Pipeline(stages=p.feature_stages(text_col)[len(token_stages):]).fit(tokens)
-        featurized = (vec.transform(tokens).select(WEIGHTS, label_col)
-                      .persist(StorageLevel.MEMORY_AND_DISK))
+        featurized = vec.transform(tokens).select(WEIGHTS, label_col)
+        if reliable:
+            ensure_checkpoint_dir(featurized.sparkSession)
+            featurized = featurized.checkpoint(eager=True)
+        featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
         rows = featurized.count()
         tokens.unpersist()
         try:

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Delete reliable-checkpoint files once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
