@@ -64,3 +64,31 @@ def test_stream_score_uses_saved_model(spark):
 
 def test_production_trigger_is_five_seconds():
     assert S.PRODUCTION_TRIGGER == {"processingTime": "5 seconds"}
+
+
+def test_crash_before_commit_replays_batch_without_duplicates(spark):
+    import os
+
+    from chirpflow.session import local_fs_path
+    base = scratch_path(spark, "test-crash")
+    src = base + "/in"
+    Q._docs(spark, SF_SMALL).select("doc_id", "text").repartition(4).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+
+    def run():
+        stream = S.read_text_stream(spark, src, schema, max_files_per_trigger=1)
+        S.run_to_table(stream, base + "/t", base + "/c", transform=Q._shape_batch)
+
+    run()
+    counts = {r.batch_id: r.n for r in S.batch_counts(spark, base + "/t").collect()}
+    assert len(counts) == 4 and sum(counts.values()) == 200
+    # Crash after the last batch wrote its rows but before it was committed.
+    commits = local_fs_path(base + "/c/commits")
+    last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    run()
+    again = {r.batch_id: r.n for r in S.batch_counts(spark, base + "/t").collect()}
+    assert again == counts
+    assert spark.read.parquet(base + "/t").select("doc_id").distinct().count() == 200
