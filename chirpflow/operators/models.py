@@ -208,3 +208,21 @@ def nb_parameters(train: DataFrame, profile: str | Profile = ENGLISH, id_col: st
             .select(label_col, "term", "mass",
                     (F.log(F.col("mass") + 1.0) - F.log(F.col("total") + vocab.cast("double")))
                     .alias("log_theta")))
+
+
+def train_sentiment(positive: DataFrame, negative: DataFrame, profile: str | Profile = ENGLISH,
+                    key: str = "doc_id", names: Sequence[str] = ("lr", "nb"),
+                    model_dir: str | None = None, text_col: str = "text"):
+    """Job 3: label the two class frames (1 Positive, 0 Negative), union them,
+    split 80/20 on ``key``, fit the feature stages once and every classifier,
+    evaluate on the held-out part and optionally save each model under
+    ``model_dir/<name>``.  Returns ``(models, comparison frame)``."""
+    from ..sinks.tables import save_model
+    from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, union_classes
+    data = union_classes(class_frame(positive, POSITIVE, 1), class_frame(negative, NEGATIVE, 0))
+    train, test = hash_split(data, key)
+    models = fit_models(train, profile, names, text_col)
+    if model_dir:
+        for name, model in models.items():
+            save_model(model, f"{model_dir.rstrip('/')}/{name}")
+    return models, accuracies(score_all(test, models, profile, text_col), list(models))

@@ -20,7 +20,6 @@ from ..operators import filters as FL
 from ..operators import models as M
 from ..operators import prepare as P
 from ..session import scratch_path
-from ..sinks.kafka import kafka_frame
 from ..sinks.tables import append_to_table, save_model
 from ..sources.files import read_csv_texts, read_json_texts, read_table
 from ..sources.models import load_model
@@ -136,11 +135,7 @@ def keyword_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kafka_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 in batch form: route raw text, publish cleaned text."""
-    routed = FL.keyword_route(_docs(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES),
-                              keep=["text"])
-    frame = kafka_frame(routed.withColumn("text", T.clean_tweet("text")).select(
-        "doc_id", "topic", "text"), topic="topic")
-    return _envelope_rows(frame)
+    return _envelope_rows(S.routed_frame(_docs(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES)))
 
 
 def _envelope_rows(frame: DataFrame) -> DataFrame:
@@ -393,11 +388,8 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route + clean + Kafka frame on a stream, drained to a table."""
-    routed = FL.keyword_route(_doc_stream(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES),
-                              keep=["text"])
-    frame = kafka_frame(routed.withColumn("text", T.clean_tweet("text")), topic="topic")
-    path = _drain(spark, frame, "route")
-    return _envelope_rows(spark.read.parquet(path))
+    frame = S.routed_frame(_doc_stream(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES))
+    return _envelope_rows(spark.read.parquet(_drain(spark, frame, "route")))
 
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:

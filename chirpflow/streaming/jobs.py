@@ -75,3 +75,37 @@ def score_stream(df: DataFrame, model: PipelineModel | str, profile: str | Profi
     m = PipelineModel.load(model) if isinstance(model, str) else model
     scored = score_texts(df, m, profile, text_col)
     return scored.select(*keep, text_col, "prediction")
+
+
+# ------------------------------------------------------------------ the jobs
+
+def routed_frame(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """T7 transformation: route the raw text by keyword (P10/P11), publish the
+    cleaned text (F3) as Kafka rows ``(key, value, topic)``, one row per
+    matching topic.  Stateless, so it runs per micro-batch on a stream."""
+    from ..operators.filters import keyword_route
+    from ..sinks.kafka import kafka_frame
+    routed = keyword_route(df, routes, id_col=id_col, text_col=text_col, keep=[text_col])
+    return kafka_frame(routed.withColumn(text_col, clean_tweet(text_col)), topic="topic",
+                       text_col=text_col)
+
+
+def collect_to_kafka(df: DataFrame, routes: DataFrame, servers: str, checkpoint: str,
+                     id_col: str = "doc_id", trigger: dict | None = None) -> StreamingQuery:
+    """Job 1, the collector: keyword-matched, cleaned texts of a stream are
+    published to their topics by one query for all topics."""
+    from ..sinks.kafka import write_kafka_stream
+    return write_kafka_stream(routed_frame(df, routes, id_col), servers, checkpoint,
+                              trigger or PRODUCTION_TRIGGER)
+
+
+def kafka_to_table(spark: SparkSession, servers: str, topic: str, path: str, checkpoint: str,
+                   table: str | None = None, trigger: dict | None = None,
+                   min_partitions: int | None = None) -> StreamingQuery:
+    """Job 2: a topic's payloads shaped to ``(text, words, length)`` and
+    appended to a table every micro-batch (5 s by default), exactly once."""
+    from ..sources.kafka import read_kafka_stream
+    stream = read_kafka_stream(spark, servers, topic, min_partitions=min_partitions)
+    return run_to_table(stream, path, checkpoint, trigger or PRODUCTION_TRIGGER, table,
+                        transform=lambda b: shape_stream(b, clean=False))

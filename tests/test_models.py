@@ -174,3 +174,15 @@ def test_score_all_equals_separate_scoring(split, models):
     acc = {r.model: r.value for r in M.accuracies(M.score_all(test, models), ["lr", "nb"]).collect()}
     for name in ("lr", "nb"):
         assert math.isclose(acc[name], M.evaluate(M.score_texts(test, models[name])), rel_tol=1e-12)
+
+
+def test_train_sentiment_job(spark):
+    docs = Q._docs(spark, SF_MID).select("doc_id", "text")
+    labels = Q.read_table(spark, SF_MID, "labels")
+    pos = docs.join(labels.filter("quality = 1").select("doc_id"), "doc_id")
+    neg = docs.join(labels.filter("quality = 0").select("doc_id"), "doc_id")
+    out = scratch_path(spark, "test-train")
+    models, comparison = M.train_sentiment(pos, neg, model_dir=out)
+    rows = {r.model: r.value for r in comparison.collect()}
+    assert set(rows) == {"lr", "nb"} and all(0.0 <= v <= 1.0 for v in rows.values())
+    assert load_model(out + "/nb").stages[-1].numClasses == 2

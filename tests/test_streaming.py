@@ -92,3 +92,15 @@ def test_crash_before_commit_replays_batch_without_duplicates(spark):
     again = {r.batch_id: r.n for r in S.batch_counts(spark, base + "/t").collect()}
     assert again == counts
     assert spark.read.parquet(base + "/t").select("doc_id").distinct().count() == 200
+
+
+def test_routed_frame_on_a_stream_equals_batch(spark):
+    from chirpflow.operators.filters import routes_frame
+    routes = routes_frame(spark, Q.DEMO_ROUTES)
+    path = scratch_path(spark, "test-routed")
+    S.run_to_table(S.routed_frame(Q._doc_stream(spark, SF_SMALL), routes), path + "/t",
+                   path + "/c")
+    got = spark.read.parquet(path + "/t").drop("batch_id")
+    want = S.routed_frame(Q._docs(spark, SF_SMALL), routes)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
