@@ -104,3 +104,16 @@ def test_routed_frame_on_a_stream_equals_batch(spark):
     want = S.routed_frame(Q._docs(spark, SF_SMALL), routes)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    path = scratch_path(spark, "test-trigger")
+    raw = Q._doc_stream(spark, SF_SMALL).select("doc_id", "text")
+    q = S.run_to_table(raw, path + "/t", path + "/c", trigger={"processingTime": "1 second"},
+                       transform=Q._shape_batch)
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(path + "/t").count() == 200
