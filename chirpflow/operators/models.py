@@ -91,10 +91,10 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
         tokens.unpersist()
         try:
             current = featurized.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-            current = 1 << 30
-        parts = fit_partitions(rows, current)
-        fit_input = featurized.coalesce(parts) if parts < min(current, 1 << 30) else featurized
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep as is
+            current = 0
+        parts = fit_partitions(rows, current) if current else 0
+        fit_input = featurized.coalesce(parts) if 0 < parts < current else featurized
         models = {}
         for name in names:
             clf = classifier(name, label_col).fit(fit_input)
@@ -119,8 +119,8 @@ def score_all(df: DataFrame, models: dict[str, PipelineModel],
 
     Models from one ``fit_models`` call share their fitted feature stages, so
     the text is prepared and vectorized once and each classifier adds its own
-    output columns (no per-model scan, no join of the results).  Models with
-    different feature stages are applied one after another on the same rows.
+    output columns (no per-model scan, no join of the results).  Models that
+    do not share feature stages are rejected; score them with ``score_texts``.
     """
     out = get_profile(profile).prepare(df, text_col)
     done: list = []
