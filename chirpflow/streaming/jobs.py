@@ -20,8 +20,11 @@ from pyspark.sql.types import StructType
 from .. import constants as C
 from ..functions.text import clean_tweet, shape
 from ..operators.features import ENGLISH, Profile
+from ..operators.filters import keyword_route
 from ..operators.models import score_texts
+from ..sinks.kafka import kafka_frame, write_kafka_stream
 from ..sinks.tables import append_batch
+from ..sources.kafka import read_kafka_stream
 
 # The production trigger.  Queries and tests use availableNow.
 PRODUCTION_TRIGGER = {"processingTime": C.MICRO_BATCH_INTERVAL}
@@ -58,7 +61,9 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
          .option("checkpointLocation", checkpoint)
          .trigger(**trig)
          .start())
-    if wait if wait is not None else trig.get("availableNow") or trig.get("once"):
+    if wait is None:
+        wait = bool(trig.get("availableNow") or trig.get("once"))
+    if wait:
         q.awaitTermination()
     return q
 
@@ -84,8 +89,6 @@ def routed_frame(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
     """T7 transformation: route the raw text by keyword (P10/P11), publish the
     cleaned text (F3) as Kafka rows ``(key, value, topic)``, one row per
     matching topic.  Stateless, so it runs per micro-batch on a stream."""
-    from ..operators.filters import keyword_route
-    from ..sinks.kafka import kafka_frame
     routed = keyword_route(df, routes, id_col=id_col, text_col=text_col, keep=[text_col])
     return kafka_frame(routed.withColumn(text_col, clean_tweet(text_col)), topic="topic",
                        text_col=text_col)
@@ -95,7 +98,6 @@ def collect_to_kafka(df: DataFrame, routes: DataFrame, servers: str, checkpoint:
                      id_col: str = "doc_id", trigger: dict | None = None) -> StreamingQuery:
     """Job 1, the collector: keyword-matched, cleaned texts of a stream are
     published to their topics by one query for all topics."""
-    from ..sinks.kafka import write_kafka_stream
     return write_kafka_stream(routed_frame(df, routes, id_col), servers, checkpoint,
                               trigger or PRODUCTION_TRIGGER)
 
@@ -105,7 +107,6 @@ def kafka_to_table(spark: SparkSession, servers: str, topic: str, path: str, che
                    min_partitions: int | None = None) -> StreamingQuery:
     """Job 2: a topic's payloads shaped to ``(text, words, length)`` and
     appended to a table every micro-batch (5 s by default), exactly once."""
-    from ..sources.kafka import read_kafka_stream
     stream = read_kafka_stream(spark, servers, topic, min_partitions=min_partitions)
     return run_to_table(stream, path, checkpoint, trigger or PRODUCTION_TRIGGER, table,
                         transform=lambda b: shape_stream(b, clean=False))
