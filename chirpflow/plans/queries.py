@@ -21,7 +21,7 @@ from ..operators import models as M
 from ..operators import prepare as P
 from ..session import scratch_path
 from ..sinks.tables import append_to_table, save_model
-from ..sources.files import read_csv_texts, read_json_texts, read_table
+from ..sources.files import read_csv_texts, read_json_texts, read_table, spread_small_scan
 from ..sources.models import load_model
 from ..streaming import jobs as S
 
@@ -40,14 +40,16 @@ DEMO_ROUTES = [
     ("spanish_tweets", ["para", "por"]),
 ]
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", spread=True)
+def _docs(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    return read_table(spark, sf_dir, "documents", spread=spread)
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their sentiment label (``labels.quality``)."""
-    return P.attach_labels(_docs(spark, sf_dir).select("doc_id", "text"),
-                           read_table(spark, sf_dir, "labels"))
+    """Documents with their sentiment label (``labels.quality``).  The spread
+    of a single-split scan comes after the join, so only labelled rows move."""
+    return spread_small_scan(P.attach_labels(_docs(spark, sf_dir, spread=False)
+                                             .select("doc_id", "text"),
+                                             read_table(spark, sf_dir, "labels")))
 
 
 def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
