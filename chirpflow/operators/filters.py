@@ -41,16 +41,25 @@ def keyword_filter(df: DataFrame, keywords: Iterable[str], text_col: str = "text
 
 def routes_frame(spark: SparkSession,
                  routes: Sequence[tuple[str, Sequence[str]]] = C.REFERENCE_ROUTES) -> DataFrame:
-    """``[(topic, [keywords])]`` to a ``(topic, keyword)`` frame."""
+    """``[(topic, [keywords])]`` to a ``(topic, keyword)`` frame.  Built as a
+    parameterized ``VALUES`` query, so Spark plans it as a local relation that
+    is read on the driver without a job."""
     rows = [(topic, kw) for topic, kws in routes for kw in kws]
-    return spark.createDataFrame(rows, "topic string, keyword string")
+    if not rows:
+        return spark.createDataFrame([], "topic string, keyword string")
+    marks = ", ".join(f"(:t{i}, :k{i})" for i in range(len(rows)))
+    args = {}
+    for i, (topic, kw) in enumerate(rows):
+        args[f"t{i}"], args[f"k{i}"] = topic, kw
+    return spark.sql(f"SELECT * FROM VALUES {marks} AS routes(topic, keyword)", args=args)
 
 
 def _inline_routes(routes: DataFrame) -> dict[str, list[str]] | None:
     """``{topic: [keywords]}`` of a small keyword table, or None when the table
     is over the inline limits.  At most ``MAX_INLINE_KEYWORDS + 1`` rows are
-    fetched, so the size check itself is bounded."""
-    small = routes.select("topic", F.lower("keyword").alias("k")).distinct()
+    fetched, so the size check itself is bounded (and needs no shuffle; the
+    fetched rows are de-duplicated here)."""
+    small = routes.select("topic", F.lower("keyword").alias("k"))
     rows = small.limit(MAX_INLINE_KEYWORDS + 1).collect()
     if len(rows) > MAX_INLINE_KEYWORDS:
         return None
