@@ -183,6 +183,7 @@ def _tokens_sql(split: str) -> str:
 
 ORACLE: dict[str, str] = {
     "tweet_shape": TWEET_SHAPE,
+    "conversation_shape": f"SELECT conv_id, turn, role, {_shape(_clean('text'))} FROM conversations",
     "strip_retweet": f"SELECT doc_id, regexp_replace({_marker('doc_id', 'text')}, "
                      f"{_q(RT_RE2)}, '', 'g') AS text FROM documents",
     "strip_urls": f"SELECT page_id, regexp_replace(html, {_q(URL_RE2)}, '', 'g') AS text FROM pages",

@@ -71,6 +71,12 @@ def tweet_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", *T.shape(T.clean_tweet("text")))
 
 
+def conversation_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship shaping on the second text source, conversation turns."""
+    turns = read_table(spark, sf_dir, "conversations", spread=True)
+    return turns.select("conv_id", "turn", "role", *T.shape(T.clean_tweet("text")))
+
+
 def _with_retweet_marker(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(id_col, F.concat(F.lit("RT @user"), F.col(id_col).cast("string"),
                                       F.lit(": "), F.col(text_col)).alias("text"))
@@ -405,7 +411,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
-        tweet_shape, strip_retweet, strip_urls, clean_tweet, remove_digits, reverse_text,
+        tweet_shape, conversation_shape, strip_retweet, strip_urls, clean_tweet, remove_digits, reverse_text,
         space_tokens, whitespace_tokens, ingest_clock,
         keyword_filter, keyword_route, kafka_envelope,
         rename_project, null_policy, literal_labels, labelled_union, class_counts,
