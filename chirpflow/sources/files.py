@@ -67,8 +67,3 @@ def read_csv_texts(spark: SparkSession, path: str, schema: str = CSV_SCHEMA,
 def texts_frame(spark: SparkSession, texts: Sequence[str | None]) -> DataFrame:
     """Literal texts to a one-column frame with an explicit schema."""
     return spark.createDataFrame([(t,) for t in texts], TEXT_SCHEMA)
-
-
-def with_doc_id(df: DataFrame) -> DataFrame:
-    """Add a unique (not consecutive) id without a shuffle."""
-    return df.withColumn("doc_id", F.monotonically_increasing_id())

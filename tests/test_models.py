@@ -186,3 +186,9 @@ def test_train_sentiment_job(spark):
     rows = {r.model: r.value for r in comparison.collect()}
     assert set(rows) == {"lr", "nb"} and all(0.0 <= v <= 1.0 for v in rows.values())
     assert load_model(out + "/nb").stages[-1].numClasses == 2
+
+
+def test_feature_pipeline_matches_fitted_feature_stages(split, models):
+    _, train, _ = split
+    fitted = FT.feature_pipeline(FT.ENGLISH).fit(FT.ENGLISH.prepare(train))
+    assert set(fitted.stages[2].vocabulary) == set(models["nb"].stages[2].vocabulary)
