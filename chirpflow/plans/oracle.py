@@ -238,7 +238,7 @@ ORACLE: dict[str, str] = {
     "nb_accuracy": NB_TEST_PRED + " SELECT 'naive_bayes' AS model, 'accuracy' AS metric, "
                    "round(avg(CASE WHEN pred.prediction = p.label THEN 1.0 ELSE 0.0 END), 6) AS value "
                    "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
-    "whitespace_pipeline": WHITESPACE_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
+    "whitespace_nb": WHITESPACE_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
                            "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
     "model_roundtrip": NB_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
                        "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",

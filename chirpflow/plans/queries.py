@@ -309,7 +309,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.accuracies(M.score_all(test, named), list(named))
 
 
-def whitespace_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whitespace_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 (reverse, whitespace split, counts, IDF, NB) on non-English documents."""
     docs = _docs(spark, sf_dir).filter(F.col("lang") != "en").select("doc_id", "text")
     labelled = P.attach_labels(docs, read_table(spark, sf_dir, "labels"))
@@ -419,7 +419,7 @@ QUERIES: dict[str, Query] = {
         regex_tokens, stopword_filtered, term_frequency, vocabulary_topk, idf_weights,
         tfidf_terms,
         nb_priors, nb_parameters, nb_predictions, nb_accuracy, lr_predictions, lr_accuracy,
-        model_comparison, whitespace_pipeline, score_texts, model_roundtrip,
+        model_comparison, whitespace_nb, score_texts, model_roundtrip,
         json_source, csv_source, table_append,
         stream_tweet_shape, stream_batch_counts, stream_route, stream_score,
     ]
