@@ -122,9 +122,10 @@ def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
 def idf_weights(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """A5: ``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))``, m = training
-    documents."""
+    documents, over the vectorizer's vocabulary (at most ``vocab_size`` terms)."""
     p = get_profile(profile)
-    return idf_from_terms(doc_terms(train, p, id_col, text_col), doc_count(train, p, text_col))
+    return idf_from_terms(doc_terms(train, p, id_col, text_col), doc_count(train, p, text_col),
+                          vocab_size=p.vocab_size)
 
 
 def doc_count(df: DataFrame, p: Profile, text_col: str, fit: Column | None = None) -> Column:
@@ -136,18 +137,26 @@ def doc_count(df: DataFrame, p: Profile, text_col: str, fit: Column | None = Non
     return prepared.select(F.count(F.lit(1))).scalar()
 
 
-def idf_from_terms(terms: DataFrame, m: Column, fit: Column | None = None) -> DataFrame:
+def idf_from_terms(terms: DataFrame, m: Column, fit: Column | None = None,
+                   vocab_size: int | None = None) -> DataFrame:
     """IDF from per-document terms, counting only rows where ``fit`` holds.
 
-    The count reads ``tf`` (always >= 1) on purpose: column pruning would
-    otherwise drop the per-document count from this branch, its plan would
-    differ from the weights branch of ``tfidf_terms``, and Spark would tokenize
-    the corpus a second time instead of reusing the shuffle."""
-    present = F.col("tf") > 0
-    df_col = F.count_if(present) if fit is None else F.count_if(fit & present)
-    stats = terms.groupBy("term").agg(df_col.alias("df"))
+    With ``vocab_size`` only the most frequent terms are kept (total count
+    desc, then term), as ``CountVectorizer`` keeps them, so the table has at
+    most ``vocab_size`` rows whatever the corpus (and Spark can broadcast it).
+
+    The counts read ``tf`` on purpose: column pruning would otherwise drop
+    the per-document count from this branch, its plan would differ from the
+    weights branch of ``tfidf_terms``, and Spark would tokenize the corpus a
+    second time instead of reusing the shuffle."""
+    in_fit = F.col("tf") > 0 if fit is None else fit & (F.col("tf") > 0)
+    stats = terms.groupBy("term").agg(
+        F.count_if(in_fit).alias("df"),
+        F.sum(F.when(in_fit, F.col("tf"))).alias("tf"))
     if fit is not None:
         stats = stats.filter(F.col("df") > 0)
+    if vocab_size is not None:
+        stats = vocabulary_topk(stats, vocab_size)
     return stats.select("term", "df", idf_column(m, F.col("df")).alias("idf"))
 
 
@@ -160,20 +169,21 @@ def tfidf_terms(docs: DataFrame, profile: str | Profile = ENGLISH, id_col: str =
                 keep: Sequence[str] = ()) -> DataFrame:
     """M4 in long form: ``(id, *keep, term, tf, weight)`` for every document,
     with the IDF fitted on the rows where ``fit`` holds (all rows if None).
-    Terms the IDF has not seen are dropped, as the fitted vectorizer ignores
-    them.
+    Terms outside the vocabulary (unseen, or beyond ``vocab_size``) are
+    dropped, as the fitted vectorizer ignores them.
 
     The text is tokenized once: the IDF is a conditional count over the same
     per-document terms, so both branches share one shuffle (Spark reuses the
-    exchange).  The IDF table has one row per term; Spark broadcasts it when
-    it measures small and shuffles both sides on ``term`` otherwise.
+    exchange).  The IDF table has at most ``vocab_size`` rows, so Spark
+    broadcasts it once it measures it (AQE) instead of shuffling the
+    document terms on ``term``.
     """
     p = get_profile(profile)
     fit_keep = ["_fit"] if fit is not None else []
     base = docs.withColumn("_fit", fit) if fit is not None else docs
     terms = doc_terms(base, p, id_col, text_col, [*keep, *fit_keep])
     m = doc_count(docs, p, text_col, fit)
-    idf = idf_from_terms(terms, m, F.col("_fit") if fit is not None else None)
+    idf = idf_from_terms(terms, m, F.col("_fit") if fit is not None else None, p.vocab_size)
     return (terms.join(idf.select("term", "idf"), "term")
             .select(id_col, *keep, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
 

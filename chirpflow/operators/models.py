@@ -200,7 +200,7 @@ def nb_parameters(train: DataFrame, profile: str | Profile = ENGLISH, id_col: st
     of the fitted MLlib model that runs at any scale."""
     p = get_profile(profile)
     terms = doc_terms(train, p, id_col, text_col, keep=[label_col])
-    idf = idf_from_terms(terms, doc_count(train, p, text_col))
+    idf = idf_from_terms(terms, doc_count(train, p, text_col), vocab_size=p.vocab_size)
     vocab = idf.select(F.count(F.lit(1))).scalar()
     weights = terms.join(idf.select("term", "idf"), "term").select(
         label_col, "term", (F.col("tf") * F.col("idf")).alias("weight"))

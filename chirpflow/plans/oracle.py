@@ -83,9 +83,12 @@ tf AS (
   GROUP BY doc_id, label, bucket, term
 ),
 m AS (SELECT count(*) AS m FROM prepared WHERE bucket < 80),
+vocab AS (
+  SELECT term, count(*) AS df, sum(tf) AS total FROM tf WHERE bucket < 80
+  GROUP BY term ORDER BY total DESC, term LIMIT {C.VOCAB_SIZE}
+),
 idf AS (
-  SELECT term, count(*) AS df, ln((m.m + 1.0) / (count(*) + 1.0)) AS idf
-  FROM tf, m WHERE bucket < 80 GROUP BY term, m.m
+  SELECT term, df, ln((m.m + 1.0) / (df + 1.0)) AS idf FROM vocab, m
 )"""
 
 

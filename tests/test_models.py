@@ -192,3 +192,24 @@ def test_feature_pipeline_matches_fitted_feature_stages(split, models):
     _, train, _ = split
     fitted = FT.feature_pipeline(FT.ENGLISH).fit(FT.ENGLISH.prepare(train))
     assert set(fitted.stages[2].vocabulary) == set(models["nb"].stages[2].vocabulary)
+
+
+def test_idf_table_is_capped_like_the_vectorizer(spark, split):
+    from pyspark.ml.feature import IDF, CountVectorizer
+    _, train, _ = split
+    small = FT.Profile("english", tokens_col="filtered", stop_words=FT.ENGLISH.stop_words,
+                       vocab_size=50)
+    idf = {r.term: r.idf for r in FT.idf_weights(train, small).collect()}
+    assert len(idf) == 50
+    tokens = FT.tokenize(train, small).select("filtered")
+    counts = {r.term: r.n for r in tokens.select(F.explode("filtered").alias("term"))
+              .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(idf) == set(sorted(counts, key=lambda t: (-counts[t], t))[:50])
+    cv = CountVectorizer(inputCol="filtered", outputCol="f", vocabSize=50).fit(tokens)
+    mllib = dict(zip(cv.vocabulary, IDF(inputCol="f", outputCol="w").fit(cv.transform(tokens))
+                     .idf.toArray()))
+    shared = set(idf) & set(mllib)
+    assert len(shared) >= 45
+    assert all(math.isclose(idf[t], mllib[t], rel_tol=1e-9) for t in shared)
+    rows = FT.tfidf_terms(train, small).select("term").distinct().collect()
+    assert {r.term for r in rows} <= set(idf)
