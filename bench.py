@@ -4,7 +4,9 @@ Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]``, fully materialised through the no-op sink, and prints
 one JSON line: ``{"metric", "value", "unit", "queries", "sf", ...}``.  Each
 query is timed ``$BENCH_RUNS`` times (default 3) after one warm-up pass; the
-median is reported and ``value`` is the sum of the medians.
+median is reported and ``value`` is the sum of the medians.  Set
+``$BENCH_EVENT_LOG`` to a folder to keep Spark's event log (stage and task
+times) for the run.
 """
 
 from __future__ import annotations
@@ -34,9 +36,13 @@ def main() -> None:
     from chirpflow.plans.queries import QUERIES
     from chirpflow.session import get_session
 
+    conf = {"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
+            "spark.driver.memory": os.environ.get("BENCH_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the UI
+        conf.update({"spark.eventLog.enabled": "true",
+                     "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_session(master=f"local[{cpus}]", app_name="chirpflow-bench", log_level="ERROR",
-                        conf={"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
-                              "spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+                        conf=conf)
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
