@@ -213,3 +213,25 @@ def test_idf_table_is_capped_like_the_vectorizer(spark, split):
     assert all(math.isclose(idf[t], mllib[t], rel_tol=1e-9) for t in shared)
     rows = FT.tfidf_terms(train, small).select("term").distinct().collect()
     assert {r.term for r in rows} <= set(idf)
+
+
+def test_random_split_partitions_rows(split):
+    labelled, _, _ = split
+    base = labelled.select("doc_id", "label").coalesce(2)
+    train, test = P.random_split(base)
+    a = [r.doc_id for r in train.collect()]
+    b = [r.doc_id for r in test.collect()]
+    assert not set(a) & set(b) and sorted(a + b) == sorted(r.doc_id for r in base.collect())
+    assert 0.7 < len(a) / (len(a) + len(b)) < 0.9
+    again = [r.doc_id for r in P.random_split(base)[0].collect()]
+    assert sorted(again) == sorted(a)
+
+
+def test_lr_fit_is_deterministic(split):
+    _, train, test = split
+    runs = []
+    for _ in range(2):
+        lr = M.fit_models(train, FT.ENGLISH, ("lr",))["lr"]
+        runs.append({r.doc_id: r.prediction
+                     for r in M.score_texts(test, lr).select("doc_id", "prediction").collect()})
+    assert runs[0] == runs[1]
