@@ -77,11 +77,10 @@ def to_utf8(c: Column | str) -> Column:
 
 
 def clock_label(ts: Column | str) -> Column:
-    """unpadded ``H:M.S`` label of a timestamp."""
+    """unpadded ``H:M.S`` label of a timestamp (NULL for NULL)."""
     t = _col(ts)
-    return F.concat_ws("", F.hour(t).cast("string"), F.lit(":"),
-                       F.minute(t).cast("string"), F.lit("."),
-                       F.second(t).cast("string"))
+    return F.concat(F.hour(t).cast("string"), F.lit(":"), F.minute(t).cast("string"), F.lit("."),
+                    F.second(t).cast("string"))
 
 
 def ingest_clock() -> Column:

@@ -195,8 +195,8 @@ ORACLE: dict[str, str] = {
     "reverse_text": "SELECT doc_id, reverse(text) AS text FROM documents",
     "space_tokens": _tokens_sql("string_split(text, ' ')"),
     "whitespace_tokens": _tokens_sql(_ws_tokens("text")),
-    "ingest_clock": "SELECT event_id, concat(hour(ts), ':', minute(ts), '.', second(ts)) AS clock "
-                    "FROM events",
+    "ingest_clock": "SELECT event_id, CAST(hour(ts) AS VARCHAR) || ':' || CAST(minute(ts) AS VARCHAR) "
+                    "|| '.' || CAST(second(ts) AS VARCHAR) AS clock FROM events",
     "keyword_filter": "SELECT doc_id FROM documents WHERE list_has_any("
                       f"{_word_tokens('text')}, [{', '.join(_q(k) for k in DEMO_KEYWORDS)}])",
     "keyword_route": f"WITH {ROUTED} SELECT doc_id, topic FROM routed",

@@ -78,8 +78,8 @@ def test_reverse_and_utf8(spark):
 
 
 def test_clock_label_unpadded(spark):
-    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 03:04:05.9' AS ts")
-    assert df.select(T.clock_label("ts")).first()[0] == "3:4.5"
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 03:04:05.9' AS ts UNION ALL SELECT NULL")
+    assert [r[0] for r in df.select(T.clock_label("ts")).collect()] == ["3:4.5", None]
 
 
 def test_null_in_null_out(spark):
