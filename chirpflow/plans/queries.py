@@ -311,8 +311,8 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def whitespace_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 (reverse, whitespace split, counts, IDF, NB) on non-English documents."""
-    docs = _docs(spark, sf_dir).filter(F.col("lang") != "en").select("doc_id", "text")
-    labelled = P.attach_labels(docs, read_table(spark, sf_dir, "labels"))
+    docs = _docs(spark, sf_dir, spread=False).filter(F.col("lang") != "en").select("doc_id", "text")
+    labelled = spread_small_scan(P.attach_labels(docs, read_table(spark, sf_dir, "labels")))
     models, test = _fitted(spark, sf_dir, ("nb",), FT.WHITESPACE, labelled)
     return M.score_texts(test, models["nb"], FT.WHITESPACE).select("doc_id", "label", "prediction")
 
