@@ -47,6 +47,20 @@ def get_session(master: str | None = None, app_name: str = "chirpflow",
     return spark
 
 
+def tune_shuffle(spark: SparkSession, input_bytes: int,
+                 partition_bytes: int = 128 << 20) -> int:
+    """Size shuffles for an input of ``input_bytes`` so each reducer holds about
+    ``partition_bytes`` and none spills heavily.  AQE can only coalesce
+    partitions, never split them, so the partition count must start high
+    enough: one per ``partition_bytes`` of input, at least two per core.
+    Returns the partition count set for the session."""
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    return parts
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

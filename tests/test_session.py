@@ -26,3 +26,15 @@ def test_kafka_reader_options_are_built_without_a_broker(spark):
         read_kafka_stream(spark, "localhost:9092", "tweets", min_partitions=64,
                           max_offsets_per_trigger=100000)
     assert "kafka" in str(e.value).lower()
+
+
+def test_tune_shuffle_scales_with_input(spark):
+    from chirpflow.session import tune_shuffle
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert tune_shuffle(spark, 10 << 20) == 2 * cores
+        assert tune_shuffle(spark, 100 << 40) == (100 << 40) // (128 << 20)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str((100 << 40) // (128 << 20))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
