@@ -77,8 +77,9 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
     """One row per (text, topic) match: ``id_col, topic, *keep``.
 
     Small keyword tables (the normal case: a handful of keywords per topic) are
-    inlined as literal arrays, one ``arrays_overlap`` per topic over the text's
-    distinct tokens; routing is a narrow projection + explode with no shuffle,
+    inlined as literal arrays: one ``arrays_overlap`` against all keywords,
+    then one per topic for the texts that matched; routing is a narrow
+    projection + explode with no shuffle,
     inside whole-stage codegen, and works on a stream.  (There is deliberately
     no separate pre-filter on the raw text: Catalyst would push it below a
     repartition and tokenize twice.)  A larger table goes through an
@@ -95,8 +96,13 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
             return df.select(*cols, F.lit(None).cast("string").alias("topic")).limit(0) \
                 .select(id_col, "topic", *keep)
         lit_array = lambda ws: F.array(*[F.lit(w) for w in ws])
-        hits = F.array(*[F.when(F.arrays_overlap(F.col("_tokens"), lit_array(ws)), F.lit(t))
-                         for t, ws in inline.items()])
+        toks = F.col("_tokens")
+        every = lit_array(sorted({w for ws in inline.values() for w in ws}))
+        per_topic = F.array(*[F.when(F.arrays_overlap(toks, lit_array(ws)), F.lit(t))
+                              for t, ws in inline.items()])
+        # Texts with no keyword at all skip the per-topic tests; the check sits
+        # inside the projection, so it is not pushed below an exchange.
+        hits = F.when(F.arrays_overlap(toks, every), per_topic)
         return (df.select(*cols, tokens.alias("_tokens"))
                 .select(*cols, F.explode_outer(hits).alias("topic"))
                 .filter(F.col("topic").isNotNull())
