@@ -93,8 +93,13 @@ def hash_split(df: DataFrame, key: str = "doc_id",
 
 
 def random_split(df: DataFrame, train_percent: int = C.TRAIN_PERCENT,
-                 seed: int = C.RANDOM_SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """O4, faithful mode: ``randomSplit`` (stable only for one partition layout)."""
+                 seed: int = C.RANDOM_SPLIT_SEED,
+                 sort_first: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """O4, faithful mode: ``randomSplit`` (stable only for one partition
+    layout).  ``sort_first="label"`` sorts by that column first (O1), as the
+    training scripts do, which is what fixes the layout ``randomSplit`` sees."""
+    if sort_first:
+        df = label_sort(df, sort_first)
     frac = train_percent / 100.0
     train, test = df.randomSplit([frac, 1.0 - frac], seed=seed)
     return train, test

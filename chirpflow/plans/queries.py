@@ -204,8 +204,10 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O4 faithful: ``randomSplit([0.8, 0.2], 5000)`` (layout-dependent)."""
-    train, test = P.random_split(_labelled(spark, sf_dir).select("doc_id", "label"))
+    """O1 + O4 faithful: sort by label, then ``randomSplit([0.8, 0.2], 5000)``
+    (layout-dependent, so checked by row count only)."""
+    train, test = P.random_split(_labelled(spark, sf_dir).select("doc_id", "label"),
+                                 sort_first="label")
     return (train.withColumn("side", F.lit("train"))
             .unionByName(test.withColumn("side", F.lit("test"))))
 
