@@ -3,7 +3,7 @@
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]``, fully materialised through the no-op sink, and prints
 one JSON line: ``{"metric", "value", "unit", "queries", "sf", ...}``.  Each
-query is timed ``$BENCH_RUNS`` times (default 3) after one warm-up pass; the
+query is timed ``$BENCH_RUNS`` times (default 5) after one warm-up pass; the
 median is reported and ``value`` is the sum of the medians.  Set
 ``$BENCH_EVENT_LOG`` to a folder to keep Spark's event log (stage and task
 times) for the run.
@@ -30,7 +30,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from chirpflow.plans.queries import QUERIES
