@@ -102,11 +102,18 @@ def collect_to_kafka(df: DataFrame, routes: DataFrame, servers: str, checkpoint:
                               trigger or PRODUCTION_TRIGGER)
 
 
+def texts_to_table(texts: DataFrame, path: str, checkpoint: str, table: str | None = None,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Job 2 after the source: a stream of ``text`` shaped to ``(text, words,
+    length)`` per micro-batch and appended to a table exactly once."""
+    return run_to_table(texts, path, checkpoint, trigger or PRODUCTION_TRIGGER, table,
+                        transform=lambda b: shape_stream(b, clean=False))
+
+
 def kafka_to_table(spark: SparkSession, servers: str, topic: str, path: str, checkpoint: str,
                    table: str | None = None, trigger: dict | None = None,
                    min_partitions: int | None = None) -> StreamingQuery:
     """Job 2: a topic's payloads shaped to ``(text, words, length)`` and
     appended to a table every micro-batch (5 s by default), exactly once."""
     stream = read_kafka_stream(spark, servers, topic, min_partitions=min_partitions)
-    return run_to_table(stream, path, checkpoint, trigger or PRODUCTION_TRIGGER, table,
-                        transform=lambda b: shape_stream(b, clean=False))
+    return texts_to_table(stream, path, checkpoint, table, trigger)
