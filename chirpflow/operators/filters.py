@@ -78,15 +78,14 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
 
     Small keyword tables (the normal case: a handful of keywords per topic) are
     inlined as literal arrays: one ``arrays_overlap`` against all keywords,
-    then one per topic for the texts that matched; routing is a narrow
-    projection + explode with no shuffle,
-    inside whole-stage codegen, and works on a stream.  (There is deliberately
-    no separate pre-filter on the raw text: Catalyst would push it below a
-    repartition and tokenize twice.)  A larger table goes through an
-    equi-join on the token (Spark broadcasts it only if its measured size is
-    under the broadcast threshold; AQE splits a hot token) and a distinct on
-    ``(id, topic)``, whose partial aggregate removes duplicates before the
-    shuffle.
+    then one per topic for the texts that matched.  Routing is then a narrow
+    projection + explode with no shuffle, inside whole-stage codegen, and
+    works on a stream.  (There is deliberately no separate pre-filter on the
+    raw text: Catalyst would push it below a repartition and tokenize twice.)
+    A larger table goes through an equi-join on the token (Spark broadcasts it
+    only if its measured size is under the broadcast threshold; AQE splits a
+    hot token) and a distinct on ``(id, topic)``, whose partial aggregate
+    removes duplicates before the shuffle.
     """
     cols = [id_col, *keep]
     tokens = F.array_distinct(regex_tokens(text_col, unicode))
@@ -95,7 +94,9 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
         if not inline:
             return df.select(*cols, F.lit(None).cast("string").alias("topic")).limit(0) \
                 .select(id_col, "topic", *keep)
-        lit_array = lambda ws: F.array(*[F.lit(w) for w in ws])
+        def lit_array(words):
+            return F.array(*[F.lit(w) for w in words])
+
         toks = F.col("_tokens")
         every = lit_array(sorted({w for ws in inline.values() for w in ws}))
         per_topic = F.array(*[F.when(F.arrays_overlap(toks, lit_array(ws)), F.lit(t))
