@@ -114,8 +114,9 @@ def term_stats(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "d
 
 def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
     """O3: the ``k`` most frequent terms (ties by term).  Each task keeps only
-    its own top ``k`` before the final merge, so the merge holds at most
-    ``k x tasks`` rows whatever the corpus size."""
+    its own top ``k``; the final merge (one task, or the driver when the result
+    is broadcast) receives at most ``k`` rows per task and keeps ``k``, so its
+    memory is bounded by ``k`` whatever the corpus size."""
     return stats.orderBy(F.desc("tf"), F.asc("term")).limit(k)
 
 
