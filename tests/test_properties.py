@@ -62,3 +62,19 @@ def test_url_and_digit_cleaning_idempotent(spark, values):
     once = [r[0] for r in _eval(spark, values, [T.strip_urls(T.remove_digits("text"))])]
     twice = [r[0] for r in _eval(spark, once, [T.strip_urls(T.remove_digits("text"))])]
     assert once == twice
+
+
+TOKEN_ALPHABET = list("aZ09_ -,.'") + ["K", "İ", "Σ", "é", "ß", "\n", "\xa0", "٣"]
+token_text = st.lists(st.sampled_from(TOKEN_ALPHABET), max_size=25).map("".join)
+
+
+@SETTINGS
+@given(st.lists(token_text, min_size=40, max_size=40))
+def test_english_tokens_equal_python(spark, values):
+    from chirpflow.operators import features as FT
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, text string")
+    rows = FT.tokenize(df, FT.ENGLISH).orderBy("i").select("words").collect()
+    for v, r in zip(values, rows):
+        digitless = re.sub(r"\d+", "", v, flags=re.ASCII)
+        expected = [t for t in re.split(r"\W", digitless.lower(), flags=re.ASCII) if t]
+        assert r.words == expected, v
