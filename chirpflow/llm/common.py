@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -
         sizes = np.full(n, batch.nbytes / n)
         for col in batch.columns:
             if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) or pa.types.is_string(col.type):
-                lengths = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+                lengths = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
                 sizes = lengths.astype(np.float64) + 64
                 break
         block = (np.cumsum(sizes) // max_bytes).astype(np.int64)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import line_rules, packing, pii_crf
+from . import langid, line_rules, packing, pii_crf, quality
 from .oracle import ORACLE  # noqa: F401 - part of the registration
 
 
@@ -16,14 +16,25 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality classifier (3): boosted trees on document statistics."""
+    docs = C.table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, C.table(spark, sf_dir, "labels")))
+
+
 def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data (5): rules plus a skip-chain conditional random field."""
     return pii_crf.personal_data(C.table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language ID (9): Kneser-Ney character models."""
+    return langid.identify(C.table(spark, sf_dir, "documents"))
+
+
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules (10), line first."""
     return line_rules.line_first_rules(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op5_pii_crf, op10_line_rules)}
+QUERIES = {f.__name__: f for f in (op1_pack, op3_quality, op5_pii_crf, op9_language, op10_line_rules)}
