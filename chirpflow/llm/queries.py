@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import langid, line_rules, packing, pii_crf, quality
+from . import bpe, hnsw, langid, line_rules, packing, pii_crf, quality, warc
 from .oracle import ORACLE  # noqa: F401 - part of the registration
 
 
@@ -16,6 +16,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False)
 
 
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate nearest neighbours (2): small-world graphs per shard."""
+    return hnsw.nearest(C.table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality classifier (3): boosted trees on document statistics."""
     docs = C.table(spark, sf_dir, "documents")
@@ -27,6 +32,18 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.personal_data(C.table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE (7): recursive queries encode, ordered aggregation decodes."""
+    return bpe.digests(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                       public_tokenizers.PATTERN)
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC (8): Zstandard archives of all pages, written and read back."""
+    pages = C.table(spark, sf_dir, "pages")
+    return warc.records(warc.write(pages), payloads=False).drop("url")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language ID (9): Kneser-Ney character models."""
     return langid.identify(C.table(spark, sf_dir, "documents"))
@@ -37,4 +54,5 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_first_rules(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op3_quality, op5_pii_crf, op9_language, op10_line_rules)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op5_pii_crf, op7_bpe, op8_warc, op9_language,
+                                      op10_line_rules)}
