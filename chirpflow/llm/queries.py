@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import bpe, hnsw, langid, line_rules, packing, pii_crf, quality, warc
+from . import bpe, ctw, hnsw, langid, line_rules, packing, pii_crf, quality, warc
 from .oracle import ORACLE  # noqa: F401 - part of the registration
 
 
@@ -27,6 +27,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, C.table(spark, sf_dir, "labels")))
 
 
+def op4_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores (4): context-tree weighting over bytes."""
+    return ctw.score_texts(C.table(spark, sf_dir, "documents"))
+
+
 def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data (5): rules plus a skip-chain conditional random field."""
     return pii_crf.personal_data(C.table(spark, sf_dir, "documents"))
@@ -54,5 +59,5 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_first_rules(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op5_pii_crf, op7_bpe, op8_warc, op9_language,
+QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op4_ctw, op5_pii_crf, op7_bpe, op8_warc, op9_language,
                                       op10_line_rules)}
