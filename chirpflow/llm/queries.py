@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import bpe, ctw, hnsw, langid, line_rules, packing, pii_crf, quality, warc
+from . import bpe, ctw, hnsw, langid, line_rules, ngram_join, packing, pii_crf, quality, warc
 from .oracle import ORACLE  # noqa: F401 - part of the registration
 
 
@@ -37,6 +37,11 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.personal_data(C.table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (6): near-duplicate components of all documents."""
+    return ngram_join.near_duplicates(C.table(spark, sf_dir, "documents")).drop("row")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE (7): recursive queries encode, ordered aggregation decodes."""
     return bpe.digests(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -59,5 +64,5 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_first_rules(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op4_ctw, op5_pii_crf, op7_bpe, op8_warc, op9_language,
+QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op4_ctw, op5_pii_crf, op6_ngram_join, op7_bpe, op8_warc, op9_language,
                                       op10_line_rules)}
