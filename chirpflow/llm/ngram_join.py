@@ -354,3 +354,21 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return (slim.withColumn("salt", (F.col("row") % SALTS).cast("int")).join(told, ["print", "salt"], "left")
             .select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("class_id", "row").alias("class_id"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with its columns, one row of each component: the one with the
+    smallest ``doc_id`` (NULL last), or the first read of these.  ``docs`` must
+    be read from files, so that its rows have the same order each time."""
+    row = "__row__"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), threshold)
+    ids = numbered.select(F.col(row), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id__"))
+    grouped = (found.select(F.col("doc_id").alias(row), "component_id")
+               .join(ids, row).groupBy("component_id")
+               .agg(F.min(F.struct("__id__", row)).alias("first"), F.count(F.lit(1)).alias("size")))
+    groups = grouped.filter("size > 1").select("component_id", F.col(f"first.{row}").alias("stays"))
+    # Only rows of groups can go; their list is small against the documents and is joined by row.
+    gone = (found.select(F.col("doc_id").alias(row), "component_id").join(groups, "component_id")
+            .filter(F.col(row) != F.col("stays")).select(row))
+    return numbered.join(C.write_once(gone, "join_gone"), row, "left_anti").drop(row)

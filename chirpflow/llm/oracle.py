@@ -2,4 +2,89 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from .line_rules import BOILERPLATE_WORDS, MAX_LOSS, MAX_REPEATED, MIN_WORDS, PHRASES, SHORT_LINE_WORDS
+
+WHITE = r"\x20\x09-\x0D"
+
+LINE_RULES = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT r, doc_id, t, regexp_extract_all(t, '[^{WHITE}]+') AS words FROM d
+), lines AS (
+    SELECT r, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d
+), judged AS (
+    SELECT r, l, i, len(regexp_extract_all(l, '[^{WHITE}]+')) AS n,
+           row_number() OVER (PARTITION BY r, l ORDER BY i) AS copy,
+           len(regexp_extract_all(l, '[|>»•·]')) AS separators,
+           len(regexp_extract_all(l, '[#*$%&|<>]')) AS symbols,
+           length(regexp_replace(l, '[{WHITE}]+', '', 'g')) AS chars
+    FROM lines
+), ruled AS (
+    SELECT r, copy, chars, CASE
+        WHEN copy > 1 THEN 'repeated'
+        WHEN separators >= 2 AND 2 * separators >= n THEN 'navigation'
+        WHEN n <= {BOILERPLATE_WORDS} AND regexp_matches(
+            translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '{"|".join(p.decode() for p in PHRASES)}') THEN 'boilerplate'
+        WHEN symbols > n THEN 'punctuation'
+        WHEN n < {SHORT_LINE_WORDS} AND NOT regexp_matches(l, '[.!?:;,)\\]"''|\\-…”»。][{WHITE}]*$') THEN 'punctuation'
+        END AS rule
+    FROM judged WHERE n > 0
+), by_line AS (
+    SELECT r, count(*) AS n_lines, count(*) FILTER (copy > 1) AS n_dup_lines, count(rule) AS n_removed_lines,
+           coalesce(sum(chars) FILTER (rule IS NOT NULL), 0) AS removed_chars,
+           coalesce(string_agg(DISTINCT rule, ',' ORDER BY rule), '') AS removed_rules
+    FROM ruled GROUP BY r
+), places AS (
+    SELECT r, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM w
+), windows AS (
+    SELECT r, i, a, lead(a) OVER s AS b, lead(a, 2) OVER s AS c FROM places WINDOW s AS (PARTITION BY r ORDER BY i)
+), found AS (
+    SELECT r, i, c IS NOT NULL AND count(*) OVER (PARTITION BY r, a, b, c) > 1 AS again FROM windows
+), inside AS (
+    SELECT r, again OR coalesce(lag(again) OVER s, false) OR coalesce(lag(again, 2) OVER s, false) AS yes
+    FROM found WINDOW s AS (PARTITION BY r ORDER BY i)
+), repeated AS (
+    SELECT r, count(*) FILTER (yes) AS n FROM inside GROUP BY r
+), counted AS (
+    SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(t, '[{WHITE}]+', '', 'g')) AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(repeated.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+           coalesce(n_removed_lines, 0) AS n_removed_lines, coalesce(removed_chars, 0) AS removed_chars,
+           coalesce(removed_rules, '') AS removed_rules
+    FROM w LEFT JOIN by_line USING (r) LEFT JOIN repeated USING (r)
+), failed AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM counted
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND 100 * removed_chars <= {MAX_LOSS} * word_chars AS kept,
+       CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed_lines AS BIGINT) AS n_removed_lines,
+       CAST(removed_chars AS BIGINT) AS removed_chars, removed_rules
+FROM failed
+"""
+
+# The other nine learn a model, search approximately, hash or use formats that
+# SQL does not have; tests/llm holds them against brute force.
+WARC = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS payload FROM pages
+), s AS (
+    SELECT r, page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM d
+), bits AS (
+    SELECT s.*, first_value(page_id) OVER (PARTITION BY hex ORDER BY page_id DESC NULLS LAST, r DESC) AS head,
+           row_number() OVER (PARTITION BY hex ORDER BY page_id DESC NULLS LAST, r DESC) AS place
+    FROM s
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+           FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN head END AS refers_to
+FROM bits
+"""
+
+ORACLE: dict[str, str] = {"op10_line_rules": LINE_RULES, "op8_warc": WARC}
