@@ -58,7 +58,8 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift += np.log(x + k)
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) - shift
+    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 
 def kt_block(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -72,8 +73,8 @@ def kt_block_column(n0: Column, n1: Column) -> Column:
         y, product = x + 8, x
         for k in range(1, 8):
             product = product * (x + k)
-        return ((y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y)
-                - F.log(product))
+        series = 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
+        return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
     return lg(n0 + 0.5) + lg(n1 + 0.5) - lg(n0 + n1 + 1.0) - math.log(math.pi)
 
 

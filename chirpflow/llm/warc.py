@@ -175,14 +175,15 @@ def read(content: bytes) -> list[dict]:
 def marked(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``(page_id, url, html, is_response, refers_to)``.
 
-    Payloads that occur once need no partner; for the others one row per payload
+    The pages are written once with a number each, which tells equal rows apart.  Payloads that occur once need no partner; for the others one row per payload
     (the response) is joined back.  That side is small against the pages and is
     repeated ``SALTS`` times, so a payload that a third of all pages share is
     spread over as many tasks, whatever the skew settings are."""
-    rows = (pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                         F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"")).alias("html"))
-            .withColumn("row", F.monotonically_increasing_id())
-            .withColumn("digest", F.unhex(F.sha1("html"))))
+    rows = C.write_once(
+        pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                     F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"")).alias("html"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .withColumn("digest", F.unhex(F.sha1("html"))), "warc_pages")
     heads = (rows.filter(F.octet_length("html") >= min_bytes).groupBy("digest")
              .agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "row")).alias("best"))
              .filter("copies > 1")
