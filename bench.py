@@ -23,7 +23,7 @@ sys.path.insert(0, HERE)
 
 HEADLINE = [
     "tweet_shape", "stream_tweet_shape", "keyword_route", "term_frequency", "idf_weights",
-    "tfidf_terms", "nb_predictions", "lr_accuracy",
+    "tfidf_terms", "nb_parameters", "nb_predictions", "lr_accuracy",
 ]
 
 
@@ -34,9 +34,11 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from chirpflow.plans.queries import QUERIES
-    from chirpflow.session import get_session
+    from chirpflow.session import clear_scratch, get_session
+    from chirpflow.sources.files import SPREAD_SETTING
 
     conf = {"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
+            SPREAD_SETTING: cpus,  # the bench tables are one row group each, which one task would read
             "spark.driver.memory": os.environ.get("BENCH_MEM", "16g")}
     if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the UI
         conf.update({"spark.eventLog.enabled": "true",
@@ -65,6 +67,7 @@ def main() -> None:
         "runs": runs,
         "spark": spark.version,
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

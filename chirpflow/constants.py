@@ -56,15 +56,6 @@ ENGLISH_STOP_WORDS = (
     "what's when's where's who's why's would"
 ).split()
 
-# --- Fixed values: collector keyword table (topic, keywords) ---
-# The collectors publish tweets that match any keyword of a topic to that topic.
-REFERENCE_ROUTES = [
-    ("afghan_tweets", ["afghan", "afghanistan", "taliban", "TalibanOurGaurdians"]),
-    ("taliban_tweets", ["taliban", "TalibanOurGaurdians"]),
-    ("afghan_afghanistan_tweets", ["afghan", "afghanistan"]),
-    ("afghan_refugee_tweets", ["afghanrefugees", "afghanrefugeeswelcom"]),
-]
-
 # --- Fixed values: training defaults ---
 TRAIN_PERCENT = 80          # 80/20 split
 RANDOM_SPLIT_SEED = 5000    # seed of the faithful randomSplit mode

@@ -20,14 +20,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.text import remove_digits, reverse_text, whitespace_tokens
+from ..session import scratch_path
 from .filters import drop_null_text
 
+#: The term that stands for a document itself; no tokenizer gives an empty term.
+MARKER = ""
+
 FEATURES = "features"
 WEIGHTS = "vectorizedFeatures"
 
@@ -76,6 +80,12 @@ def get_profile(profile: str | Profile) -> Profile:
     return PROFILES[profile] if isinstance(profile, str) else profile
 
 
+def with_profile(model: PipelineModel, profile: str | Profile) -> PipelineModel:
+    """Note the preparation a model was trained with on the model."""
+    model.profile = get_profile(profile)
+    return model
+
+
 def tokenize(df: DataFrame, profile: str | Profile = ENGLISH, text_col: str = "text") -> DataFrame:
     """Prepared frame with the profile's token column (M1, M2); narrow, no fit."""
     p = get_profile(profile)
@@ -87,11 +97,14 @@ def tokenize(df: DataFrame, profile: str | Profile = ENGLISH, text_col: str = "t
 
 
 def doc_terms(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
-              text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+              text_col: str = "text", keep: Sequence[str] = (), marker: bool = False) -> DataFrame:
     """Per-document term counts ``(id, *keep, term, tf)``; ``keep`` columns must
-    be functions of the document (label, split side)."""
+    be functions of the document (label, split side).  With ``marker`` each
+    document also counts one ``MARKER`` term, so the number of documents comes
+    with the terms and needs no second scan."""
     p = get_profile(profile)
-    toks = explode_tokens(tokenize(df, p, text_col), [id_col, *keep], p.tokens_col, "term")
+    words = F.concat(F.array(F.lit(MARKER)), F.col(p.tokens_col)) if marker else F.col(p.tokens_col)
+    toks = explode_tokens(tokenize(df, p, text_col), [id_col, *keep], words, "term")
     return toks.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -112,50 +125,52 @@ def term_stats(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "d
             .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
 
 
-def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
-    """O3: the ``k`` most frequent terms (ties by term).  Each task keeps only
-    its own top ``k``; the final merge (one task, or the driver when the result
-    is broadcast) receives at most ``k`` rows per task and keeps ``k``, so its
-    memory is bounded by ``k`` whatever the corpus size."""
-    return stats.orderBy(F.desc("tf"), F.asc("term")).limit(k)
+def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE, prefix: int = 4) -> DataFrame:
+    """O3: the ``k`` most frequent terms (ties by term), as a filter: no task
+    merges candidates.  The frequency at the cut comes from the histogram of
+    frequencies (one row per distinct frequency).  Of the terms with exactly that
+    frequency the first ones stay: those whose first ``prefix`` characters sort
+    before the prefix at the cut, and within that one prefix by rank."""
+    def cumulative(counts: DataFrame, order) -> DataFrame:
+        return counts.withColumn("upto", F.sum("c").over(Window.orderBy(order)))
+    by_tf = cumulative(stats.groupBy("tf").agg(F.count(F.lit(1)).alias("c")), F.desc("tf"))
+    cut = by_tf.filter(F.col("upto") >= k).agg(F.max("tf")).scalar()
+    above = by_tf.filter(F.col("tf") > cut).agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
+    tied = stats.filter(F.col("tf") == cut).withColumn("head", F.substring("term", 1, prefix))
+    by_head = cumulative(tied.groupBy("head").agg(F.count(F.lit(1)).alias("c")), F.asc("head"))
+    heads = by_head.filter(F.col("upto") - F.col("c") + above < k)
+    placed = (tied.join(heads, "head").filter(F.col("upto") + above > k)
+              .withColumn("rank", F.row_number().over(Window.partitionBy("head").orderBy("term")))
+              .filter(F.col("rank") + F.col("upto") - F.col("c") + above <= k))
+    whole = tied.join(heads, "head").filter(F.col("upto") + above <= k)
+    cols = stats.columns
+    return (stats.filter(cut.isNull() | (F.col("tf") > cut)).select(*cols)
+            .unionByName(whole.select(*cols)).unionByName(placed.select(*cols)))
 
 
 def idf_weights(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", vocab_size: int | None = None) -> DataFrame:
     """A5: ``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))``, m = training
-    documents, over the vectorizer's vocabulary (at most ``vocab_size`` terms)."""
-    p = get_profile(profile)
-    return idf_from_terms(doc_terms(train, p, id_col, text_col), doc_count(train, p, text_col),
-                          vocab_size=p.vocab_size)
-
-
-def doc_count(df: DataFrame, p: Profile, text_col: str, fit: Column | None = None) -> Column:
-    """Number of (prepared) documents as a scalar subquery: Spark runs it as
-    its own small job, pruned to the columns it needs, and folds the value in."""
-    prepared = p.prepare(df, text_col)
-    if fit is not None:
-        prepared = prepared.filter(fit)
-    return prepared.select(F.count(F.lit(1))).scalar()
+    documents; all terms, or the ``vocab_size`` most frequent."""
+    return idf_from_terms(doc_terms(train, profile, id_col, text_col, marker=True), vocab_size=vocab_size)
 
 
-def idf_from_terms(terms: DataFrame, m: Column, fit: Column | None = None,
-                   vocab_size: int | None = None) -> DataFrame:
-    """IDF from per-document terms, counting only rows where ``fit`` holds.
+def idf_from_terms(terms: DataFrame, fit: Column | None = None, vocab_size: int | None = None) -> DataFrame:
+    """IDF from per-document terms with markers, counting only rows where ``fit``
+    holds.  ``vocab_size`` keeps the most frequent terms, as ``CountVectorizer``
+    does; without it no term is dropped.
 
-    With ``vocab_size`` only the most frequent terms are kept (total count
-    desc, then term), as ``CountVectorizer`` keeps them, so the table has at
-    most ``vocab_size`` rows whatever the corpus (and Spark can broadcast it).
-
-    The counts read ``tf`` on purpose: column pruning would otherwise drop
-    the per-document count from this branch, its plan would differ from the
-    weights branch of ``tfidf_terms``, and Spark would tokenize the corpus a
-    second time instead of reusing the shuffle."""
+    The counts read ``tf`` on purpose, and the marker is told apart by an
+    aggregate: column pruning, or a filter pushed below the aggregation, would
+    make this branch's plan differ from the weights branch of ``tfidf_terms``,
+    and Spark would tokenize the corpus again instead of reusing the shuffle."""
     in_fit = F.col("tf") > 0 if fit is None else fit & (F.col("tf") > 0)
     stats = terms.groupBy("term").agg(
         F.count_if(in_fit).alias("df"),
-        F.sum(F.when(in_fit, F.col("tf"))).alias("tf"))
-    if fit is not None:
-        stats = stats.filter(F.col("df") > 0)
+        F.sum(F.when(in_fit, F.col("tf"))).alias("tf"),
+        F.max(F.col("term") == MARKER).alias("_marker"))
+    m = stats.filter("_marker").agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
+    stats = stats.filter(~F.col("_marker") & (F.col("df") > 0)).drop("_marker")
     if vocab_size is not None:
         stats = vocabulary_topk(stats, vocab_size)
     return stats.select("term", "df", idf_column(m, F.col("df")).alias("idf"))
@@ -167,27 +182,44 @@ def idf_column(m: Column, df_col: Column) -> Column:
 
 def tfidf_terms(docs: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
                 text_col: str = "text", fit: Column | None = None,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), vocab_size: int | None = None) -> DataFrame:
     """M4 in long form: ``(id, *keep, term, tf, weight)`` for every document,
     with the IDF fitted on the rows where ``fit`` holds (all rows if None).
-    Terms outside the vocabulary (unseen, or beyond ``vocab_size``) are
-    dropped, as the fitted vectorizer ignores them.
-
-    The text is tokenized once: the IDF is a conditional count over the same
-    per-document terms, so both branches share one shuffle (Spark reuses the
-    exchange).  The IDF table has at most ``vocab_size`` rows, so Spark
-    broadcasts it once it measures it (AQE) instead of shuffling the
-    document terms on ``term``.
+    Terms not seen in the fit are dropped, as the fitted vectorizer ignores
+    them, and so are those beyond ``vocab_size`` if one is given.
+
+    The text is scanned and tokenized once: the number of documents and the
+    IDF are conditional counts over the same per-document terms, so all
+    branches share one shuffle (Spark reuses the exchange).
     """
     p = get_profile(profile)
     fit_keep = ["_fit"] if fit is not None else []
     base = docs.withColumn("_fit", fit) if fit is not None else docs
-    terms = doc_terms(base, p, id_col, text_col, [*keep, *fit_keep])
-    m = doc_count(docs, p, text_col, fit)
-    idf = idf_from_terms(terms, m, F.col("_fit") if fit is not None else None, p.vocab_size)
+    terms = doc_terms(base, p, id_col, text_col, [*keep, *fit_keep], marker=True)
+    idf = idf_from_terms(terms, F.col("_fit") if fit is not None else None, vocab_size)
     return (terms.join(idf.select("term", "idf"), "term")
             .select(id_col, *keep, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
 
 
+def vectorizer(tokens: DataFrame, profile: str | Profile) -> CountVectorizerModel:
+    """The fitted vectorizer of a frame with the profile's token column.  Its
+    vocabulary is ``vocabulary_topk``'s, so no candidate list is merged on the
+    driver: one task writes the at most ``vocab_size`` terms in order into a saved
+    model's folder, which is then loaded in one read."""
+    p = get_profile(profile)
+    spark = tokens.sparkSession
+    stats = (explode_tokens(tokens, [], p.tokens_col, "term").groupBy("term")
+             .agg(F.count(F.lit(1)).alias("tf")))
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("tf")).alias("tf"), "term")))
+    words = vocabulary_topk(stats, p.vocab_size).agg(ordered["term"].alias("vocabulary"))
+    path = scratch_path(spark, "vectorizer")
+    CountVectorizerModel.from_vocabulary(["-"], inputCol=p.tokens_col, outputCol=FEATURES).save(path)
+    words.write.mode("overwrite").parquet(f"{path}/data")
+    model = CountVectorizerModel.load(path)
+    if not model.vocabulary:
+        raise ValueError("no term to train on")
+    return model
+
+
 def feature_pipeline(profile: str | Profile = ENGLISH, text_col: str = "text") -> Pipeline:
     return Pipeline(stages=get_profile(profile).feature_stages(text_col))

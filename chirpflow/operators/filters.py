@@ -14,16 +14,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import constants as C
 from ..functions.text import regex_tokens
 
-# A keyword table with at most this many topics and keywords is inlined into
-# the plan as literals (no shuffle, stream-safe, whole-stage codegen).  Bigger
-# tables take the join path.
-MAX_INLINE_TOPICS = 64
-MAX_INLINE_KEYWORDS = 10_000
-
-
 def drop_null_text(df: DataFrame, cols: Sequence[str] = ("text",)) -> DataFrame:
     """Drop rows with NULL in ``cols`` (the tokenizer fails on NULL)."""
     return df.na.drop(subset=list(cols))
@@ -40,7 +32,7 @@ def keyword_filter(df: DataFrame, keywords: Iterable[str], text_col: str = "text
 
 
 def routes_frame(spark: SparkSession,
-                 routes: Sequence[tuple[str, Sequence[str]]] = C.REFERENCE_ROUTES) -> DataFrame:
+                 routes: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
     """``[(topic, [keywords])]`` to a ``(topic, keyword)`` frame.  Built as a
     parameterized ``VALUES`` query, so Spark plans it as a local relation that
     is read on the driver without a job."""
@@ -54,64 +46,33 @@ def routes_frame(spark: SparkSession,
     return spark.sql(f"SELECT * FROM VALUES {marks} AS routes(topic, keyword)", args=args)
 
 
-def _inline_routes(routes: DataFrame) -> dict[str, list[str]] | None:
-    """``{topic: [keywords]}`` of a small keyword table, or None when the table
-    is over the inline limits.  At most ``MAX_INLINE_KEYWORDS + 1`` rows are
-    fetched, so the size check itself is bounded (and needs no shuffle; the
-    fetched rows are de-duplicated here)."""
-    small = routes.select("topic", F.lower("keyword").alias("k"))
-    rows = small.limit(MAX_INLINE_KEYWORDS + 1).collect()
-    if len(rows) > MAX_INLINE_KEYWORDS:
-        return None
-    by_topic: dict[str, set[str]] = {}
-    for r in rows:
-        by_topic.setdefault(r.topic, set()).add(r.k)
-    if len(by_topic) > MAX_INLINE_TOPICS:
-        return None
-    return {t: sorted(k) for t, k in sorted(by_topic.items())}
-
-
-def keyword_route(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
+def keyword_route(df: DataFrame, routes: DataFrame, id_col: str | None = "doc_id",
                   text_col: str = "text", keep: Sequence[str] = (),
                   unicode: bool = False) -> DataFrame:
-    """One row per (text, topic) match: ``id_col, topic, *keep``.
-
-    Small keyword tables (the normal case: a handful of keywords per topic) are
-    inlined as literal arrays: one ``arrays_overlap`` against all keywords,
-    then one per topic for the texts that matched.  Routing is then a narrow
-    projection + explode with no shuffle, inside whole-stage codegen, and
-    works on a stream.  (There is deliberately no separate pre-filter on the
-    raw text: Catalyst would push it below a repartition and tokenize twice.)
-    A larger table goes through an equi-join on the token (Spark broadcasts it
-    only if its measured size is under the broadcast threshold; AQE splits a
-    hot token) and a distinct on ``(id, topic)``, whose partial aggregate
-    removes duplicates before the shuffle.
+    """One row per input row and matching topic: ``id_col, topic, *keep``.
+
+    A row number is made before the tokens are exploded, so equal or NULL ids
+    stay separate rows, and ``id_col`` may be None.  Tokens are joined with the
+    keywords: Spark broadcasts the keywords if their measured size is under
+    the threshold, and then explode, join and the per-row grouping of the few
+    matches follow each other without moving a text that has no match; a larger
+    keyword table is shuffled, and a hot token is split by AQE's skew join.  NULL
+    keywords match nothing and NULL topics route nothing.
+
+    The grouping needs whole batches: on a stream use it in ``foreachBatch``
+    (``run_to_table(transform=...)``, ``collect_to_kafka``).
     """
-    cols = [id_col, *keep]
-    tokens = F.array_distinct(regex_tokens(text_col, unicode))
-    inline = _inline_routes(routes)
-    if inline is not None:
-        if not inline:
-            return df.select(*cols, F.lit(None).cast("string").alias("topic")).limit(0) \
-                .select(id_col, "topic", *keep)
-        def lit_array(words):
-            return F.array(*[F.lit(w) for w in words])
-
-        toks = F.col("_tokens")
-        every = lit_array(sorted({w for ws in inline.values() for w in ws}))
-        per_topic = F.array(*[F.when(F.arrays_overlap(toks, lit_array(ws)), F.lit(t))
-                              for t, ws in inline.items()])
-        # Texts with no keyword at all skip the per-topic tests; the check sits
-        # inside the projection, so it is not pushed below an exchange.
-        hits = F.when(F.arrays_overlap(toks, every), per_topic)
-        return (df.select(*cols, tokens.alias("_tokens"))
-                .select(*cols, F.explode_outer(hits).alias("topic"))
-                .filter(F.col("topic").isNotNull())
-                .select(id_col, "topic", *keep))
     if df.isStreaming:
-        raise ValueError("keyword table too large to inline for a streaming frame")
-    kw = routes.select(F.lower("keyword").alias("token"), "topic").distinct()
-    toks = (df.select(*cols, F.explode_outer(tokens).alias("token"))
-            .filter(F.col("token").isNotNull()))
-    return (toks.join(kw, "token").select(id_col, "topic", *keep)
-            .dropDuplicates([id_col, "topic"]))
+        raise ValueError("route a stream per micro-batch: pass the routing as the batch transform")
+    cols = list(dict.fromkeys([*([id_col] if id_col else []), *keep]))
+    words = (routes.filter(F.col("keyword").isNotNull() & F.col("topic").isNotNull())
+             .select(F.lower("keyword").alias("_token"), "topic").distinct())
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*cols).alias("_kept"),
+                     F.array_distinct(regex_tokens(text_col, unicode)).alias("_tokens"))
+    tokens = (rows.select("_row", "_kept", F.explode_outer("_tokens").alias("_token"))
+              .filter(F.col("_token").isNotNull()))
+    found = (tokens.join(words, "_token").groupBy("_row")
+             .agg(F.first("_kept").alias("_kept"), F.collect_set("topic").alias("_topics")))
+    return (found.select("_kept", F.explode("_topics").alias("topic"))
+            .select(*([f"_kept.{id_col}"] if id_col else []), "topic",
+                    *(f"_kept.{c}" for c in keep if c != id_col)))

@@ -9,25 +9,25 @@ applied the same way for training and scoring.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import IDF
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import save_model
-from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, union_classes
 from .features import (
-    ENGLISH, WEIGHTS, Profile, doc_count, doc_terms, get_profile, idf_from_terms,
+    ENGLISH, FEATURES, WEIGHTS, Profile, doc_terms, get_profile, idf_from_terms, vectorizer, with_profile,
 )
+from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, known_labels, union_classes
 
 
 def classifier(name: str, label_col: str = "label"):
@@ -46,21 +46,10 @@ def classifier(name: str, label_col: str = "label"):
     raise ValueError(f"unknown classifier {name!r}")
 
 
-# Rows per partition of the cached training vectors.  Iterative fits (L-BFGS)
-# pay a per-task cost on every iteration (dense gradient and coefficient arrays
-# of vocabulary width), so a small training set is fitted in few partitions
-# while a large one keeps one partition per ~20k documents.
-ROWS_PER_FIT_PARTITION = 20_000
-
-
-def fit_partitions(rows: int, current: int) -> int:
-    """Partitions for ``rows`` training rows: never more than ``current``."""
-    return max(1, min(current, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-
-
 def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
                names: Sequence[str] = ("lr", "nb"), text_col: str = "text",
-               label_col: str = "label", reliable: bool = True) -> dict[str, PipelineModel]:
+               label_col: str = "label", reliable: bool = True,
+               fit_partitions: int | None = None) -> dict[str, PipelineModel]:
     """M9: fit the feature stages once, then one classifier per name.
 
     The training text is scanned and tokenized once: the token arrays are
@@ -71,36 +60,33 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
     ``spark.checkpoint.dir`` (``DataFrame.checkpoint``), which cuts the
     lineage: an executor lost during the many LR iterations costs a re-read
     of its vectors, not a re-scan and re-tokenization of the raw text.
-    The classifiers read the cached vectors merged (``coalesce``, no shuffle)
-    down to ``fit_partitions``; tokenization, vectorizer and IDF passes keep
-    full parallelism.
+    Rows whose label is not 0 or 1 are left out.  ``fit_partitions`` (off by
+    default) merges the cached vectors into that many partitions: L-BFGS pays
+    for each task in each iteration.
     """
     p = get_profile(profile)
     token_stages = p.token_stages(text_col)
-    tokens = p.prepare(train, text_col)
+    tokens = p.prepare(known_labels(train, label_col), text_col)
     if token_stages:
         tokens = PipelineModel(stages=token_stages).transform(tokens)
     tokens = tokens.select(p.tokens_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     featurized = None
     try:
-        vec = Pipeline(stages=p.feature_stages(text_col)[len(token_stages):]).fit(tokens)
-        featurized = vec.transform(tokens).select(WEIGHTS, label_col)
+        counts = vectorizer(tokens, p)
+        counted = counts.transform(tokens)
+        idf = IDF(inputCol=FEATURES, outputCol=WEIGHTS).fit(counted)
+        featurized = idf.transform(counted).select(WEIGHTS, label_col)
         if reliable:
             ensure_checkpoint_dir(featurized.sparkSession)
             featurized = featurized.checkpoint(eager=True)
         featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = featurized.count()
+        featurized.count()
         tokens.unpersist()
-        try:
-            current = featurized.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep as is
-            current = 0
-        parts = fit_partitions(rows, current) if current else 0
-        fit_input = featurized.coalesce(parts) if 0 < parts < current else featurized
+        fit_input = featurized.coalesce(fit_partitions) if fit_partitions else featurized
         models = {}
         for name in names:
             clf = classifier(name, label_col).fit(fit_input)
-            models[name] = PipelineModel(stages=[*token_stages, *vec.stages, clf])
+            models[name] = with_profile(PipelineModel(stages=[*token_stages, counts, idf, clf]), p)
         return models
     finally:
         tokens.unpersist()
@@ -108,27 +94,33 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
             featurized.unpersist()
 
 
-def score_texts(df: DataFrame, model: PipelineModel, profile: str | Profile = ENGLISH,
+def _profile_of(model: PipelineModel, profile: str | Profile | None) -> Profile:
+    """The preparation asked for, else the one the model was trained with."""
+    return get_profile(profile or getattr(model, "profile", ENGLISH))
+
+
+def score_texts(df: DataFrame, model: PipelineModel, profile: str | Profile | None = None,
                 text_col: str = "text") -> DataFrame:
-    """Prepare exactly as in training, then apply the model.  Any
-    number of rows, batch or stream."""
-    return model.transform(get_profile(profile).prepare(df, text_col))
+    """Prepare exactly as in training (the profile is saved with the
+    model), then apply the model.  Any number of rows, batch or stream."""
+    return model.transform(_profile_of(model, profile).prepare(df, text_col))
 
 
 def score_all(df: DataFrame, models: dict[str, PipelineModel],
-              profile: str | Profile = ENGLISH, text_col: str = "text") -> DataFrame:
+              profile: str | Profile | None = None, text_col: str = "text") -> DataFrame:
     """Several models in one pass: ``prediction_<name>`` per model.
 
-    Models from one ``fit_models`` call share their fitted feature stages, so
-    the text is prepared and vectorized once and each classifier adds its own
-    output columns (no per-model scan, no join of the results).  Models that
-    do not share feature stages are rejected; score them with ``score_texts``.
+    Models from one ``fit_models`` call share their fitted feature stages, also
+    after saving and loading (stages keep their uid), so the text is prepared
+    and vectorized once and each classifier adds its own output columns (no
+    per-model scan, no join of the results).  Models that do not share feature
+    stages are rejected; score them with ``score_texts``.
     """
-    out = get_profile(profile).prepare(df, text_col)
+    out = _profile_of(next(iter(models.values())), profile).prepare(df, text_col)
     done: list = []
     for name, model in models.items():
         *feats, clf = model.stages
-        if [id(s) for s in feats] != [id(s) for s in done]:
+        if [s.uid for s in feats] != [s.uid for s in done]:
             if done:
                 raise ValueError("score_all needs models with shared feature stages")
             out = PipelineModel(stages=feats).transform(out)
@@ -181,42 +173,45 @@ def compare_models(preds: dict[str, DataFrame], label_col: str = "label") -> Dat
 
 
 def nb_priors(train: DataFrame, label_col: str = "label") -> DataFrame:
-    """A6, priors: ``log_pi = ln(n_c + 1) - ln(n + #classes)`` per label."""
-    counts = train.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    n = train.select(F.count(F.lit(1))).scalar()
-    k = train.select(F.count_distinct(label_col)).scalar()
-    return counts.select(
-        label_col, "n",
-        (F.log(F.col("n") + 1.0) - F.log(n.cast("double") + k.cast("double"))).alias("log_pi"))
+    """A6, priors: ``log_pi = ln(n_c + 1) - ln(n + #classes)`` per label, from
+    one scan: the sums over classes run over the counts, one row per class."""
+    counts = (train.filter(F.col(label_col).isNotNull()).groupBy(label_col)
+              .agg(F.count(F.lit(1)).alias("n")))
+    every = Window.partitionBy(F.lit(1))
+    n, k = F.sum("n").over(every), F.count(F.lit(1)).over(every)
+    return counts.select(label_col, "n", (F.log(F.col("n") + 1.0) - F.log((n + k).cast("double"))).alias("log_pi"))
 
 
 def nb_parameters(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
-                  text_col: str = "text", label_col: str = "label") -> DataFrame:
+                  text_col: str = "text", label_col: str = "label",
+                  vocab_size: int | None = None) -> DataFrame:
     """A6, likelihoods of multinomial NB on TF-IDF with smoothing 1, in long form
     ``(label, term, mass, log_theta)`` for every observed (label, term):
     ``log_theta = ln(mass + 1) - ln(total_c + V)``; unobserved pairs have
-    ``mass = 0``.  Computed with joins and aggregations only (the label rides
-    along with each document's terms, so no join back to the labels), as a check
-    of the fitted MLlib model that runs at any scale."""
+    ``mass = 0``.  The text is scanned and tokenized once: the label rides along
+    with each document's terms, the number of documents is a marker term, and
+    the totals per class (a map with one entry per class) and the vocabulary's
+    size are scalar subqueries over the same shuffle."""
     p = get_profile(profile)
-    terms = doc_terms(train, p, id_col, text_col, keep=[label_col])
-    idf = idf_from_terms(terms, doc_count(train, p, text_col), vocab_size=p.vocab_size)
-    vocab = idf.select(F.count(F.lit(1))).scalar()
+    labelled = train.filter(F.col(label_col).isNotNull())
+    terms = doc_terms(labelled, p, id_col, text_col, keep=[label_col], marker=True)
+    idf = idf_from_terms(terms, vocab_size=vocab_size)
+    vocab = idf.agg(F.count(F.lit(1))).scalar()
     weights = terms.join(idf.select("term", "idf"), "term").select(
         label_col, "term", (F.col("tf") * F.col("idf")).alias("weight"))
     mass = weights.groupBy(label_col, "term").agg(F.sum("weight").alias("mass"))
-    totals = mass.groupBy(label_col).agg(F.sum("mass").alias("total"))
-    return (mass.join(totals, label_col)
-            .select(label_col, "term", "mass",
-                    (F.log(F.col("mass") + 1.0) - F.log(F.col("total") + vocab.cast("double")))
-                    .alias("log_theta")))
+    totals = (mass.groupBy(label_col).agg(F.sum("mass").alias("total"))
+              .agg(F.map_from_entries(F.collect_list(F.struct(label_col, "total")))).scalar())
+    return mass.select(label_col, "term", "mass",
+                       (F.log(F.col("mass") + 1.0) - F.log(F.element_at(totals, F.col(label_col)) + vocab.cast("double")))
+                       .alias("log_theta"))
 
 
 def train_sentiment(positive: DataFrame, negative: DataFrame, profile: str | Profile = ENGLISH,
-                    key: str = "doc_id", names: Sequence[str] = ("lr", "nb"),
+                    key: str = "text", names: Sequence[str] = ("lr", "nb"),
                     model_dir: str | None = None, text_col: str = "text"):
     """Job 3: label the two class frames (1 Positive, 0 Negative), union them,
-    split 80/20 on ``key``, fit the feature stages once and every classifier,
+    split 80/20 on ``key`` (the text: copies stay on one side), fit the feature stages once and every classifier,
     evaluate on the held-out part and optionally save each model under
     ``model_dir/<name>``.  Returns ``(models, comparison frame)``."""
     data = union_classes(class_frame(positive, POSITIVE, 1), class_frame(negative, NEGATIVE, 0))

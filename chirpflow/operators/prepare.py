@@ -47,12 +47,17 @@ def union_classes(*frames: DataFrame, by_name: bool = True) -> DataFrame:
 def attach_labels(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
                   id_col: str = "doc_id") -> DataFrame:
     """Join documents to their labels in one pass: ``label`` (1/0) and
-    ``sentiment`` (Positive/Negative).  Spark picks the join strategy from
+    ``sentiment`` (Positive/Negative; NULL for any other label).  Spark picks the join strategy from
     measured sizes; both sides are read once."""
     lab = labels.select(id_col, F.col(label_col).cast("int").alias("label"))
     return (docs.join(lab, id_col)
             .withColumn("sentiment", F.when(F.col("label") == 1, F.lit(POSITIVE))
-                        .otherwise(F.lit(NEGATIVE))))
+                        .when(F.col("label") == 0, F.lit(NEGATIVE))))
+
+
+def known_labels(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """Rows labelled 0 or 1; a NULL or any other label is no class to train on."""
+    return df.filter(F.col(label_col).isin(0, 1))
 
 
 def class_counts(df: DataFrame, cols: Sequence[str] = ("label", "sentiment")) -> DataFrame:
@@ -78,10 +83,11 @@ def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ("doc_id",)) ->
 
 
 def split_bucket(key: Column | str) -> Column:
-    """Stable bucket 0..99 from the md5 of a key (same value in DuckDB)."""
+    """Stable bucket 0..99 from the md5 of a key (same value in DuckDB).  Rows
+    without a key are in the last bucket, so every row has a side."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint"),
-                  F.lit(100))
+    return F.coalesce(F.pmod(F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint"),
+                             F.lit(100)), F.lit(99).cast("bigint"))
 
 
 def hash_split(df: DataFrame, key: str = "doc_id",

@@ -67,8 +67,11 @@ ENGLISH_TERMS = f"list_filter(words, lambda x: NOT list_contains({_STOP}, x))"
 WHITESPACE_WORDS = _ws_tokens("reverse(text)")
 
 
-def _tokens_cte(words: str = ENGLISH_WORDS, terms: str = ENGLISH_TERMS, where: str = "") -> str:
-    """labelled -> prepared (words) -> filtered (terms) -> tf -> m -> idf."""
+def _tokens_cte(words: str = ENGLISH_WORDS, terms: str = ENGLISH_TERMS, where: str = "",
+                vocab_size: int | None = None) -> str:
+    """labelled -> prepared (words) -> filtered (terms) -> tf -> m -> idf; the
+    fitted models' vocabulary has a size, the long forms' has none."""
+    limit = f" ORDER BY total DESC, term LIMIT {vocab_size}" if vocab_size else ""
     return _labelled_cte(where) + f""",
 prepared AS (
   SELECT doc_id, label, bucket, {words} AS words
@@ -85,7 +88,7 @@ tf AS (
 m AS (SELECT count(*) AS m FROM prepared WHERE bucket < 80),
 vocab AS (
   SELECT term, count(*) AS df, sum(tf) AS total FROM tf WHERE bucket < 80
-  GROUP BY term ORDER BY total DESC, term LIMIT {C.VOCAB_SIZE}
+  GROUP BY term{limit}
 ),
 idf AS (
   SELECT term, df, ln((m.m + 1.0) / (df + 1.0)) AS idf FROM vocab, m
@@ -113,9 +116,16 @@ theta AS (
 )"""
 
 NB_MODEL = TOKENS + _NB_PARAMS
+NB_FITTED = _tokens_cte(vocab_size=C.VOCAB_SIZE) + _NB_PARAMS
+
+ALL_TERMS = f"""
+  SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM (
+    SELECT doc_id, unnest(list_filter({ENGLISH_WORDS}, lambda x: NOT list_contains({_STOP}, x))) AS term
+    FROM documents WHERE text IS NOT NULL)
+  GROUP BY term"""
 
 
-def _nb_scores(scored_docs: str, doc_terms: str, model: str = NB_MODEL) -> str:
+def _nb_scores(scored_docs: str, doc_terms: str, model: str = NB_FITTED) -> str:
     """Predictions of the closed-form NB for ``scored_docs(doc_id)`` whose term
     counts are in ``doc_terms(doc_id, term, tf)``."""
     return model + f""",
@@ -145,7 +155,7 @@ _TEST_TERMS = "SELECT doc_id, term, tf FROM tf WHERE bucket >= 80"
 
 WHITESPACE_TEST_PRED = "WITH " + _nb_scores(
     _TEST_DOCS, _TEST_TERMS,
-    _tokens_cte(WHITESPACE_WORDS, "words", "d.lang <> 'en'") + _NB_PARAMS)
+    _tokens_cte(WHITESPACE_WORDS, "words", vocab_size=C.VOCAB_SIZE) + _NB_PARAMS)
 
 NB_TEST_PRED = "WITH " + _nb_scores(_TEST_DOCS, _TEST_TERMS)
 
@@ -200,11 +210,51 @@ ORACLE: dict[str, str] = {
     "keyword_filter": "SELECT doc_id FROM documents WHERE list_has_any("
                       f"{_word_tokens('text')}, [{', '.join(_q(k) for k in DEMO_KEYWORDS)}])",
     "keyword_route": f"WITH {ROUTED} SELECT doc_id, topic FROM routed",
+    "keyword_route_wide": f"""
+        WITH rows AS (
+          SELECT row_number() OVER () AS r, doc_id, text, lang FROM (
+            SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id END AS doc_id, text, lang FROM documents
+            UNION ALL
+            SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id END AS doc_id, text, lang FROM documents)
+        ), tok AS (SELECT DISTINCT r, doc_id, lang, unnest({_word_tokens("text")}) AS token FROM rows),
+        kw AS (SELECT DISTINCT token, 'topic_' || substr(token, 1, 1) AS topic FROM tok WHERE lang = 'de')
+        SELECT doc_id, topic FROM (SELECT DISTINCT r, doc_id, topic FROM tok JOIN kw USING (token))""",
     "kafka_envelope": ENVELOPE,
+    "kafka_payload": "SELECT text, lang AS topic FROM documents",
     "rename_project": "SELECT doc_id, text FROM documents",
     "null_policy": "SELECT doc_id, lang FROM documents "
                    "WHERE (CASE WHEN lang = 'es' THEN NULL ELSE text END) IS NOT NULL",
-    "literal_labels": f"WITH {LABELLED} SELECT doc_id, sentiment, label FROM labelled",
+    "literal_labels": "SELECT doc_id, 'Positive' AS sentiment, 1 AS label FROM documents",
+    "literal_rows": f"""
+        SELECT k.text, count(t.token) AS n
+        FROM (SELECT unnest([{', '.join(_q(k) for k in DEMO_KEYWORDS)}, NULL]) AS text) k
+        LEFT JOIN (SELECT unnest({_word_tokens("text")}) AS token FROM documents) t ON t.token = k.text
+        GROUP BY k.text""",
+    "schema_columns": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS filled FROM documents"
+        for c, t in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                     ("n_chars", "bigint"))),
+    "class_counts_nulls": """
+        SELECT label, CASE WHEN label = 1 THEN 'Positive' WHEN label = 0 THEN 'Negative' END AS sentiment,
+               count(*) AS n
+        FROM (SELECT CASE WHEN l.doc_id % 7 = 0 THEN NULL WHEN l.doc_id % 11 = 0 THEN 5
+                     ELSE CAST(quality AS INTEGER) END AS label
+              FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+        GROUP BY label""",
+    "hash_split_nulls": f"""
+        SELECT lang, CASE WHEN doc_id % 3 <> 0 AND {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side,
+               count(*) AS n
+        FROM documents GROUP BY 1, 2""",
+    "index_labels": f"""
+        WITH {LABELLED}, c AS (SELECT sentiment, count(*) AS n FROM labelled WHERE label IN (0, 1) GROUP BY sentiment),
+        r AS (SELECT sentiment, CAST(row_number() OVER (ORDER BY n DESC, sentiment) - 1 AS DOUBLE) AS idx FROM c)
+        SELECT doc_id, sentiment, idx AS label FROM labelled JOIN r USING (sentiment)""",
+    "shuffle_rows": "SELECT doc_id, lang FROM documents",
+    "area_under_roc": f"""
+        WITH {LABELLED}, x AS (SELECT label, length(text) AS s FROM labelled WHERE label IN (0, 1)),
+        r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM x),
+        t AS (SELECT sum(label) AS p, count(*) - sum(label) AS q, sum(CASE WHEN label = 1 THEN r END) AS s FROM r)
+        SELECT 'areaUnderROC' AS metric, round(CAST((s - p * (p + 1) / 2.0) / (p * q) AS DOUBLE), 6) AS value FROM t""",
     "labelled_union": "SELECT d.doc_id, d.text, 'Positive' AS sentiment, 1 AS label "
                       "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1 "
                       "UNION ALL "
@@ -226,10 +276,9 @@ ORACLE: dict[str, str] = {
                          f"SELECT doc_id, list_filter({_word_tokens(_DIGITLESS)}, "
                          f"lambda x: NOT list_contains({_STOP}, x)) AS t "
                          "FROM documents WHERE text IS NOT NULL)",
-    "term_frequency": f"WITH {TOKENS} SELECT term, CAST(sum(tf) AS BIGINT) AS tf, "
-                      "count(*) AS df FROM tf GROUP BY term",
-    "vocabulary_topk": f"WITH {TOKENS} SELECT term, CAST(sum(tf) AS BIGINT) AS tf FROM tf "
-                       f"GROUP BY term ORDER BY tf DESC, term LIMIT {C.VOCAB_SIZE}",
+    "term_frequency": ALL_TERMS,
+    "vocabulary_topk": f"SELECT term, tf FROM ({ALL_TERMS}) ORDER BY tf DESC, term LIMIT {C.VOCAB_SIZE}",
+    "vocabulary_top_1000": f"SELECT term, tf FROM ({ALL_TERMS}) ORDER BY tf DESC, term LIMIT 1000",
     "idf_weights": f"WITH {TOKENS} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "tfidf_terms": f"WITH {TOKENS} SELECT tf.doc_id, tf.term, tf.tf, "
                    "round(tf.tf * idf.idf, 6) AS weight FROM tf JOIN idf ON tf.term = idf.term",
@@ -250,6 +299,14 @@ ORACLE: dict[str, str] = {
     "table_append": TWEET_SHAPE,
     "stream_tweet_shape": TWEET_SHAPE,
     "stream_batch_counts": "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n FROM documents",
+    "stream_two_runs": f"SELECT {_shape(_clean('text'))} FROM documents "
+                       f"UNION ALL SELECT {_shape(_clean('text'))} FROM conversations",
+    "stream_replay": TWEET_SHAPE,
+    "empty_batch": f"""
+        SELECT CAST(CASE WHEN {_BUCKET} < 50 THEN 0 ELSE 2 END AS BIGINT) AS batch_id, count(*) AS n
+        FROM documents GROUP BY 1""",
     "stream_route": ENVELOPE,
+    "stream_kafka_score": NB_ALL_PRED + f" SELECT {_DIGITLESS} AS text, pred.prediction "
+                          "FROM documents JOIN pred USING (doc_id) WHERE text IS NOT NULL",
     "stream_score": NB_ALL_PRED + " SELECT doc_id, prediction FROM pred",
 }

@@ -20,8 +20,10 @@ from ..operators import filters as FL
 from ..operators import models as M
 from ..operators import prepare as P
 from ..session import scratch_path
-from ..sinks.tables import append_to_table, save_model
-from ..sources.files import read_csv_texts, read_json_texts, read_table, spread_small_scan
+from ..sinks.kafka import kafka_frame
+from ..sinks.tables import append_batch, append_to_table, save_model
+from ..sources.files import read_csv_texts, read_json_texts, read_table, texts_frame
+from ..sources.kafka import payload_text
 from ..sources.models import load_model
 from ..streaming import jobs as S
 
@@ -30,26 +32,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Keyword filter used by ``keyword_filter`` (one frequent word per language).
 DEMO_KEYWORDS = ["nicht", "avec", "para"]
 
-# Routes used by the routing queries: the collectors' own table plus one topic
-# per corpus language, so the driver's invented prose has matches.
+# Routes used by the routing queries: the collectors' keyword table (fixed
+# values: their topics and keywords) plus one topic per corpus language, so the
+# driver's invented prose has matches.
 DEMO_ROUTES = [
-    *C.REFERENCE_ROUTES,
+    ("afghan_tweets", ["afghan", "afghanistan", "taliban", "TalibanOurGaurdians"]),
+    ("taliban_tweets", ["taliban", "TalibanOurGaurdians"]),
+    ("afghan_afghanistan_tweets", ["afghan", "afghanistan"]),
+    ("afghan_refugee_tweets", ["afghanrefugees", "afghanrefugeeswelcom"]),
     ("english_tweets", ["this", "from"]),
     ("french_tweets", ["avec", "dans"]),
     ("german_tweets", ["nicht", "und"]),
     ("spanish_tweets", ["para", "por"]),
 ]
 
-def _docs(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", spread=spread)
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents")
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their sentiment label (``labels.quality``).  The spread
-    of a single-split scan comes after the join, so only labelled rows move."""
-    return spread_small_scan(P.attach_labels(_docs(spark, sf_dir, spread=False)
-                                             .select("doc_id", "text"),
-                                             read_table(spark, sf_dir, "labels")))
+    """Documents with their sentiment label (``labels.quality``)."""
+    return P.attach_labels(_docs(spark, sf_dir).select("doc_id", "text"),
+                           read_table(spark, sf_dir, "labels"))
 
 
 def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -73,7 +78,7 @@ def tweet_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship shaping on the second text source, conversation turns."""
-    turns = read_table(spark, sf_dir, "conversations", spread=True)
+    turns = read_table(spark, sf_dir, "conversations")
     return turns.select("conv_id", "turn", "role", *T.shape(T.clean_tweet("text")))
 
 
@@ -90,13 +95,13 @@ def strip_retweet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strip_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 on raw web pages (every page has URLs)."""
-    return read_table(spark, sf_dir, "pages", spread=True).select(
+    return read_table(spark, sf_dir, "pages").select(
         "page_id", T.strip_urls("html").alias("text"))
 
 
 def clean_tweet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 on pages with a retweet marker prepended: marker and URLs removed."""
-    df = _with_retweet_marker(read_table(spark, sf_dir, "pages", spread=True), "page_id", "html")
+    df = _with_retweet_marker(read_table(spark, sf_dir, "pages"), "page_id", "html")
     return df.select("page_id", *T.shape(T.clean_tweet("text")))
 
 
@@ -141,6 +146,23 @@ def keyword_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FL.keyword_route(_docs(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES))
 
 
+def keyword_route_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 with every token of the German documents as a keyword (over 10,000 on
+    all but the smallest data), each document read twice, half of them without an
+    id: a topic counts once per row, never per id."""
+    docs = _docs(spark, sf_dir).select(
+        F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).alias("doc_id"), "text", "lang")
+    words = (FT.explode_tokens(docs.filter("lang = 'de'"), [], T.regex_tokens("text"), "keyword").distinct()
+             .select(F.concat(F.lit("topic_"), F.substring("keyword", 1, 1)).alias("topic"), "keyword"))
+    return FL.keyword_route(docs.unionAll(docs), words)
+
+
+def kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as Kafka rows, and their payload as text again."""
+    frame = kafka_frame(_docs(spark, sf_dir), topic="lang")
+    return payload_text(frame, keep_topic=True)
+
+
 def kafka_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 in batch form: route raw text, publish cleaned text."""
     return _envelope_rows(S.routed_frame(_docs(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES)))
@@ -167,9 +189,61 @@ def null_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def literal_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5 + F12: literal class columns on each class frame."""
-    labelled = _labelled(spark, sf_dir)
-    return labelled.select("doc_id", "sentiment", "label")
+    """P5 + F12: literal class columns on a class frame, as the training scripts add them."""
+    docs = _docs(spark, sf_dir).select("doc_id")
+    return P.with_literal(docs, "sentiment", P.POSITIVE).withColumn("label", T.literal(1))
+
+
+def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literal texts with an explicit schema, counted as words of the documents."""
+    wanted = texts_frame(spark, [*DEMO_KEYWORDS, None])
+    words = FT.explode_tokens(_docs(spark, sf_dir), [], T.regex_tokens("text"), "text")
+    return wanted.join(words.groupBy("text").agg(F.count(F.lit(1)).alias("n")), "text", "left").select(
+        "text", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 + K5: columns and types of documents, with each column's rows that are not NULL."""
+    docs = _docs(spark, sf_dir)
+    counts = docs.agg(*[F.count(c).alias(c) for c in docs.columns])
+    filled = counts.select(F.explode(F.create_map(*[x for c in docs.columns for x in (F.lit(c), F.col(c))]))
+                           .alias("column", "filled"))
+    return P.schema_frame(docs).join(filled, "column")
+
+
+def class_counts_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 where every seventh label is NULL and every eleventh unknown: neither is a class."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.when(
+        F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("doc_id") % 11 == 0, F.lit(5)).otherwise(
+        F.col("quality")).alias("quality"))
+    return P.class_counts(P.attach_labels(_docs(spark, sf_dir).select("doc_id"), labels))
+
+
+def hash_split_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4 keyed where every third key is NULL: each row is on exactly one side."""
+    rows = _docs(spark, sf_dir).select(F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")).alias("doc_id"), "lang")
+    train, test = P.hash_split(rows)
+    return (train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+            .groupBy("lang", "side").agg(F.count(F.lit(1)).alias("n")))
+
+
+def index_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels learnt from the class names, the most frequent first."""
+    labelled = P.known_labels(_labelled(spark, sf_dir)).select("doc_id", "sentiment")
+    return P.index_labels(labelled)[1]
+
+
+def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random order, the same rows."""
+    return P.shuffle_rows(_docs(spark, sf_dir).select("doc_id", "lang"))
+
+
+def area_under_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the text's length alone ranks the labels."""
+    scored = P.known_labels(_labelled(spark, sf_dir)).select(
+        F.col("label").cast("double").alias("label"), T.char_length("text").cast("double").alias("rawPrediction"))
+    value = M.evaluate(scored, "areaUnderROC")
+    return spark.range(1).select(F.lit("areaUnderROC").alias("metric"), F.round(F.lit(value), 6).alias("value"))
 
 
 def labelled_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,14 +303,18 @@ def stopword_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: ``(term, tf, df)`` over the labelled documents."""
-    return FT.term_stats(_labelled(spark, sf_dir))
+    """A4: ``(term, tf, df)`` over all documents."""
+    return FT.term_stats(_docs(spark, sf_dir))
 
 
 def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: the vectorizer's vocabulary, most frequent first (2^18 terms max)."""
-    return FT.vocabulary_topk(FT.term_stats(_labelled(spark, sf_dir)), C.VOCAB_SIZE).select(
-        "term", "tf")
+    return FT.vocabulary_topk(FT.term_stats(_docs(spark, sf_dir)), C.VOCAB_SIZE).select("term", "tf")
+
+
+def vocabulary_top_1000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 with a limit that cuts through terms of equal frequency."""
+    return FT.vocabulary_topk(FT.term_stats(_docs(spark, sf_dir)), 1000).select("term", "tf")
 
 
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,17 +390,27 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def whitespace_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 (reverse, whitespace split, counts, IDF, NB) on non-English documents."""
-    docs = _docs(spark, sf_dir, spread=False).filter(F.col("lang") != "en").select("doc_id", "text")
-    labelled = spread_small_scan(P.attach_labels(docs, read_table(spark, sf_dir, "labels")))
-    models, test = _fitted(spark, sf_dir, ("nb",), FT.WHITESPACE, labelled)
-    return M.score_texts(test, models["nb"], FT.WHITESPACE).select("doc_id", "label", "prediction")
+    """M8 (reverse, whitespace split, counts, IDF, NB) on the documents of all languages."""
+    models, test = _fitted(spark, sf_dir, ("nb",), FT.WHITESPACE)
+    return M.score_texts(test, models["nb"]).select("doc_id", "label", "prediction")
+
+
+def whitespace_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 with the other classifier of that job (iterative fit: rows-only check)."""
+    models, test = _fitted(spark, sf_dir, ("lr",), FT.WHITESPACE)
+    return M.score_texts(test, models["lr"]).select("doc_id", "label", "prediction")
+
+
+def tree_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree classifiers on the same features (rows-only check)."""
+    models, test = _fitted(spark, sf_dir, ("rf", "dt", "gbt"))
+    return M.accuracies(M.score_all(test, models), list(models))
 
 
 def score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score the ``benchmark`` texts with both models in one pass."""
     models, _ = _fitted(spark, sf_dir, ("lr", "nb"))
-    items = read_table(spark, sf_dir, "benchmark", spread=True)
+    items = read_table(spark, sf_dir, "benchmark")
     scored = M.score_all(items, {"lr": models["lr"], "nb": models["nb"]})
     return scored.select("item_id", F.col("prediction_lr").alias("lr"),
                          F.col("prediction_nb").alias("nb"))
@@ -345,12 +433,13 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as header-less CSV, read with a DDL schema."""
+    """Documents written as header-less CSV, read with a DDL schema.  The
+    texts hold line breaks, so the files are read as a whole each (``multi_line``)."""
     path = scratch_path(spark, "csv", "documents")
     (_docs(spark, sf_dir).select("doc_id", "text").write.option("header", False)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
-    df = read_csv_texts(spark, path, "col0 BIGINT, col1 STRING", keep=["col0"])
+    df = read_csv_texts(spark, path, "col0 BIGINT, col1 STRING", keep=["col0"], multi_line=True)
     return df.withColumnRenamed("col0", "doc_id")
 
 
@@ -369,7 +458,11 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _doc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _docs(spark, sf_dir).schema
-    return S.read_text_stream(spark, f"{sf_dir.rstrip('/')}/documents.parq[u]et", schema)
+    return S.read_text_stream(spark, _stream_path(sf_dir, "documents"), schema)
+
+
+def _stream_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parq[u]et"
 
 
 def _drain(spark: SparkSession, df: DataFrame, name: str, transform=None) -> str:
@@ -384,7 +477,7 @@ def _shape_batch(batch: DataFrame) -> DataFrame:
 
 def stream_tweet_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream-to-table job, drained with availableNow; the
-    shaping runs per micro-batch after the batch is spread over the cores."""
+    shaping runs per micro-batch."""
     raw = _doc_stream(spark, sf_dir).select("doc_id", "text")
     path = _drain(spark, raw, "shape", transform=_shape_batch)
     return spark.read.parquet(path).select("doc_id", "text", "words", "length")
@@ -393,13 +486,58 @@ def stream_tweet_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2/T5: rows per micro-batch (shaping inside the streaming plan, T2)."""
     path = _drain(spark, S.shape_stream(_doc_stream(spark, sf_dir), keep=["doc_id"]), "counts")
-    return S.batch_counts(spark, path)
+    return S.batch_counts(spark, path).select("batch_id", "n")
+
+
+def stream_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 + K2: two inputs through two checkpoints into one table; both stay."""
+    path = scratch_path(spark, "streams", "two")
+    for name, col in (("documents", "text"), ("conversations", "text")):
+        schema = read_table(spark, sf_dir, name).schema
+        stream = S.read_text_stream(spark, _stream_path(sf_dir, name), schema).select(F.col(col).alias("text"))
+        S.run_to_table(stream, path + "/table", f"{path}/checkpoint-{name}", transform=S.shape_stream)
+    return spark.read.parquet(path + "/table").select("text", "words", "length")
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query runs again on its checkpoint, and its batch is written again; no row doubles."""
+    path = scratch_path(spark, "streams", "replay")
+    for _ in range(2):
+        S.run_to_table(_doc_stream(spark, sf_dir).select("doc_id", "text"), path + "/table", path + "/checkpoint",
+                       transform=_shape_batch)
+    return spark.read.parquet(path + "/table").select("doc_id", "text", "words", "length")
+
+
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty micro-batch between two others writes nothing."""
+    path = scratch_path(spark, "streams", "empty")
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    first, second = P.hash_split(docs, "doc_id", 50)
+    for batch_id, batch in enumerate((first, docs.filter("false"), second)):
+        append_batch(batch, batch_id, path, transform=_shape_batch)
+    return spark.read.parquet(path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Route + clean + Kafka frame on a stream, drained to a table."""
-    frame = S.routed_frame(_doc_stream(spark, sf_dir), FL.routes_frame(spark, DEMO_ROUTES))
-    return _envelope_rows(spark.read.parquet(_drain(spark, frame, "route")))
+    """Route + clean + Kafka frame per micro-batch of a stream of texts
+    alone, drained to a table."""
+    routes = FL.routes_frame(spark, DEMO_ROUTES)
+    path = _drain(spark, _doc_stream(spark, sf_dir).select("text"), "route",
+                  transform=lambda batch: S.routed_frame(batch, routes))
+    return _envelope_rows(spark.read.parquet(path))
+
+
+def stream_kafka_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 end to end after the broker: rows in Kafka's column contract, the
+    payload, a reloaded model, the scored table."""
+    models, _ = _fitted(spark, sf_dir, ("nb",))
+    model = save_model(models["nb"], scratch_path(spark, "models", "naive-bayes"))
+    path = scratch_path(spark, "streams", "kafka-score")
+    kafka_frame(_docs(spark, sf_dir), topic="lang").write.parquet(path + "/topic")
+    schema = spark.read.parquet(path + "/topic").schema
+    texts = payload_text(S.read_text_stream(spark, path + "/topic", schema))
+    S.scored_texts_to_table(texts, model, path + "/table", path + "/checkpoint", trigger=S.DRAIN_TRIGGER)
+    return spark.read.parquet(path + "/table").select("text", "prediction")
 
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,14 +553,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         tweet_shape, conversation_shape, strip_retweet, strip_urls, clean_tweet, remove_digits, reverse_text,
         space_tokens, whitespace_tokens, ingest_clock,
-        keyword_filter, keyword_route, kafka_envelope,
-        rename_project, null_policy, literal_labels, labelled_union, class_counts,
-        label_sort, hash_split, preview, random_split,
-        regex_tokens, stopword_filtered, term_frequency, vocabulary_topk, idf_weights,
+        keyword_filter, keyword_route, keyword_route_wide, kafka_envelope, kafka_payload,
+        rename_project, null_policy, literal_labels, literal_rows, schema_columns, labelled_union,
+        class_counts, class_counts_nulls, label_sort, hash_split, hash_split_nulls, preview, random_split,
+        index_labels, shuffle_rows, area_under_roc,
+        regex_tokens, stopword_filtered, term_frequency, vocabulary_topk, vocabulary_top_1000, idf_weights,
         tfidf_terms,
         nb_priors, nb_parameters, nb_predictions, nb_accuracy, lr_predictions, lr_accuracy,
-        model_comparison, whitespace_nb, score_texts, model_roundtrip,
+        model_comparison, whitespace_nb, whitespace_lr, tree_accuracy, score_texts, model_roundtrip,
         json_source, csv_source, table_append,
-        stream_tweet_shape, stream_batch_counts, stream_route, stream_score,
+        stream_tweet_shape, stream_batch_counts, stream_two_runs, stream_replay, empty_batch, stream_route,
+        stream_score, stream_kafka_score,
     ]
 }

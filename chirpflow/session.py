@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a fresh session.  AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed ones.
@@ -85,12 +85,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A path under the shared checkpoint folder; unique per call by default."""
-    base = ensure_checkpoint_dir(spark)
+    """A path under the shared checkpoint folder; unique per call by default.
+
+    Retention: whatever a job writes there lives in the application's own
+    folder and serves that application only.  ``clear_scratch`` removes it at
+    the end; a folder left by a lost application can be deleted at any time."""
     tail = list(parts)
     if unique:
         tail.append(uuid.uuid4().hex)
-    return "/".join([base, "chirpflow", *tail])
+    return "/".join([_scratch_root(spark), *tail])
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return "/".join([ensure_checkpoint_dir(spark), "chirpflow", spark.sparkContext.applicationId])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder, on any file system Spark writes to."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a frame's input bytes (file sizes for a scan); no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def local_fs_path(path: str) -> str:

@@ -6,7 +6,7 @@ collectors ran one process per topic).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import to_utf8
@@ -21,6 +21,13 @@ def kafka_frame(df: DataFrame, topic: str | Column = "topic", text_col: str = "t
                      t.cast("string").alias("topic"))
 
 
+def require_kafka(spark: SparkSession, servers: str) -> None:
+    """Fail now, not in the first micro-batch, if the connector is not on the
+    classpath.  Only resolves the data source; no broker is asked."""
+    (spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
+     .option("subscribe", "-").load())
+
+
 def write_kafka(frame: DataFrame, servers: str, **options: str) -> None:
     """Batch publish of a ``kafka_frame``."""
     w = frame.write.format("kafka").option("kafka.bootstrap.servers", servers)

@@ -1,9 +1,10 @@
 """Table sinks (K2, P9) and model save (K6).
 
 Micro-batches are written idempotently: each batch goes to its own
-``batch_id`` partition with dynamic partition overwrite, so a batch replayed
-after a failure replaces its first attempt instead of duplicating it.  Together
-with the query checkpoint this gives exactly-once rows in the table.
+``(query_id, batch_id)`` partition with dynamic partition overwrite, so a batch
+replayed after a failure replaces its first attempt, while another query, or a
+new checkpoint, never touches it.  Together with the query checkpoint this gives
+exactly-once rows in the table.
 """
 
 from __future__ import annotations
@@ -11,11 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import spread_small_scan
-
 
 def append_to_table(df: DataFrame, table: str, path: str | None = None,
                     fmt: str = "parquet") -> None:
@@ -28,31 +27,35 @@ def append_to_table(df: DataFrame, table: str, path: str | None = None,
 
 
 def append_batch(batch: DataFrame, batch_id: int, path: str, table: str | None = None,
-                 fmt: str = "parquet",
+                 fmt: str = "parquet", query_id: str = "",
                  transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K2 for one micro-batch (the ``foreachBatch`` body).  Skips empty
-    batches (P9), overwrites only this batch's partition, and keeps an
-    optional catalog table over the folder up to date.
+    batches (P9), overwrites only this query's partition for this batch, and
+    registers that partition in an optional catalog table over the folder.
 
-    ``transform`` is a stateless per-batch step applied after the batch is
-    spread over the cores (``spread_small_scan``): a micro-batch of a few
-    large files otherwise runs its text work in a handful of tasks.  The
-    emptiness check runs on the raw batch, before any text work."""
+    ``transform`` is a stateless per-batch step.  The emptiness check runs on
+    the raw batch, before any text work."""
     if batch.isEmpty():
         return
     if transform is not None:
-        batch = transform(spread_small_scan(batch))
-    (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        batch = transform(batch)
+    (batch.withColumns({"query_id": F.lit(query_id or "none"), "batch_id": F.lit(batch_id).cast("bigint")})
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").format(fmt).save(path))
+     .partitionBy("query_id", "batch_id").format(fmt).save(path))
     if table:
         spark = batch.sparkSession
         if not spark.catalog.tableExists(table):
             spark.catalog.createTable(table, path=path, source=fmt)
-        spark.catalog.recoverPartitions(table)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS "
+                  f"PARTITION (query_id = '{query_id or 'none'}', batch_id = {int(batch_id)})")
 
 
 def save_model(model: PipelineModel, path: str) -> str:
-    """K6: save a fitted pipeline, replacing what is there."""
+    """K6: save a fitted pipeline, replacing what is there, with the name of the
+    preparation it was trained with (``load_model`` brings it back)."""
     model.write().overwrite().save(path)
+    profile = getattr(model, "profile", None)
+    if profile is not None:
+        spark = SparkSession.getActiveSession()
+        spark.range(1).select(F.lit(profile.name).alias("value")).coalesce(1).write.text(f"{path}/profile")
     return path

@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+
+from ..operators.features import with_profile
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """A saved pipeline, with the preparation saved beside it if there is one."""
+    model = PipelineModel.load(path)
+    try:
+        saved = SparkSession.getActiveSession().read.text(f"{path}/profile").first()
+    except AnalysisException:  # saved without a profile
+        return model
+    return with_profile(model, saved["value"])

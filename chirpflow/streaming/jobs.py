@@ -3,12 +3,12 @@
 The stream-to-table job is ``readStream -> payload -> shape -> foreachBatch
 append``.  Offsets and progress live in the query checkpoint (T6), so a
 restarted query resumes where it stopped and a replayed batch overwrites its own
-partition.  Every transformation is a stateless column expression: the same
-functions serve batch frames.
+partition.  Transformations are stateless: the same functions serve batch frames.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -19,12 +19,13 @@ from pyspark.sql.types import StructType
 
 from .. import constants as C
 from ..functions.text import clean_tweet, shape
-from ..operators.features import ENGLISH, Profile
+from ..operators.features import Profile
 from ..operators.filters import keyword_route
 from ..operators.models import score_texts
-from ..sinks.kafka import kafka_frame, write_kafka_stream
+from ..sinks.kafka import kafka_frame, require_kafka, write_kafka
 from ..sinks.tables import append_batch
 from ..sources.kafka import read_kafka_stream
+from ..sources.models import load_model
 
 # The production trigger.  Queries and tests use availableNow.
 PRODUCTION_TRIGGER = {"processingTime": C.MICRO_BATCH_INTERVAL}
@@ -32,13 +33,11 @@ DRAIN_TRIGGER = {"availableNow": True}
 
 
 def read_text_stream(spark: SparkSession, path: str, schema: StructType | str,
-                     fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+                     fmt: str = "parquet", max_files_per_trigger: int = 1000) -> DataFrame:
     """A file stream with a declared schema (a stand-in for the Kafka source:
-    the payload is already a ``text`` column)."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    the payload is already a ``text`` column), in micro-batches of bounded size."""
+    return (spark.readStream.schema(schema).format(fmt)
+            .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
 
 
 def shape_stream(df: DataFrame, keep: Sequence[str] = (), clean: bool = True,
@@ -48,6 +47,11 @@ def shape_stream(df: DataFrame, keep: Sequence[str] = (), clean: bool = True,
     return df.select(*keep, *shape(text))
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint from its first start on."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                  table: str | None = None, wait: bool | None = None,
                  transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
@@ -55,9 +59,13 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     ``transform`` is an optional stateless per-batch step (see ``append_batch``).
     With the default drain trigger the call blocks until the input is consumed."""
     trig = trigger or DRAIN_TRIGGER
-    q = (df.writeStream
-         .foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path, table,
-                                                            transform=transform))
+    known: list[str] = []
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(_query_id(batch.sparkSession, checkpoint))
+        append_batch(batch, batch_id, path, table, query_id=known[0], transform=transform)
+    q = (df.writeStream.foreachBatch(append)
          .option("checkpointLocation", checkpoint)
          .trigger(**trig)
          .start())
@@ -70,36 +78,53 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
 
 def batch_counts(spark: SparkSession, path: str) -> DataFrame:
     """A2/T5: rows per micro-batch of a table written by ``run_to_table``."""
-    return (spark.read.parquet(path).groupBy("batch_id")
+    return (spark.read.parquet(path).groupBy("query_id", "batch_id")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def score_stream(df: DataFrame, model: PipelineModel | str, profile: str | Profile = ENGLISH,
+def score_stream(df: DataFrame, model: PipelineModel | str, profile: str | Profile | None = None,
                  keep: Sequence[str] = (), text_col: str = "text") -> DataFrame:
     """Apply a (saved) sentiment pipeline to a stream of texts."""
-    m = PipelineModel.load(model) if isinstance(model, str) else model
+    m = load_model(model) if isinstance(model, str) else model
     scored = score_texts(df, m, profile, text_col)
     return scored.select(*keep, text_col, "prediction")
 
 
 # ------------------------------------------------------------------ the jobs
 
-def routed_frame(df: DataFrame, routes: DataFrame, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """T7 transformation: route the raw text by keyword (P10/P11), publish the
-    cleaned text (F3) as Kafka rows ``(key, value, topic)``, one row per
-    matching topic.  Stateless, so it runs per micro-batch on a stream."""
-    routed = keyword_route(df, routes, id_col=id_col, text_col=text_col, keep=[text_col])
+def routed_frame(df: DataFrame, routes: DataFrame, text_col: str = "text",
+                 unicode: bool = False) -> DataFrame:
+    """T7 transformation of a batch or micro-batch: route the raw text by
+    keyword (P10/P11), publish the cleaned text (F3) as Kafka rows ``(key,
+    value, topic)``, one row per input row and matching topic.  Needs the text
+    alone; ``unicode`` matches keywords of any script."""
+    routed = keyword_route(df, routes, id_col=None, text_col=text_col, keep=[text_col], unicode=unicode)
     return kafka_frame(routed.withColumn(text_col, clean_tweet(text_col)), topic="topic",
                        text_col=text_col)
 
 
 def collect_to_kafka(df: DataFrame, routes: DataFrame, servers: str, checkpoint: str,
-                     id_col: str = "doc_id", trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, unicode: bool = True) -> StreamingQuery:
     """Job 1, the collector: keyword-matched, cleaned texts of a stream are
-    published to their topics by one query for all topics."""
-    return write_kafka_stream(routed_frame(df, routes, id_col), servers, checkpoint,
-                              trigger or PRODUCTION_TRIGGER)
+    published to their topics by one query for all topics, micro-batch by
+    micro-batch (at least once, as Spark's Kafka sink)."""
+    require_kafka(df.sparkSession, servers)
+    return (df.writeStream
+            .foreachBatch(lambda batch, _: write_kafka(routed_frame(batch, routes, unicode=unicode), servers))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or PRODUCTION_TRIGGER)).start())
+
+
+def scored_texts_to_table(texts: DataFrame, model: PipelineModel | str, path: str, checkpoint: str,
+                          table: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Job 2 with a model: a stream of ``text`` scored and appended to a table
+    as ``(text, prediction)`` exactly once."""
+    return run_to_table(score_stream(texts, model), path, checkpoint, trigger or PRODUCTION_TRIGGER, table)
+
+
+def kafka_to_scored_table(spark: SparkSession, servers: str, topic: str, model: PipelineModel | str, path: str,
+                          checkpoint: str, table: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """A topic's payloads scored by a saved model and appended to a table."""
+    return scored_texts_to_table(read_kafka_stream(spark, servers, topic), model, path, checkpoint, table, trigger)
 
 
 def texts_to_table(texts: DataFrame, path: str, checkpoint: str, table: str | None = None,

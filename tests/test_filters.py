@@ -1,6 +1,11 @@
 """Keyword filter and routing."""
 
+import pytest
+
 from chirpflow.operators import filters as FL
+from chirpflow.plans.queries import DEMO_ROUTES
+
+ROUTES = DEMO_ROUTES[:4]
 
 
 def _docs(spark):
@@ -15,7 +20,7 @@ def test_keyword_filter_whole_tokens_any_case(spark):
 
 
 def test_route_multi_topic_and_hashtag(spark):
-    routes = FL.routes_frame(spark)
+    routes = FL.routes_frame(spark, ROUTES)
     got = {tuple(r) for r in FL.keyword_route(_docs(spark), routes).collect()}
     assert got == {
         (1, "afghan_tweets"), (1, "taliban_tweets"), (1, "afghan_afghanistan_tweets"),
@@ -24,18 +29,40 @@ def test_route_multi_topic_and_hashtag(spark):
     }
 
 
-def test_route_join_path_equals_inline_path(spark, monkeypatch):
-    routes = FL.routes_frame(spark)
-    inline = {tuple(r) for r in FL.keyword_route(_docs(spark), routes, keep=["text"]).collect()}
-    monkeypatch.setattr(FL, "MAX_INLINE_KEYWORDS", 0)
-    joined = {tuple(r) for r in FL.keyword_route(_docs(spark), routes, keep=["text"]).collect()}
-    assert inline == joined and len(inline) == 8
+def test_route_counts_rows_not_ids(spark):
+    rows = [(1, "taliban one"), (1, "taliban two"), (None, "taliban three"), (None, "taliban three"), (2, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    routes = FL.routes_frame(spark, [("t", ["taliban", "Taliban", None]), (None, ["taliban"])])
+    for setting in (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), "-1"):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+        try:
+            got = FL.keyword_route(docs, routes, keep=["text"]).collect()
+            alone = FL.keyword_route(docs.select("text"), routes, id_col=None, keep=["text"]).collect()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        want = sorted([(str(i), "t", t) for i, t in rows if t != "none"])
+        assert sorted((str(r.doc_id), r.topic, r.text) for r in got) == want
+        assert sorted((r.topic, r.text) for r in alone) == sorted(w[1:] for w in want)
+
+
+def test_route_with_more_keywords_than_fit_a_plan(spark):
+    routes = spark.range(20_000).selectExpr("concat('t', id % 7) AS topic", "concat('word', id) AS keyword")
+    docs = spark.createDataFrame([(1, "word3 and word10 word19999"), (2, "word20000")], "doc_id long, text string")
+    got = {tuple(r) for r in FL.keyword_route(docs, routes).collect()}
+    assert got == {(1, "t3"), (1, f"t{19999 % 7}")}
+
+
+def test_route_other_scripts(spark):
+    docs = spark.createDataFrame([(1, "زه طالبان نه"), (2, "un été"), (3, "x")], "doc_id long, text string")
+    routes = FL.routes_frame(spark, [("a", ["طالبان"]), ("b", ["été"])])
+    assert {tuple(r) for r in FL.keyword_route(docs, routes, unicode=True).collect()} == {(1, "a"), (2, "b")}
 
 
-def test_route_inline_plan_has_no_shuffle(spark):
-    plan = FL.keyword_route(_docs(spark), FL.routes_frame(spark))._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Exchange" not in plan
+def test_route_refuses_a_stream(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("value AS doc_id", "'taliban' AS text")
+    with pytest.raises(ValueError):
+        FL.keyword_route(stream, FL.routes_frame(spark, ROUTES))
 
 
 def test_drop_null_text(spark):

@@ -199,7 +199,7 @@ def test_idf_table_is_capped_like_the_vectorizer(spark, split):
     _, train, _ = split
     small = FT.Profile("english", tokens_col="filtered", stop_words=FT.ENGLISH.stop_words,
                        vocab_size=50)
-    idf = {r.term: r.idf for r in FT.idf_weights(train, small).collect()}
+    idf = {r.term: r.idf for r in FT.idf_weights(train, small, vocab_size=50).collect()}
     assert len(idf) == 50
     tokens = FT.tokenize(train, small).select("filtered")
     counts = {r.term: r.n for r in tokens.select(F.explode("filtered").alias("term"))
@@ -211,7 +211,7 @@ def test_idf_table_is_capped_like_the_vectorizer(spark, split):
     shared = set(idf) & set(mllib)
     assert len(shared) >= 45
     assert all(math.isclose(idf[t], mllib[t], rel_tol=1e-9) for t in shared)
-    rows = FT.tfidf_terms(train, small).select("term").distinct().collect()
+    rows = FT.tfidf_terms(train, small, vocab_size=50).select("term").distinct().collect()
     assert {r.term for r in rows} <= set(idf)
 
 
@@ -235,3 +235,55 @@ def test_lr_fit_is_deterministic(split):
         runs.append({r.doc_id: r.prediction
                      for r in M.score_texts(test, lr).select("doc_id", "prediction").collect()})
     assert runs[0] == runs[1]
+
+
+def test_unknown_labels_are_no_class(spark, split):
+    _, train, test = split
+    odd = train.limit(20).withColumn("label", F.when(F.col("doc_id") % 2 == 0, F.lit(7)))
+    a = M.fit_models(train, FT.ENGLISH, ("nb",))["nb"]
+    b = M.fit_models(train.unionByName(odd), FT.ENGLISH, ("nb",))["nb"]
+    assert a.stages[-1].pi.toArray().tolist() == b.stages[-1].pi.toArray().tolist()
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None)], "doc_id long, quality int")
+    got = {r.doc_id: r.sentiment for r in P.attach_labels(rows, labels).collect()}
+    assert got == {1: "Positive", 2: "Negative", 3: None}
+
+
+def test_split_gives_rows_without_a_key_a_side(spark):
+    rows = spark.createDataFrame([(None,), (None,), (1,), (2,), (3,)], "doc_id long")
+    train, test = P.hash_split(rows)
+    sides = {r.side for r in P.with_split_side(rows).filter("doc_id IS NULL").collect()}
+    assert train.count() + test.count() == 5 and sides == {"test"} and test.filter("doc_id IS NULL").count() == 2
+
+
+def test_vectorizer_has_the_counted_vocabulary(split):
+    _, train, _ = split
+    from pyspark.ml.feature import CountVectorizer
+    tokens = FT.tokenize(train, FT.ENGLISH)
+    small = FT.Profile("english", tokens_col="filtered", stop_words=FT.ENGLISH.stop_words, vocab_size=500)
+    own = FT.vectorizer(tokens, small).vocabulary
+    plain = CountVectorizer(inputCol="filtered", outputCol="f", vocabSize=500).fit(tokens).vocabulary
+    stats = FT.term_stats(train).orderBy(F.desc("tf"), "term").limit(500).collect()
+    assert own == [r.term for r in stats]
+    tf = {r.term: r.tf for r in FT.term_stats(train).collect()}
+    assert [tf[t] for t in own] == [tf[t] for t in plain]  # MLlib leaves ties open
+
+
+def test_vocabulary_cut_at_every_place(spark):
+    rows = [(f"{a}{b}", f) for f in (1, 2, 5) for a in ("aaaa", "aaab", "b") for b in range(f, f + 4)]
+    stats = spark.createDataFrame(rows, "term string, tf long").dropDuplicates(["term"]).cache()
+    n = stats.count()
+    for k in (1, 2, 5, 9, n - 1, n, n + 5):
+        want = [r.term for r in stats.orderBy(F.desc("tf"), "term").limit(k).collect()]
+        assert sorted(r.term for r in FT.vocabulary_topk(stats, k).collect()) == sorted(want), k
+
+
+def test_reloaded_models_keep_preparation_and_share_features(spark, split):
+    _, train, test = split
+    models = M.fit_models(train, FT.WHITESPACE, ("lr", "nb"))
+    paths = {n: save_model(m, scratch_path(spark, "test-models", n)) for n, m in models.items()}
+    loaded = {n: load_model(p) for n, p in paths.items()}
+    assert all(m.profile == FT.WHITESPACE for m in loaded.values())
+    both = M.score_all(test, loaded).select("doc_id", "prediction_lr", "prediction_nb")
+    alone = M.score_texts(test, models["nb"]).select("doc_id", "prediction")
+    assert {(r.doc_id, r.prediction_nb) for r in both.collect()} == {tuple(r) for r in alone.collect()}

@@ -1,11 +1,10 @@
 """Plan properties that must hold at scale: no shuffle added to large scans,
 partial aggregation before exchanges, correct joins under a hot key."""
 
-from chirpflow.functions.text import clean_tweet, shape
 from chirpflow.operators import features as FT
 from chirpflow.operators import filters as FL
-from chirpflow.session import scratch_path
-from chirpflow.sources.files import spread_small_scan
+from chirpflow.plans.queries import DEMO_ROUTES, QUERIES
+from chirpflow.sources.files import SPREAD_SETTING, read_table
 from conftest import SF_SMALL
 
 
@@ -13,31 +12,49 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_is_noop_for_many_splits(spark):
-    path = scratch_path(spark, "test-many-splits")
-    cores = spark.sparkContext.defaultParallelism
-    spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(2 * cores + 1).write.parquet(path)
-    # Small split sizes stand in for a large input: many splits per core.
-    conf = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
-    old = {k: spark.conf.get(k) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
+def test_spread_only_when_asked_for(spark):
+    plain = read_table(spark, SF_SMALL, "documents")
+    assert "Exchange" not in _plan(plain)
+    spark.conf.set(SPREAD_SETTING, "3")
     try:
-        big = spread_small_scan(spark.read.parquet(path))
-        assert big.rdd.getNumPartitions() >= 2 * cores
-        plan = _plan(big.select("doc_id", *shape(clean_tweet("text"))))
+        spread = read_table(spark, SF_SMALL, "documents")
     finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert "Exchange" not in plan
+        spark.conf.unset(SPREAD_SETTING)
+    assert spread.rdd.getNumPartitions() == 3
+    assert sorted(r.doc_id for r in spread.select("doc_id").collect()) == \
+        sorted(r.doc_id for r in plain.select("doc_id").collect())
 
 
-def test_spread_applies_to_single_split_and_keeps_rows(spark):
-    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    spread = spread_small_scan(small)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.doc_id for r in spread.select("doc_id").collect()) == \
-        sorted(r.doc_id for r in small.select("doc_id").collect())
+def test_building_a_query_runs_no_job(spark):
+    """Only reads of a schema, and the writes, fits and streams that a query declares."""
+    eager = {"json_source", "csv_source", "table_append", "model_roundtrip", "area_under_roc", "index_labels",
+             "empty_batch", "score_texts", "tree_accuracy", "random_split"}
+    tracker = spark.sparkContext.statusTracker()
+    for name, query in QUERIES.items():
+        if name in eager or name.startswith(("stream_", "nb_pred", "nb_acc", "lr_", "model_", "whitespace_nb",
+                                             "whitespace_lr")):
+            continue
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        query(spark, SF_SMALL)
+        jobs = [j for j in tracker.getJobIdsForGroup(f"build-{name}")]
+        tables = 3  # one footer read per table at most
+        assert len(jobs) <= tables, name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_text_scan_per_feature_query(spark):
+    for name in ("idf_weights", "tfidf_terms", "nb_parameters", "nb_priors"):
+        df = QUERIES[name](spark, SF_SMALL)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "text:string" in line
+                 and "doc_id" in line]
+        assert len(scans) <= 1, (name, plan)
+
+
+def test_vocabulary_has_no_single_merge(spark):
+    plan = _plan(FT.vocabulary_topk(FT.term_stats(spark.read.parquet(f"{SF_SMALL}/documents.parquet")), 100))
+    assert "TakeOrderedAndProject" not in plan
 
 
 def test_term_stats_pre_aggregates_before_each_exchange(spark):
@@ -47,13 +64,12 @@ def test_term_stats_pre_aggregates_before_each_exchange(spark):
     assert "partial_count(1)" in plan and "partial_sum(tf" in plan
 
 
-def test_hot_token_join_path_without_broadcast(spark, monkeypatch):
+def test_hot_token_with_and_without_broadcast(spark):
     hot = [(i, "taliban " * 50 + f"word{i}") for i in range(100)]
     cold = [(100 + i, f"afghan refugee number {i}") for i in range(200)]
     df = spark.createDataFrame(hot + cold, "doc_id long, text string")
-    routes = FL.routes_frame(spark)
-    inline = {tuple(r) for r in FL.keyword_route(df, routes).collect()}
-    monkeypatch.setattr(FL, "MAX_INLINE_KEYWORDS", 0)
+    routes = FL.routes_frame(spark, DEMO_ROUTES)
+    first = {tuple(r) for r in FL.keyword_route(df, routes).collect()}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -62,7 +78,7 @@ def test_hot_token_join_path_without_broadcast(spark, monkeypatch):
         assert "BroadcastHashJoin" not in _plan(joined_df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert inline == joined
+    assert first == joined
     assert len([1 for d, t in joined if t == "taliban_tweets"]) == 100
 
 

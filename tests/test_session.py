@@ -7,8 +7,8 @@ def test_checkpoint_dir_comes_from_session(spark):
     base = ensure_checkpoint_dir(spark)
     assert base == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert p1.startswith(base + "/chirpflow/x/") and p1 != p2
-    assert scratch_path(spark, "y", unique=False) == base + "/chirpflow/y"
+    assert p1.startswith(f"{base}/chirpflow/{spark.sparkContext.applicationId}/x/") and p1 != p2
+    assert scratch_path(spark, "y", unique=False) == f"{base}/chirpflow/{spark.sparkContext.applicationId}/y"
 
 
 def test_defaults_enable_aqe_and_keep_ui_off(spark):
@@ -38,3 +38,15 @@ def test_tune_shuffle_scales_with_input(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str((100 << 40) // (128 << 20))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_clear_scratch_removes_only_this_application(spark):
+    import os
+    from chirpflow.session import clear_scratch, input_bytes, local_fs_path
+    path = scratch_path(spark, "test-clear")
+    spark.range(5).write.parquet(path)
+    other = f"{ensure_checkpoint_dir(spark)}/chirpflow/another-application/x"
+    spark.range(1).write.mode("overwrite").parquet(other)
+    assert input_bytes(spark.read.parquet(path)) > 0
+    clear_scratch(spark)
+    assert not os.path.exists(local_fs_path(path)) and os.path.exists(local_fs_path(other))

@@ -94,18 +94,28 @@ def test_crash_before_commit_replays_batch_without_duplicates(spark):
     assert spark.read.parquet(base + "/t").select("doc_id").distinct().count() == 200
 
 
-def test_routed_frame_on_a_stream_equals_batch(spark):
+def test_routing_per_micro_batch_equals_batch(spark):
     from chirpflow.operators.filters import routes_frame
     routes = routes_frame(spark, Q.DEMO_ROUTES)
     path = scratch_path(spark, "test-routed")
-    S.run_to_table(S.routed_frame(Q._doc_stream(spark, SF_SMALL), routes), path + "/t",
-                   path + "/c")
-    got = spark.read.parquet(path + "/t").drop("batch_id")
+    S.run_to_table(Q._doc_stream(spark, SF_SMALL).select("text"), path + "/t", path + "/c",
+                   transform=lambda batch: S.routed_frame(batch, routes))
+    got = spark.read.parquet(path + "/t").drop("batch_id", "query_id")
     want = S.routed_frame(Q._docs(spark, SF_SMALL), routes)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
 
 
+def test_two_checkpoints_keep_each_others_rows(spark):
+    path = scratch_path(spark, "test-two")
+    table = "two_" + path.rsplit("/", 1)[-1]
+    for part in ("a", "b"):
+        stream = Q._doc_stream(spark, SF_SMALL).select("doc_id", "text")
+        S.run_to_table(stream, path + "/t", f"{path}/c-{part}", table=table, transform=Q._shape_batch)
+    assert spark.read.parquet(path + "/t").count() == 400 == spark.table(table).count()
+    assert S.batch_counts(spark, path + "/t").count() == 2
+
+
 def test_processing_time_trigger_runs_until_stopped(spark):
     path = scratch_path(spark, "test-trigger")
     raw = Q._doc_stream(spark, SF_SMALL).select("doc_id", "text")
@@ -130,7 +140,7 @@ def test_kafka_contract_stream_to_table(spark):
     schema = spark.read.parquet(base + "/in").schema
     texts = payload_text(S.read_text_stream(spark, base + "/in", schema))
     S.texts_to_table(texts, base + "/t", base + "/c", trigger=S.DRAIN_TRIGGER).awaitTermination()
-    got = spark.read.parquet(base + "/t").drop("batch_id")
+    got = spark.read.parquet(base + "/t").drop("batch_id", "query_id")
     want = S.shape_stream(docs, clean=False)
     assert got.count() == 200 and got.exceptAll(want).count() == 0
 
@@ -138,7 +148,7 @@ def test_kafka_contract_stream_to_table(spark):
 def test_kafka_writer_needs_only_the_connector(spark):
     import pytest
     from chirpflow.operators.filters import routes_frame
-    frame = S.routed_frame(Q._doc_stream(spark, SF_SMALL), routes_frame(spark, Q.DEMO_ROUTES))
+    frame = S.routed_frame(Q._docs(spark, SF_SMALL), routes_frame(spark, Q.DEMO_ROUTES))
     path = scratch_path(spark, "test-kafka-writer")
     # Fails at the data-source lookup (no connector jar here), not in our code.
     with pytest.raises(Exception) as e:
