@@ -84,9 +84,71 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch], max_bytes: int = 8
     return run
 
 
-def size_of(df: DataFrame) -> int:
-    """Spark's own estimate of a plan's bytes (from file sizes for a scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+BLOCK_BYTES = 8 << 20
+BLOCKS = ("block long, rows array<long>, doc_ids array<long>, flags array<boolean>, sizes array<long>, "
+          "data binary")
+
+
+def text_blocks(docs: DataFrame, name: str, flag: Column | None = None,
+                block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Documents in blocks of about ``block_bytes`` of text, one row per block
+    (``BLOCKS``), the texts one after the other under Zstandard; NULL counts as
+    empty.  Written once: from here on a document's block and row number are
+    fixed, whatever is computed again."""
+    def run(batches):
+        import zstandard
+        from pyspark import TaskContext
+        part, number, row = TaskContext.get().partitionId(), 0, 0
+        pack = zstandard.ZstdCompressor(level=3)
+        held: list[tuple] = []
+        size = 0
+
+        def close():
+            ids, flags, data = zip(*held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([(part << 32) + number]), pa.array([[(part << 33) + row + i for i in range(len(ids))]]),
+                 pa.array([ids], pa.list_(pa.int64())), pa.array([flags], pa.list_(pa.bool_())),
+                 pa.array([[len(t) for t in data]], pa.list_(pa.int64())),
+                 pa.array([pack.compress(b"".join(data))], pa.binary())],
+                names=["block", "rows", "doc_ids", "flags", "sizes", "data"])
+        for batch in small_batches(batches):
+            for doc_id, flag, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "flag", "text"))):
+                held.append((doc_id, flag, text or b""))
+                size += len(text or b"") + 64
+                if size >= block_bytes:
+                    yield close()
+                    number, row, held, size = number + 1, row + len(held), [], 0
+        if held:
+            yield close()
+    rows = docs.withColumn("flag", F.lit(False) if flag is None else flag).select("doc_id", "flag", "text")
+    return write_once(rows.mapInArrow(run, BLOCKS), name)
+
+
+def block_texts(row: dict) -> list[bytes]:
+    """The texts of a block's row."""
+    import zstandard
+    data = zstandard.ZstdDecompressor().decompress(row["data"])
+    ends = np.cumsum(row["sizes"]).tolist()
+    return [data[b - n:b] for b, n in zip(ends, row["sizes"])]
+
+
+def packed(x: np.ndarray, ascending: bool = False) -> bytes:
+    """An array's bytes, plane by plane, under Zstandard; ascending integers as
+    differences.  Such arrays shrink to a half or a third before a shuffle."""
+    import zstandard
+    if ascending:
+        x = np.diff(x, prepend=x.dtype.type(0))
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, kind: type, ascending: bool = False) -> np.ndarray:
+    """The array that ``packed`` was given."""
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    width = np.dtype(kind).itemsize
+    x = np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+    return np.cumsum(x, dtype=kind) if ascending else x
 
 
 def bounded_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:

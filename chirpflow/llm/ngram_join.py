@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WORDS, THRESHOLD = 5, 75
-BLOCK_BYTES = 8 << 20
 CACHED_WORDS = 500_000     # bounds memory only
 HOT_CODE, SALTS = 80, 16   # postings of tokens in about a thousand documents or more are salted
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -106,23 +105,6 @@ def prefix(tokens: np.ndarray, n: int, order: np.uint64, threshold: int = THRESH
 
 # --------------------------------------------------------- document frequency
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """``(block, row, doc_id, text)``, written once, so blocks and rows stay fixed."""
-    def run(batches):
-        from pyspark import TaskContext
-        part, seen, row = TaskContext.get().partitionId(), 0, 0
-        for batch in C.small_batches(batches):
-            sizes = np.asarray([len(t or b"") + 64 for t in batch.column("text").to_pylist()], np.int64)
-            ends = seen + np.cumsum(sizes)
-            seen = int(ends[-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((part << 32) + ends // BLOCK_BYTES),
-                 pa.array((part << 33) + row + np.arange(batch.num_rows)), batch.column("doc_id"),
-                 batch.column("text")], names=["block", "row", "doc_id", "text"])
-            row += batch.num_rows
-    return C.write_once(C.texts(docs).mapInArrow(run, "block long, row long, doc_id long, text binary"), "join_blocks")
-
-
 def shard_keys(tokens: np.ndarray, shards: int) -> np.ndarray:
     """Shard and 32 bits of each token, as one sortable number."""
     return ((tokens >> np.uint64(32)) % np.uint64(shards) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
@@ -137,34 +119,35 @@ def asked(texts: list[bytes | None], block: int, shards: int) -> pa.Table:
     low, counts = keys.astype(np.uint32), np.minimum(counts, 65535).astype(np.uint16)
     starts = np.r_[0, ends[:-1]]
     return pa.table({"block": pa.array(np.full(shards, block)), "shard": pa.array(np.arange(shards, dtype=np.int32)),
-                     "tokens": pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                     "counts": pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
+                     "tokens": pa.array([C.packed(low[a:b], True) for a, b in zip(starts, ends)], pa.binary()),
+                     "counts": pa.array([C.packed(counts[a:b]) for a, b in zip(starts, ends)], pa.binary())})
 
 
 def answered(t: pa.Table) -> pa.Table:
     """Codes of the tokens of all blocks of a shard: 0 in one document, else one
     plus eight times the binary logarithm of the number of documents."""
-    tokens = [np.frombuffer(x, np.uint32) for x in t.column("tokens").to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.uint16) for x in t.column("counts").to_pylist()])
+    tokens = [C.unpacked(x, np.uint32, True) for x in t.column("tokens").to_pylist()]
+    counts = np.concatenate([C.unpacked(x, np.uint16) for x in t.column("counts").to_pylist()])
     _, at = np.unique(np.concatenate(tokens), return_inverse=True)
     total = np.bincount(at, counts)
     codes = np.where(total < 2, 0, 1 + np.minimum(254, 8 * np.log2(np.maximum(total, 1)))).astype(np.uint8)[at]
     cuts = np.cumsum([len(x) for x in tokens])[:-1]
     return pa.table({"block": t.column("block"), "shard": t.column("shard"),
-                     "codes": pa.array([x.tobytes() for x in np.split(codes, cuts)], pa.binary())})
+                     "codes": pa.array([C.packed(x) for x in np.split(codes, cuts)], pa.binary())})
 
 
 SETS = "row long, doc_id long, n long, print binary, tokens binary, codes binary"
 
 
-def block_sets(docs: pa.Table, codes: pa.Table, shards: int, threshold: int) -> pa.Table:
+def block_sets(block: pa.Table, codes: pa.Table, shards: int, threshold: int) -> pa.Table:
     """Each document's set size and digest, and, where a partner is possible, its
     shareable tokens with their codes in the first order."""
-    sets = [shingles(t) for t in docs.column("text").to_pylist()]
+    docs = block.to_pylist()[0]
+    sets = [shingles(t) for t in C.block_texts(docs)]
     every = np.concatenate([*sets, np.zeros(0, np.uint64)])
     keys = shard_keys(every, shards)
     known = np.unique(keys)
-    code = np.frombuffer(b"".join(codes.sort_by("shard").column("codes").to_pylist()), np.uint8)
+    code = np.concatenate([C.unpacked(x, np.uint8) for x in codes.sort_by("shard").column("codes").to_pylist()])
     code = code[np.searchsorted(known, keys)] if len(keys) else np.zeros(0, np.uint8)
     prints, kept, kept_codes, at = [], [], [], 0
     for s in sets:
@@ -179,7 +162,7 @@ def block_sets(docs: pa.Table, codes: pa.Table, shards: int, threshold: int) ->
         order = np.lexsort((tokens, own))
         kept.append(tokens[order].tobytes())
         kept_codes.append(own[order].tobytes())
-    return pa.table({"row": docs.column("row"), "doc_id": docs.column("doc_id"),
+    return pa.table({"row": pa.array(docs["rows"], pa.int64()), "doc_id": pa.array(docs["doc_ids"], pa.int64()),
                      "n": pa.array([len(s) for s in sets], pa.int64()), "print": pa.array(prints, pa.binary()),
                      "tokens": pa.array(kept, pa.binary()), "codes": pa.array(kept_codes, pa.binary())})
 
@@ -188,20 +171,13 @@ def document_sets(docs: DataFrame, threshold: int = THRESHOLD, shards: int | Non
     """One row per document (``SETS``), written once."""
     spark = docs.sparkSession
     shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    held = blocks(docs)
+    held = C.text_blocks(C.texts(docs), "join_blocks")
 
     def ask(batches):
-        block, data = None, []
-        for batch in C.small_batches(batches):
-            for b, t in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()):
-                if data and b != block:
-                    yield from asked(data, block, shards).to_batches()
-                    data = []
-                block = b
-                data.append(t)
-        if data:
-            yield from asked(data, block, shards).to_batches()
-    codes = (held.select("block", "text")
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from asked(C.block_texts(row), row["block"], shards).to_batches()
+    codes = (held.select("block", "sizes", "data")
              .mapInArrow(ask, "block long, shard int, tokens binary, counts binary")
              .groupBy("shard").applyInArrow(answered, "block long, shard int, codes binary"))
     return C.write_once(
@@ -274,6 +250,7 @@ def crossing_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs that pass the other orders' filters and then link."""
+    pairs = C.write_once(pairs, "join_pairs")  # its size is known now: Spark broadcasts it if it is small
     own = classes.select("row", "n", "tokens")
     wide = (pairs.join(own.toDF("a", "na", "ta"), "a").join(own.toDF("b", "nb", "tb"), "b")
             .select("a", "b", "na", "nb", "ta", "tb"))
@@ -335,8 +312,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     slim = sets.select("row", "doc_id", "n", "print")
     equal = (slim.filter("n > 0").groupBy("print").agg(F.min("row").alias("class_id"), F.min("doc_id").alias("least"),
                                                        F.count(F.lit(1)).alias("size")))
-    first = equal.select(F.col("class_id").alias("row"))
-    classes = C.write_once(sets.filter("tokens IS NOT NULL").join(first, "row", "left_semi")
+    copies = C.write_once(  # rows that another row of their class stands for
+        slim.join(equal.filter("size > 1").select("print", "class_id"), "print")
+        .filter("row <> class_id").select("row"), "join_copies")
+    classes = C.write_once(sets.filter("tokens IS NOT NULL").join(copies, "row", "left_anti")
                            .select("row", "n", "tokens", "codes"), "join_classes")
     posts = C.write_once(possible(postings(classes, threshold)), "join_postings")
     links = verified(leader_pairs(posts), classes, threshold)
