@@ -29,22 +29,27 @@ from . import common as C
 
 CACHED_PIECES = 500_000  # pieces kept by one worker; it bounds memory only
 QUERY_BYTES = 1 << 18    # bytes of pieces in one recursive query
-LONG = 256
+LONG = 256               # bytes; positions must fit the query's packed number
 _CODERS: dict[str, "Coder"] = {}
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-CONTRACT = """
-WITH RECURSIVE step(word, pos, id, round) AS (
-    SELECT word, pos, id, 0 FROM start
+#: A row names the position of the next one (``OUT``: none).  A pair's rank, its
+#: two positions and the one after them are one number, so that ``min`` is the
+#: leftmost pair of minimum rank.
+OUT = 511
+CONTRACT = f"""
+WITH RECURSIVE step(word, pos, id, next, round) AS (
+    SELECT word, pos, id, next, 0 FROM start
   UNION ALL
-    SELECT p.word, p.pos, CASE WHEN p.pos = (b.best & 4294967295) THEN b.best >> 32 ELSE p.id END, p.round + 1
-    FROM (SELECT word, pos, id, round, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS before FROM step) p
-    JOIN (SELECT s.word, min((m.rank << 32) | s.pos) AS best
-          FROM (SELECT word, pos, id, lead(id) OVER (PARTITION BY word ORDER BY pos) AS next_id FROM step) s
-          JOIN merges m ON m.a = s.id AND m.b = s.next_id
-          GROUP BY s.word) b ON b.word = p.word
-    WHERE p.before IS DISTINCT FROM (b.best & 4294967295)
+    SELECT p.word, p.pos, CASE WHEN p.pos = (b.best >> 18) & {OUT} THEN b.best >> 27 ELSE p.id END,
+           CASE WHEN p.pos = (b.best >> 18) & {OUT} THEN b.best & {OUT} ELSE p.next END, p.round + 1
+    FROM step p
+    JOIN (SELECT l.word, min((m.rank << 27) | (l.pos << 18) | (l.next << 9) | r.next) AS best
+          FROM step l JOIN step r ON r.word = l.word AND r.pos = l.next
+          JOIN merges m ON m.a = l.id AND m.b = r.id
+          GROUP BY l.word) b ON b.word = p.word
+    WHERE p.pos <> (b.best >> 9) & {OUT}
 ), last AS (SELECT word, max(round) AS round FROM step GROUP BY word)
 SELECT word, string_agg(CAST(s.id AS VARCHAR), ' ' ORDER BY s.pos), count(*), string_agg(t.hex, '' ORDER BY s.pos)
 FROM step s JOIN last USING (word, round) JOIN tokens t ON t.id = s.id
@@ -109,8 +114,10 @@ class Coder:
         data = np.frombuffer(b"".join(pieces), np.uint8)
         sizes = np.asarray([len(p) for p in pieces])
         first = np.cumsum(sizes) - sizes
-        self._load("start", ("word", "pos", "id"), (np.repeat(np.arange(len(pieces)), sizes),
-                                                    np.arange(len(data)) - np.repeat(first, sizes), self.byte_id[data]))
+        pos = np.arange(len(data)) - np.repeat(first, sizes)
+        after = np.where(pos + 1 < np.repeat(sizes, sizes), pos + 1, OUT)
+        self._load("start", ("word", "pos", "id", "next"),
+                   (np.repeat(np.arange(len(pieces)), sizes), pos, self.byte_id[data], after))
         return self.db.execute(CONTRACT).fetchall()
 
     def learn(self, pieces: list[str]) -> dict[str, tuple[str, int, bytes]]:

@@ -38,7 +38,7 @@ from . import common as C
 
 DEPTH = 5                # bytes of context
 TOP = 3                  # levels below this depth are DataFrame aggregations
-BLOCK_BYTES = 8 << 20    # text in one block
+BLOCK_BYTES = 24 << 20   # text in one block: the larger, the fewer n-grams are sent twice
 GROUP = 256              # blocks that one task of a shard holds at once
 CHUNK = 1 << 20          # n-grams worked on at once
 END = 0xFF               # no byte of UTF-8 text; starts and ends every text
@@ -205,24 +205,6 @@ def by_shard(keys: np.ndarray, shard: np.ndarray, shards: int):
 
 # ---------------------------------------------------------------- on Spark
 
-def blocks(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
-    """``(block, doc_id, held_out, text)``, written once: from here on a row's
-    block is fixed, whatever is recomputed.  Texts are lower-cased (A-Z)."""
-    def run(batches):
-        from pyspark import TaskContext
-        base, seen = TaskContext.get().partitionId() << 32, 0
-        for batch in C.small_batches(batches):
-            data = [(t or b"").lower() for t in batch.column("text").to_pylist()]
-            ends = seen + np.cumsum([len(t) + 64 for t in data])
-            seen = int(ends[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(base + ends // BLOCK_BYTES), batch.column("doc_id"),
-                                              batch.column("held_out"), pa.array(data, pa.binary())],
-                                             names=["block", "doc_id", "held_out", "text"])
-    held_out = F.coalesce(C.fold(F.col("doc_id"), folds) == held, F.lit(False))
-    return C.write_once(C.texts(docs).withColumn("held_out", held_out)
-                        .mapInArrow(run, "block long, doc_id long, held_out boolean, text binary"), "ctw_blocks")
-
-
 SENT = "block long, shard int, grams binary, gram_n binary, words binary, word_n binary"
 
 
@@ -230,36 +212,46 @@ def sent(block: int, data: list[bytes], held: list[bool], shards: int) -> pa.Tab
     """A block's distinct keys with training counts, one row per shard."""
     train = [t for t, h in zip(data, held) if not h]
     other = [t for t, h in zip(data, held) if h]
-    grams, gram_n = count_grams(train, other)
-    words, word_n = count_words(train, other)
-    g_at, g_end = by_shard(grams, shard_of_grams(grams, shards), shards)
-    w_at, w_end = by_shard(words, shard_of_words(words, shards), shards)
-    grams, gram_n, words, word_n = grams[g_at], gram_n[g_at], words[w_at], word_n[w_at]
-    cols = {k: [] for k in ("grams", "gram_n", "words", "word_n")}
-    for s in range(shards):
-        g, w = slice(g_end[s - 1] if s else 0, g_end[s]), slice(w_end[s - 1] if s else 0, w_end[s])
-        for k, x in (("grams", grams[g]), ("gram_n", gram_n[g].astype(np.uint32)), ("words", words[w]),
-                     ("word_n", word_n[w].astype(np.uint32))):
-            cols[k].append(x.tobytes())
+    cols = {}
+    for name, n, (keys, counts), shard_of in (("grams", "gram_n", count_grams(train, other), shard_of_grams),
+                                              ("words", "word_n", count_words(train, other), shard_of_words)):
+        at, ends = by_shard(keys, shard_of(keys, shards), shards)
+        keys, counts, starts = keys[at], counts[at], np.r_[0, ends[:-1]]
+        cols[name] = pa.array([C.packed(keys[a:b], True) for a, b in zip(starts, ends)], pa.binary())
+        cols[n] = pa.array([C.packed(counts[a:b].astype(np.uint32)) for a, b in zip(starts, ends)], pa.binary())
     return pa.table({"block": pa.array(np.full(shards, block)), "shard": pa.array(np.arange(shards, dtype=np.int32)),
-                     **{k: pa.array(v, pa.binary()) for k, v in cols.items()}})
+                     **cols})
+
+
+def _pairs(t: pa.Table, keys: str, counts: str, kind: type) -> list[Folded]:
+    return [(C.unpacked(k, np.uint64, True), C.unpacked(n, kind).astype(np.int64))
+            for k, n in zip(t.column(keys).to_pylist(), t.column(counts).to_pylist())]
+
+
+WORDS = "block long, shard int, word_n binary, tokens long, kinds long"
 
 
-def _merged(t: pa.Table) -> pa.Table:
-    """Counts of a shard's rows, summed: 64-bit counts from here on."""
-    out = {"shard": pa.array([t.column("shard")[0].as_py()], pa.int32())}
-    for k, n in (("grams", "gram_n"), ("words", "word_n")):
-        pairs = zip(t.column(k).to_pylist(), t.column(n).to_pylist())
-        keys, counts = merge([(np.frombuffer(a, np.uint64),
-                               np.frombuffer(b, np.uint32 if len(b) < len(a) else np.int64).astype(np.int64))
-                              for a, b in pairs if a])
-        out |= {k: pa.array([keys.tobytes()], pa.binary()), n: pa.array([counts.tobytes()], pa.binary())}
-    return pa.table(out)
+def _word_counts(t: pa.Table) -> pa.Table:
+    """Per block the counts of a shard's words over all blocks, in the block's
+    order; the first row also carries the shard's totals."""
+    pairs = _pairs(t, "words", "word_n", np.uint32)
+    words, n = merge(pairs)
+    first = np.zeros(len(t), np.int64)
+    first[:1] = 1
+    return pa.table({"block": t.column("block"), "shard": t.column("shard"),
+                     "word_n": pa.array([C.packed(n[np.searchsorted(words, w)]) for w, _ in pairs], pa.binary()),
+                     "tokens": pa.array(first * int(n.sum())), "kinds": pa.array(first * int((n > 0).sum()))})
+
+
+def _merged(t: pa.Table, kind: type) -> pa.Table:
+    """A shard's n-grams with their counts summed (64-bit from here on)."""
+    grams, n = merge(_pairs(t, "grams", "gram_n", kind))
+    return pa.table({"shard": t.column("shard").slice(0, 1), "grams": pa.array([C.packed(grams, True)], pa.binary()),
+                     "gram_n": pa.array([C.packed(n)], pa.binary())})
 
 
 def _rows_of(t: pa.Table) -> Folded:
-    return (np.frombuffer(t.column("grams")[0].as_py(), np.uint64),
-            np.frombuffer(t.column("gram_n")[0].as_py(), np.int64))
+    return _pairs(t, "grams", "gram_n", np.int64)[0]
 
 
 NODES = "shard int, bit int, key long, n0 double, n1 double, weighted double"
@@ -309,7 +301,7 @@ def from_above(border: DataFrame) -> DataFrame:
 
 
 def _scored(t: pa.Table, above: pa.Table) -> pa.Table:
-    """A shard's n-grams with log probabilities, its words with counts."""
+    """A shard's n-grams with log probabilities."""
     grams, counts = _rows_of(t)
     bit, key = above.column("bit").to_numpy(), above.column("key").to_numpy()
     a, b = above.column("a").to_numpy(), above.column("b").to_numpy()
@@ -322,32 +314,31 @@ def _scored(t: pa.Table, above: pa.Table) -> pa.Table:
         return a[at], b[at]
     logs = log_probabilities(grams, subtrees(grams, counts, TOP), find)
     return pa.table({"shard": t.column("shard"), "grams": t.column("grams"),
-                     "logs": pa.array([logs.tobytes()], pa.binary()),
-                     "words": t.column("words"), "word_n": t.column("word_n")})
+                     "logs": pa.array([C.packed(logs)], pa.binary())})
 
 
 def _returned(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Per block: log probabilities and counts in the order of its keys."""
-    grams, logs = (np.frombuffer(known.column(c)[0].as_py(), t) for c, t in (("grams", np.uint64), ("logs", np.float64)))
-    words, n = (np.frombuffer(known.column(c)[0].as_py(), t) for c, t in (("words", np.uint64), ("word_n", np.int64)))
-    out_g = [logs[np.searchsorted(grams, np.frombuffer(x, np.uint64))].tobytes() for x in asked.column("grams").to_pylist()]
-    out_w = [n[np.searchsorted(words, np.frombuffer(x, np.uint64))].tobytes() for x in asked.column("words").to_pylist()]
+    """Per block the log probabilities in the order of its n-grams."""
+    grams = C.unpacked(known.column("grams")[0].as_py(), np.uint64, True)
+    logs = C.unpacked(known.column("logs")[0].as_py(), np.float64)
+    out = [C.packed(logs[np.searchsorted(grams, C.unpacked(x, np.uint64, True))])
+           for x in asked.column("grams").to_pylist()]
     return pa.table({"block": asked.column("block"), "shard": asked.column("shard"),
-                     "logs": pa.array(out_g, pa.binary()), "word_n": pa.array(out_w, pa.binary())})
+                     "logs": pa.array(out, pa.binary())})
 
 
-def _block_scores(docs: pa.Table, known: pa.Table, shards: int, tokens: int, kinds: int) -> pa.Table:
+def _block_scores(block: pa.Table, known: pa.Table, shards: int, tokens: int, kinds: int) -> pa.Table:
     """Scores of one block's documents."""
-    known = known.sort_by("shard")
-    data = docs.column("text").to_pylist()
+    known, docs = known.sort_by("shard"), block.to_pylist()[0]
+    data = [t.lower() for t in C.block_texts(docs)]
     grams, _ = count_grams([], data)
     at, _ = by_shard(grams, shard_of_grams(grams, shards), shards)
     logs = np.empty(len(grams))
-    logs[at] = np.frombuffer(b"".join(known.column("logs").to_pylist()), np.float64)
+    logs[at] = np.concatenate([C.unpacked(x, np.float64) for x in known.column("logs").to_pylist() if x is not None])
     words, _ = count_words([], data)
     at, _ = by_shard(words, shard_of_words(words, shards), shards)
     counts = np.empty(len(words), np.int64)
-    counts[at] = np.frombuffer(b"".join(known.column("word_n").to_pylist()), np.int64)
+    counts[at] = np.concatenate([C.unpacked(x, np.int64) for x in known.column("word_n").to_pylist() if x is not None])
     base = np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))
     place: dict[bytes, int] = {}
     for t in data:
@@ -370,7 +361,7 @@ def _block_scores(docs: pa.Table, known: pa.Table, shards: int, tokens: int, kin
             base_scores.append(float(base[ids].sum() + base[end]))
     score = np.concatenate(scores)
     sizes = np.asarray([len(t) for t in data], np.int64)
-    return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
+    return pa.table({"doc_id": pa.array(docs["doc_ids"], pa.int64()), "held_out": pa.array(docs["flags"]),
                      "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
                      "train_tokens": pa.array(np.full(len(data), tokens)), "base_score": pa.array(base_scores),
                      "score": pa.array(score), "n_bytes": pa.array(sizes),
@@ -382,51 +373,40 @@ def score_texts(docs: DataFrame, shards: int | None = None) -> DataFrame:
     log10 probability of the whole text with its end."""
     spark = C.ready(docs.sparkSession)
     shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    held = blocks(docs)
+    is_held = F.coalesce(C.fold(F.col("doc_id")) == 1, F.lit(False))
+    held = C.text_blocks(C.texts(docs), "ctw_blocks", is_held, BLOCK_BYTES)
 
     def send(batches):
-        block, data, out = None, [], []
-        for batch in C.small_batches(batches):
-            for b, h, t in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "text"))):
-                if data and b != block:
-                    yield from sent(block, data, out, shards).to_batches()
-                    data, out = [], []
-                block = b
-                data.append(t)
-                out.append(h)
-        if data:
-            yield from sent(block, data, out, shards).to_batches()
-    asked = C.write_once(held.mapInArrow(send, SENT), "ctw_sent")
+        for batch in batches:
+            for row in batch.to_pylist():
+                data = [t.lower() for t in C.block_texts(row)]
+                yield from sent(row["block"], data, row["flags"], shards).to_batches()
+    asked = C.write_once(held.select("block", "flags", "sizes", "data").mapInArrow(send, SENT), "ctw_sent")
     n_blocks = asked.filter("shard = 0").count()
     groups = max(1, -(-n_blocks // GROUP))
     group = F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("part")
-    schema = "shard int, grams binary, gram_n binary, words binary, word_n binary"
-    merged = asked.groupBy("shard", group).applyInArrow(_merged, schema)
+    counted = C.write_once(asked.select("block", "shard", "words", "word_n").groupBy("shard")
+                           .applyInArrow(_word_counts, WORDS), "ctw_words")
+    tokens, kinds = (int(x or 0) for x in counted.agg(F.sum("tokens"), F.sum("kinds")).first())
+    schema = "shard int, grams binary, gram_n binary"
+    merged = (asked.select("shard", "grams", "gram_n", group).groupBy("shard", "part")
+              .applyInArrow(lambda t: _merged(t, np.uint32), schema))
     if groups > 1:
-        merged = merged.groupBy("shard").applyInArrow(_merged, schema)
+        merged = merged.groupBy("shard").applyInArrow(lambda t: _merged(t, np.int64), schema)
     merged = C.write_once(merged, "ctw_counts")
 
-    def totals(batches):
-        for batch in batches:
-            n = [np.frombuffer(x, np.int64) for x in batch.column("word_n").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([int(x.sum()) for x in n], pa.int64()),
-                                              pa.array([int((x > 0).sum()) for x in n], pa.int64())],
-                                             names=["tokens", "kinds"])
-    tokens, kinds = (int(x or 0) for x in merged.select("word_n").mapInArrow(totals, "tokens long, kinds long")
-                     .agg(F.sum("tokens"), F.sum("kinds")).first())
-
     def border_nodes(batches):
         for batch in C.small_batches(batches, 1 << 20):
             for i in range(batch.num_rows):
                 yield from _border(pa.Table.from_batches([batch.slice(i, 1)])).to_batches()
     border = C.write_once(merged.select("shard", "grams", "gram_n").mapInArrow(border_nodes, NODES), "ctw_border")
     above = from_above(border)
-    logs = C.write_once(
-        merged.groupBy("shard").cogroup(above.groupBy("shard"))
-        .applyInArrow(_scored, "shard int, grams binary, logs binary, words binary, word_n binary"), "ctw_logs")
+    logs = C.write_once(merged.groupBy("shard").cogroup(above.groupBy("shard"))
+                        .applyInArrow(_scored, "shard int, grams binary, logs binary"), "ctw_logs")
     tables = logs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    answers = (asked.select("block", "shard", "grams", "words", group).groupBy("shard", "part")
+    answers = (asked.select("block", "shard", "grams", group).groupBy("shard", "part")
                .cogroup(tables.groupBy("shard", "part"))
-               .applyInArrow(lambda a, k: _returned(a, k), "block long, shard int, logs binary, word_n binary"))
-    return (held.groupBy("block").cogroup(answers.groupBy("block"))
+               .applyInArrow(_returned, "block long, shard int, logs binary"))
+    known = answers.unionByName(counted.select("block", "shard", "word_n"), allowMissingColumns=True)
+    return (held.groupBy("block").cogroup(known.groupBy("block"))
             .applyInArrow(lambda d, k: _block_scores(d, k, shards, tokens, kinds), SCHEMA))

@@ -187,6 +187,16 @@ def document_sets(docs: DataFrame, threshold: int = THRESHOLD, shards: int | Non
 
 # --------------------------------------------------------------- candidates
 
+def salted(rows: DataFrame, by: str) -> DataFrame:
+    """The many rows of a join in which one key may hold a third of them."""
+    return rows.withColumn("salt", F.pmod(F.col(by), F.lit(SALTS)).cast("int"))
+
+
+def repeated(keys: DataFrame) -> DataFrame:
+    """The other side: one row per key, for each salt."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def postings(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``(token, salt, row, n, most)`` of the first order's prefixes.  ``most`` is
     the largest partner whose first shared token can be this one."""
@@ -312,8 +322,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     slim = sets.select("row", "doc_id", "n", "print")
     equal = (slim.filter("n > 0").groupBy("print").agg(F.min("row").alias("class_id"), F.min("doc_id").alias("least"),
                                                        F.count(F.lit(1)).alias("size")))
+    several = equal.filter("size > 1").select("print", "class_id")
     copies = C.write_once(  # rows that another row of their class stands for
-        slim.join(equal.filter("size > 1").select("print", "class_id"), "print")
+        salted(slim, "row").join(repeated(several), ["print", "salt"])
         .filter("row <> class_id").select("row"), "join_copies")
     classes = C.write_once(sets.filter("tokens IS NOT NULL").join(copies, "row", "left_anti")
                            .select("row", "n", "tokens", "codes"), "join_classes")
@@ -325,12 +336,14 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     # Classes carry their smallest id; a component's id is the smallest of its classes'.
     grouped = (equal.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
                .select("print", "class_id", "least", "size", F.coalesce("label", "class_id").alias("label")))
-    lowest = grouped.groupBy("label").agg(F.min("least").alias("component_id"))
-    ids = grouped.join(lowest, "label").select("print", "class_id", "component_id", "size", "least")
-    # Only classes of several rows or with a link differ from their own row's id; they are joined back, salted.
+    lowest = (grouped.groupBy("label").agg(F.min("least").alias("lowest"), F.count(F.lit(1)).alias("classes"))
+              .filter("classes > 1").select("label", "lowest"))
+    ids = (salted(grouped, "class_id").join(repeated(lowest), ["label", "salt"], "left")
+           .withColumn("component_id", F.coalesce("lowest", "least")))
+    # Only classes of several rows or with a link differ from their own row's id; they are joined back.
     told = (ids.filter((F.col("size") > 1) | (F.col("component_id") != F.col("least")))
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("size", "least"))
-    return (slim.withColumn("salt", (F.col("row") % SALTS).cast("int")).join(told, ["print", "salt"], "left")
+            .select("print", "class_id", "component_id"))
+    return (salted(slim, "row").join(repeated(told), ["print", "salt"], "left")
             .select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("class_id", "row").alias("class_id"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
 
@@ -348,6 +361,7 @@ def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                .agg(F.min(F.struct("__id__", row)).alias("first"), F.count(F.lit(1)).alias("size")))
     groups = grouped.filter("size > 1").select("component_id", F.col(f"first.{row}").alias("stays"))
     # Only rows of groups can go; their list is small against the documents and is joined by row.
-    gone = (found.select(F.col("doc_id").alias(row), "component_id").join(groups, "component_id")
+    members = found.select(F.col("doc_id").alias(row), "component_id")
+    gone = (salted(members, row).join(repeated(groups), ["component_id", "salt"])
             .filter(F.col(row) != F.col("stays")).select(row))
     return numbered.join(C.write_once(gone, "join_gone"), row, "left_anti").drop(row)
