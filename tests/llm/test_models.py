@@ -176,6 +176,19 @@ def test_scores_equal_a_plain_context_tree(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
 
 
+def test_blocks_and_groups_do_not_change_scores(spark, monkeypatch):
+    rows = [(i, f"the cat {i} sat on mat {i % 7}" * (1 + i % 3)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = {r.doc_id: r for r in ctw.score_texts(docs, shards=4).collect()}
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(ctw, "GROUP", 4)
+    monkeypatch.setattr(ctw, "CHUNK", 100)
+    for r in ctw.score_texts(docs, shards=4).collect():
+        w = whole[r.doc_id]
+        assert math.isclose(r.score, w.score, rel_tol=1e-9) and math.isclose(r.base_score, w.base_score, rel_tol=1e-9)
+        assert (r.n_known, r.train_tokens, r.n_bytes) == (w.n_known, w.train_tokens, w.n_bytes)
+
+
 def test_next_byte_probabilities_sum_to_one():
     grams, counts = ctw.count_grams([b"the cat sat on the mat", b"the hat"], [])
     ctx = grams[5] >> np.uint64(8)
