@@ -83,11 +83,6 @@ def clock_label(ts: Column | str) -> Column:
                     F.second(t).cast("string"))
 
 
-def ingest_clock() -> Column:
-    """F11 as an ingest stamp on the current time."""
-    return clock_label(F.current_timestamp())
-
-
 def literal(value) -> Column:
     """F12."""
     return F.lit(value)
