@@ -6,8 +6,8 @@ with the labels none, email, ip, card and phone.  Neighbouring tokens share a
 chain potential, and equal or similar tokens anywhere in the document share a
 skip potential; each token is linked to the previous one like it, so edges grow
 with the tokens.  Loopy sum-product message passing then carries what the rules
-know about one mention to the others, and a token whose label is sure enough
-becomes a further span.  Rule spans always stay.
+know about one mention to the others, and tokens whose label is sure enough
+become further spans.  Rule spans always stay.
 
 The potentials are fitted piecewise, on a bounded sample of documents: a
 multinomial logistic regression of the rules' label on the token's shape, and
@@ -32,7 +32,7 @@ from . import common as C
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 4000          # documents the potentials are fitted on, at most twice as many
-SURE = 0.9               # belief from which a token becomes a span
+SURE, LIKELY = 0.8, 0.5  # a span needs one token of the first belief, and all of the second
 EVIDENCE = 8.0           # log potential of a rule's own label
 ROUNDS, DAMPING = 12, 0.3
 SHAPES = 18
@@ -258,15 +258,20 @@ def find_spans(texts: list[str], model: dict) -> list[tuple[list[list[Span]], li
     unary = x @ model["unary"]
     unary[np.arange(n), labels] += EVIDENCE * (labels > 0)
     belief = beliefs(unary, edges, model["edges"])
-    best = belief.argmax(1)
-    sure = (labels == 0) & (best > 0) & (belief.max(1) >= SURE)
+    best, top = belief.argmax(1), belief.max(1)
+    likely = (labels == 0) & (best > 0) & (top >= LIKELY)
     for doc, first, spans, _, _, _ in graphs:
-        for i in np.flatnonzero(sure[first:first + len(spans)]).tolist():
-            own, (a, b) = found[doc][1][best[first + i] - 1], spans[i]
-            if own and i and own[-1][1] == spans[i - 1][1] and not texts[doc][own[-1][1]:a].strip(" ()"):
-                own[-1] = (own[-1][0], b)  # a mention of several tokens
+        runs: list[list[int]] = []  # a mention of several tokens is one span
+        for i in np.flatnonzero(likely[first:first + len(spans)]).tolist():
+            last = runs[-1][-1] if runs else None
+            if (last == i - 1 and best[first + last] == best[first + i]
+                    and not texts[doc][spans[last][1]:spans[i][0]].strip(" ()")):
+                runs[-1].append(i)
             else:
-                own.append((a, b))
+                runs.append([i])
+        for run in runs:
+            if max(top[first + i] for i in run) >= SURE:
+                found[doc][1][best[first + run[0]] - 1].append((spans[run[0]][0], spans[run[-1]][1]))
     return found
 
 
