@@ -132,6 +132,13 @@ def block_texts(row: dict) -> list[bytes]:
     return [data[b - n:b] for b, n in zip(ends, row["sizes"])]
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting is several times as fast as the hash
+    table that ``np.unique`` uses for them."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def packed(x: np.ndarray, ascending: bool = False) -> bytes:
     """An array's bytes, plane by plane, under Zstandard; ascending integers as
     differences.  Such arrays shrink to a half or a third before a shuffle."""

@@ -166,7 +166,7 @@ def count_grams(train: list[bytes], other: list[bytes]) -> Folded:
     for run in chunks(train):
         parts.append(np.unique(grams_of(run)[0], return_counts=True))
     for run in chunks(other):
-        keys = np.unique(grams_of(run)[0])
+        keys = C.distinct(grams_of(run)[0])
         parts.append((keys, np.zeros(len(keys), np.int64)))
     return merge(parts)
 
@@ -175,14 +175,20 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
+def distinct_words(data: list[bytes]) -> set[bytes]:
+    out: set[bytes] = set()
+    for t in data:
+        out.update(t.split())
+    return out
+
+
 def count_words(train: list[bytes], other: list[bytes]) -> Folded:
     """Hashes of the distinct words of both lists and the end, counted in the first."""
     counts = Counter()
     for t in train:
         counts.update(t.split())
-    for t in other:
-        for w in set(t.split()):
-            counts.setdefault(w, 0)
+    for w in distinct_words(other).difference(counts):
+        counts[w] = 0
     counts[END_WORD] = len(train)
     return merge([(np.fromiter(map(word_key, counts), np.uint64, len(counts)),
                    np.fromiter(counts.values(), np.int64, len(counts)))])
@@ -331,34 +337,30 @@ def _block_scores(block: pa.Table, known: pa.Table, shards: int, tokens: int, ki
     """Scores of one block's documents."""
     known, docs = known.sort_by("shard"), block.to_pylist()[0]
     data = [t.lower() for t in C.block_texts(docs)]
-    grams, _ = count_grams([], data)
+    parts = []
+    for run in chunks(data):
+        own, sizes = grams_of(run)
+        uniq, back = np.unique(own, return_inverse=True)
+        parts.append((uniq, back.astype(np.int32), np.cumsum(sizes) - sizes))
+    grams = C.distinct(np.concatenate([uniq for uniq, _, _ in parts]))
     at, _ = by_shard(grams, shard_of_grams(grams, shards), shards)
     logs = np.empty(len(grams))
     logs[at] = np.concatenate([C.unpacked(x, np.float64) for x in known.column("logs").to_pylist() if x is not None])
-    words, _ = count_words([], data)
+    scores = [np.add.reduceat(logs[np.searchsorted(grams, uniq)][back], starts) for uniq, back, starts in parts]
+    place = {w: i for i, w in enumerate([END_WORD, *distinct_words(data)])}
+    keys = np.fromiter(map(word_key, place), np.uint64, len(place))
+    words = C.distinct(keys)
     at, _ = by_shard(words, shard_of_words(words, shards), shards)
     counts = np.empty(len(words), np.int64)
     counts[at] = np.concatenate([C.unpacked(x, np.int64) for x in known.column("word_n").to_pylist() if x is not None])
+    counts = counts[np.searchsorted(words, keys)]  # of each place, the end first
     base = np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))
-    place: dict[bytes, int] = {}
+    n_tokens, n_known, base_scores = [], [], []
     for t in data:
-        for w in set(t.split()).difference(place):
-            place[w] = 0
-    place[END_WORD] = 0
-    hashed = np.searchsorted(words, np.fromiter(map(word_key, place), np.uint64, len(place)))
-    place = dict(zip(place, hashed.tolist()))
-    end = place[END_WORD]
-    scores, n_tokens, n_known, base_scores = [], [], [], []
-    for run in chunks(data):
-        own, sizes = grams_of(run)
-        uniq, back = np.unique(own, return_inverse=True)
-        each = logs[np.searchsorted(grams, uniq)][back]
-        scores.append(np.add.reduceat(each, np.cumsum(sizes) - sizes))
-        for t in run:
-            ids = np.fromiter((place[w] for w in t.split()), np.int64)
-            n_tokens.append(len(ids) + 1)
-            n_known.append(int((counts[ids] > 0).sum() + (counts[end] > 0)))
-            base_scores.append(float(base[ids].sum() + base[end]))
+        ids = np.fromiter(map(place.__getitem__, t.split()), np.int64)
+        n_tokens.append(len(ids) + 1)
+        n_known.append(int((counts[ids] > 0).sum() + (counts[0] > 0)))
+        base_scores.append(float(base[ids].sum() + base[0]))
     score = np.concatenate(scores)
     sizes = np.asarray([len(t) for t in data], np.int64)
     return pa.table({"doc_id": pa.array(docs["doc_ids"], pa.int64()), "held_out": pa.array(docs["flags"]),

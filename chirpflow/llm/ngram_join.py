@@ -77,7 +77,7 @@ def shingles(text: bytes | None, size: int = WORDS) -> np.ndarray:
     out ^= out >> np.uint64(29)
     out *= MIX
     out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return C.distinct(out)
 
 
 def least_overlap(n: int, threshold: int = THRESHOLD) -> int:
@@ -146,7 +146,7 @@ def block_sets(block: pa.Table, codes: pa.Table, shards: int, threshold: int) ->
     sets = [shingles(t) for t in C.block_texts(docs)]
     every = np.concatenate([*sets, np.zeros(0, np.uint64)])
     keys = shard_keys(every, shards)
-    known = np.unique(keys)
+    known = C.distinct(keys)
     code = np.concatenate([C.unpacked(x, np.uint8) for x in codes.sort_by("shard").column("codes").to_pylist()])
     code = code[np.searchsorted(known, keys)] if len(keys) else np.zeros(0, np.uint8)
     prints, kept, kept_codes, at = [], [], [], 0
