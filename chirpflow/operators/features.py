@@ -126,8 +126,8 @@ def term_stats(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "d
 
 
 def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE, prefix: int = 4) -> DataFrame:
-    """O3: the ``k`` most frequent terms (ties by term), as a filter: no task
-    merges candidates.  The frequency at the cut comes from the histogram of
+    """O3: the ``k`` most frequent terms in order (ties by term), as a filter and
+    a range-partitioned sort: no task merges candidates.  The frequency at the cut comes from the histogram of
     frequencies (one row per distinct frequency).  Of the terms with exactly that
     frequency the first ones stay: those whose first ``prefix`` characters sort
     before the prefix at the cut, and within that one prefix by rank."""
@@ -145,7 +145,8 @@ def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE, prefix: int = 4) ->
     whole = tied.join(heads, "head").filter(F.col("upto") + above <= k)
     cols = stats.columns
     return (stats.filter(cut.isNull() | (F.col("tf") > cut)).select(*cols)
-            .unionByName(whole.select(*cols)).unionByName(placed.select(*cols)))
+            .unionByName(whole.select(*cols)).unionByName(placed.select(*cols))
+            .orderBy(F.desc("tf"), "term"))
 
 
 def idf_weights(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
