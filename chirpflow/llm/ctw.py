@@ -38,7 +38,7 @@ from . import common as C
 
 DEPTH = 5                # bytes of context
 TOP = 3                  # levels below this depth are DataFrame aggregations
-BLOCK_BYTES = 24 << 20   # text in one block: the larger, the fewer n-grams are sent twice
+BLOCK_BYTES = 14 << 20   # text in one block: larger ones send fewer n-grams twice, but a task holds one whole
 GROUP = 256              # blocks that one task of a shard holds at once
 CHUNK = 1 << 20          # n-grams worked on at once
 END = 0xFF               # no byte of UTF-8 text; starts and ends every text
