@@ -30,7 +30,6 @@ from . import common as C
 CACHED_PIECES = 500_000  # pieces kept by one worker; it bounds memory only
 QUERY_BYTES = 1 << 18    # bytes of pieces in one recursive query
 LONG = 256               # bytes; positions must fit the query's packed number
-_CODERS: dict[str, "Coder"] = {}
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -158,9 +157,7 @@ class Coder:
 
 
 def coder(path: str, pattern: str) -> Coder:
-    if path not in _CODERS:
-        _CODERS[path] = Coder(path, pattern)
-    return _CODERS[path]
+    return C.kept_by(f"bpe {path}", lambda: Coder(path, pattern))
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

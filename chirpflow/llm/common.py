@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,19 @@ def fold(id_col: Column, folds: int = 5) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % F.lit(folds)
 
 
+_KEPT: dict[str, Any] = {}
+
+
+def kept_by(owner: str, make: Callable[[], Any]) -> Any:
+    """What a worker keeps between batches and tasks for one operator.  Workers
+    live on when another operator's tasks come; the first of these drops it, so
+    caches never add up."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Re-slice Arrow batches so that each holds about ``max_bytes`` of data and
     at least one row; the rows and their order stay as they are."""

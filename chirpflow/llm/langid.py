@@ -30,23 +30,24 @@ FIT_DOCS = 8000          # labelled documents sampled for the models and their c
 BLOCK = 1 << 20          # characters worked on at once
 HASH = np.uint64(0x9E3779B97F4A7C15)
 SLACK = 1.25             # a rejected text is this much harder than the hardest calibration texts
-_FOLD: list[np.ndarray] = []
 
 SCHEMA = ("doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, "
           "rejected boolean, n_letters long")
 
 
+def _folding() -> np.ndarray:
+    table = np.full(0x110000, 32, np.uint32)
+    for cp in range(0x110000):
+        c = chr(cp)
+        if c.isalpha():
+            low = c.lower()
+            table[cp] = ord(low[0]) if low[0].isalpha() else cp
+    return table
+
+
 def folding() -> np.ndarray:
     """Code point to lower-case letter; 32 for whatever is no letter."""
-    if not _FOLD:
-        table = np.full(0x110000, 32, np.uint32)
-        for cp in range(0x110000):
-            c = chr(cp)
-            if c.isalpha():
-                low = c.lower()
-                table[cp] = ord(low[0]) if low[0].isalpha() else cp
-        _FOLD.append(table)
-    return _FOLD[0]
+    return C.kept_by("langid", _folding)
 
 
 def letters(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

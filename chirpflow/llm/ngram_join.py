@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WORDS, THRESHOLD = 5, 75
-CACHED_WORDS = 500_000     # bounds memory only
+CACHED_WORDS = 150_000     # bounds memory only
 HOT_CODE, SALTS = 80, 16   # postings of tokens in about a thousand documents or more are salted
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 ORDERS = (np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
@@ -60,15 +60,12 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
-
-
 def shingles(text: bytes | None, size: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a whole text."""
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(C.kept_by("ngram_join", WordHashes).__getitem__, words), np.uint64, len(words))
     k = min(size, len(words))
     n = len(words) - k + 1
     out = np.full(n, k, np.uint64)

@@ -27,7 +27,6 @@ from . import common as C
 WINDOW, END_ID = 2048, 1
 #: Word spellings kept by one worker.  It bounds memory only: others are encoded again.
 CACHED_WORDS = 500_000
-_ENCODERS: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -64,9 +63,7 @@ class WordEncoder:
 
 
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return C.kept_by(f"packing {path}", lambda: WordEncoder(path))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
