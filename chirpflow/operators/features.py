@@ -209,14 +209,15 @@ def vectorizer(tokens: DataFrame, profile: str | Profile) -> CountVectorizerMode
     model's folder, which is then loaded in one read."""
     p = get_profile(profile)
     spark = tokens.sparkSession
-    stats = (explode_tokens(tokens, [], p.tokens_col, "term").groupBy("term")
-             .agg(F.count(F.lit(1)).alias("tf")))
+    path = scratch_path(spark, "vectorizer")
+    (explode_tokens(tokens, [], p.tokens_col, "term").groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+     .write.parquet(f"{path}/terms"))  # the selection reads the counts several times
+    stats = spark.read.schema("term string, tf long").parquet(f"{path}/terms")
     ordered = F.sort_array(F.collect_list(F.struct((-F.col("tf")).alias("tf"), "term")))
     words = vocabulary_topk(stats, p.vocab_size).agg(ordered["term"].alias("vocabulary"))
-    path = scratch_path(spark, "vectorizer")
-    CountVectorizerModel.from_vocabulary(["-"], inputCol=p.tokens_col, outputCol=FEATURES).save(path)
-    words.write.mode("overwrite").parquet(f"{path}/data")
-    model = CountVectorizerModel.load(path)
+    CountVectorizerModel.from_vocabulary(["-"], inputCol=p.tokens_col, outputCol=FEATURES).save(f"{path}/model")
+    words.write.mode("overwrite").parquet(f"{path}/model/data")
+    model = CountVectorizerModel.load(f"{path}/model")
     if not model.vocabulary:
         raise ValueError("no term to train on")
     return model
