@@ -175,23 +175,29 @@ def read(content: bytes) -> list[dict]:
 def marked(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``(page_id, url, html, is_response, refers_to)``.
 
-    The pages are written once with a number each, which tells equal rows apart.  Payloads that occur once need no partner; for the others one row per payload
-    (the response) is joined back.  That side is small against the pages and is
-    repeated ``SALTS`` times, so a payload that a third of all pages share is
-    spread over as many tasks, whatever the skew settings are."""
+    The pages are written once with a number each, which tells equal rows apart.
+    Payloads that occur once need no partner; for the others the response is
+    found among digests and ids alone.  That join is salted, so a payload that
+    a third of all pages share is spread over ``SALTS`` tasks.  What it tells is
+    written, too: Spark knows its size when it joins it to the payloads by page
+    number, and moves the payloads only if it is large."""
     rows = C.write_once(
         pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"")).alias("html"))
         .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("digest", F.unhex(F.sha1("html"))), "warc_pages")
-    heads = (rows.filter(F.octet_length("html") >= min_bytes).groupBy("digest")
+        .withColumn("digest", F.unhex(F.sha1("html")))
+        .withColumn("size", F.octet_length("html")), "warc_pages")
+    slim = rows.filter(F.col("size") >= min_bytes).select("row", "page_id", "digest")
+    heads = (slim.groupBy("digest")
              .agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct("page_id", "row")).alias("best"))
              .filter("copies > 1")
              .select("digest", "best", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    linked = rows.withColumn("salt", (F.col("row") % SALTS).cast("int")).join(heads, ["digest", "salt"], "left")
-    response = F.col("best").isNull() | (F.col("best.row") == F.col("row"))
-    return linked.select("page_id", "url", "html", response.alias("is_response"),
-                         F.when(~response, F.col("best.page_id")).alias("refers_to"))
+    revisits = C.write_once(
+        slim.withColumn("salt", (F.col("row") % SALTS).cast("int")).join(heads, ["digest", "salt"])
+        .filter(F.col("best.row") != F.col("row"))
+        .select("row", F.col("best.page_id").alias("refers_to"), F.lit(False).alias("first")), "warc_revisits")
+    return (rows.select("row", "page_id", "url", "html").join(revisits, "row", "left")
+            .select("page_id", "url", "html", F.coalesce("first", F.lit(True)).alias("is_response"), "refers_to"))
 
 
 def write(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
