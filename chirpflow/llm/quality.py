@@ -138,6 +138,7 @@ def score(x: np.ndarray, model: dict) -> np.ndarray:
 # ---------------------------------------------------------------- on Spark
 
 def _statistics_batch(batch: pa.RecordBatch) -> np.ndarray:
+    C.kept_by("quality", dict)  # drops what another operator left in this worker
     rows = [statistics(t) for t in batch.column("text").to_pylist()]
     return np.asarray(rows, np.float64).reshape(len(rows), len(NAMES))
 
@@ -175,6 +176,7 @@ def classify(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> Data
 def kept(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with its columns, without the rows the classifier rejects."""
     def run(batch):
+        C.kept_by("quality", dict)
         data = [None if t is None else t.encode() for t in batch.column("text").to_pylist()]
         x = np.asarray([statistics(t) for t in data], np.float64).reshape(len(data), len(NAMES))
         return batch.filter(pa.array(score(x, model) >= threshold))
