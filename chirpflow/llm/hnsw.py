@@ -9,8 +9,11 @@ products in double precision of the original vectors.
 The graph uses angles: a vector gets one more component, which makes all
 lengths equal, so that the largest inner product is the smallest angle.  Points
 are inserted in batches, each searched at once against the graph so far, so
-inserting and searching are array operations.  A shard of at most ``EXACT``
-rows, or one in which a query finds too few rows, is compared in full.
+inserting and searching are array operations.  A graph's points are the shard's
+distinct vectors, so that copies neither link only to each other nor fill the
+beam; a point found stands for its rows, of which those with the ``k + 1``
+smallest ids are kept, enough for the ``k`` nearest of any row.  A shard of at
+most ``EXACT`` points, or one in which a query finds too few, is compared in full.
 
 Edge cases: vectors that are NULL, zero, of another length than most, or hold a
 NULL or non-finite component, and rows without an id, take no part; rows with
@@ -215,16 +218,28 @@ def _lifted(v: np.ndarray, longest: float) -> np.ndarray:
     return (np.c_[v, rest] / longest).astype(np.float32)
 
 
-def index(rows: DataFrame, shards: int, longest: float) -> DataFrame:
+def points(v: np.ndarray, vec_id: np.ndarray, row: np.ndarray, keep: int) -> tuple:
+    """Distinct vectors in order of their first row here, where each one's rows
+    start (and the last ends), and those rows: the ``keep`` smallest ids of each."""
+    _, first, point = np.unique(v + 0.0, axis=0, return_index=True, return_inverse=True)
+    point = np.argsort(np.argsort(first))[point.ravel()]
+    order = np.lexsort((row, vec_id, point))
+    sizes = np.bincount(point, minlength=len(first))
+    place = np.arange(len(v)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return v[np.sort(first)], np.r_[0, np.cumsum(np.minimum(sizes, keep))], order[place < keep]
+
+
+def index(rows: DataFrame, shards: int, longest: float, k: int = K) -> DataFrame:
     """One graph per shard: ``(shard, graph)``, the graph as a compressed archive
     of its arrays, written to the shared folder."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("row")
-        v = _matrix(t.column("v"))
+        row, vec_id = t.column("row").to_numpy(), t.column("vec_id").to_numpy()
+        v, starts, at = points(_matrix(t.column("v")), vec_id, row, k + 1)
         base = _lifted(v, longest)
         graph = build(base) if len(base) > EXACT else {"layers": [], "entry": np.zeros(1, np.int64)}
         out = io.BytesIO()
-        np.savez(out, v=v, row=t.column("row").to_numpy(), vec_id=t.column("vec_id").to_numpy(),
+        np.savez(out, v=v, starts=starts, row=row[at], vec_id=vec_id[at],
                  entry=graph["entry"], **{f"layer{i}": x for i, x in enumerate(graph["layers"])})
         return pa.table({"shard": pa.array([t.column("shard")[0].as_py()], pa.int32()),
                          "graph": pa.array([out.getvalue()], pa.binary())})
@@ -234,7 +249,8 @@ def index(rows: DataFrame, shards: int, longest: float) -> DataFrame:
 
 def _candidates(q: pa.Table, blob: bytes, longest: float, k: int, beam: int) -> pa.Table:
     own = np.load(io.BytesIO(blob))
-    v, row, vec_id = own["v"], own["row"], own["vec_id"]
+    v, starts, row, vec_id = own["v"], own["starts"], own["row"], own["vec_id"]
+    sizes = np.diff(starts)
     qv, qrow, qid = _matrix(q.column("v")), q.column("row").to_numpy(), q.column("vec_id").to_numpy()
     layers = [own[f"layer{i}"] for i in range(sum(x.startswith("layer") for x in own.files))]
     if layers:
@@ -245,10 +261,12 @@ def _candidates(q: pa.Table, blob: bytes, longest: float, k: int, beam: int) ->
     out_q, out_row, out_id, out_s = [], [], [], []
     for i in range(len(qv)):
         ids = found[i][found[i] >= 0]
-        ids = ids[row[ids] != qrow[i]]
-        if len(ids) < min(k, len(v) - 1):  # the graph did not lead to enough points
-            ids = np.flatnonzero(row != qrow[i])
-        s = np.einsum("d,kd->k", qv[i], v[ids])
+        if len(ids) < min(k + 1, len(v)):  # the graph did not lead to enough points
+            ids = np.arange(len(v))
+        s, n = np.einsum("d,kd->k", qv[i], v[ids]), sizes[ids]
+        ids = np.arange(n.sum()) + np.repeat(starts[ids] - np.cumsum(n) + n, n)  # the points' rows
+        s, other = np.repeat(s, n), row[ids] != qrow[i]
+        s, ids = s[other], ids[other]
         best = np.lexsort((vec_id[ids], -s))[:k]
         out_q.append(np.full(len(best), qrow[i]))
         out_row.append(np.full(len(best), qid[i]))
@@ -271,7 +289,7 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = EVERY, beam: int = S
         F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     shards, blocks = max(SHARDS, -(-n // SHARD_ROWS)), max(1, -(-queries // QUERY_BLOCK))
     longest = float(longest or 1.0)
-    graphs = index(rows, shards, longest).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    graphs = index(rows, shards, longest, k).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = (rows.filter(F.col("vec_id") % every == 0)
              .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))

@@ -45,6 +45,30 @@ def test_recall_and_order(spark):
     assert hits / (20 * len(got)) > 0.9
 
 
+def test_recall_by_id_with_a_third_of_rows_equal(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 24))
+    v = centres[rng.integers(0, 30, 6000)] + 0.5 * rng.normal(size=(6000, 24))
+    v[rng.permutation(6000)[:2000]] = v[0]
+    frame = spark.createDataFrame([(int(i), [float(x) for x in row]) for i, row in enumerate(v)],
+                                  "vec_id long, embedding array<double>").repartition(5)
+    monkeypatch.setattr(hnsw, "SHARDS", 3)
+    got = {}
+    for r in hnsw.nearest(frame, k=20, every=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    copies = set(np.flatnonzero((v == v[0]).all(1)).tolist())
+    hits = {True: [], False: []}
+    for q in range(0, 6000, 20):
+        order = np.lexsort((np.arange(6000), -np.einsum("d,kd->k", v[q], v)))
+        want = [j for j in order.tolist() if j != q][:20]
+        found = [j for _, j in sorted(got[q])]
+        assert len(found) == 20
+        if q in copies and want[-1] in copies:
+            assert [j for j in found if j in copies] == [j for j in want if j in copies]
+        hits[q in copies].append(len(set(found) & set(want)) / 20)
+    assert np.mean(hits[True]) > 0.95 and np.mean(hits[False]) > 0.9
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [0.0, 0.0]), (4, None),
