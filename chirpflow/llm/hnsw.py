@@ -12,8 +12,9 @@ are inserted in batches, each searched at once against the graph so far, so
 inserting and searching are array operations.  A graph's points are the shard's
 distinct vectors, so that copies neither link only to each other nor fill the
 beam; a point found stands for its rows, of which those with the ``k + 1``
-smallest ids are kept, enough for the ``k`` nearest of any row.  A shard of at
-most ``EXACT`` points, or one in which a query finds too few, is compared in full.
+smallest ids are kept, enough for the ``k`` nearest of any row.  Every shard with
+more points than a search's beam has a graph; with fewer the beam holds them all.
+Only where a query finds too few points is a shard compared in full.
 
 Edge cases: vectors that are NULL, zero, of another length than most, or hold a
 NULL or non-finite component, and rows without an id, take no part; rows with
@@ -35,9 +36,8 @@ from . import common as C
 
 K, EVERY = 20, 20
 LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 64, 96
-SHARDS, SHARD_ROWS = 12, 50_000   # at least so many shards, and at most about so many rows in one
+SHARDS, SHARD_ROWS = 1, 5_000     # at least so many shards, and at most about so many rows in one
 QUERY_BLOCK = 8192                 # queries one task holds
-EXACT = 512
 
 
 # ------------------------------------------------------------- flat graphs
@@ -229,7 +229,7 @@ def points(v: np.ndarray, vec_id: np.ndarray, row: np.ndarray, keep: int) -> tup
     return v[np.sort(first)], np.r_[0, np.cumsum(np.minimum(sizes, keep))], order[place < keep]
 
 
-def index(rows: DataFrame, shards: int, longest: float, k: int = K) -> DataFrame:
+def index(rows: DataFrame, shards: int, longest: float, k: int = K, beam: int = SEARCH_BEAM) -> DataFrame:
     """One graph per shard: ``(shard, graph)``, the graph as a compressed archive
     of its arrays, written to the shared folder."""
     def run(t: pa.Table) -> pa.Table:
@@ -237,7 +237,7 @@ def index(rows: DataFrame, shards: int, longest: float, k: int = K) -> DataFrame
         row, vec_id = t.column("row").to_numpy(), t.column("vec_id").to_numpy()
         v, starts, at = points(_matrix(t.column("v")), vec_id, row, k + 1)
         base = _lifted(v, longest)
-        graph = build(base) if len(base) > EXACT else {"layers": [], "entry": np.zeros(1, np.int64)}
+        graph = build(base) if len(base) > beam else {"layers": [], "entry": np.zeros(1, np.int64)}
         out = io.BytesIO()
         np.savez(out, v=v, starts=starts, row=row[at], vec_id=vec_id[at],
                  entry=graph["entry"], **{f"layer{i}": x for i, x in enumerate(graph["layers"])})
@@ -289,7 +289,7 @@ def nearest(embeddings: DataFrame, k: int = K, every: int = EVERY, beam: int = S
         F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     shards, blocks = max(SHARDS, -(-n // SHARD_ROWS)), max(1, -(-queries // QUERY_BLOCK))
     longest = float(longest or 1.0)
-    graphs = index(rows, shards, longest, k).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    graphs = index(rows, shards, longest, k, beam).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = (rows.filter(F.col("vec_id") % every == 0)
              .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import io
 import random
 
 import numpy as np
@@ -69,6 +70,22 @@ def test_recall_by_id_with_a_third_of_rows_equal(spark, monkeypatch):
     assert np.mean(hits[True]) > 0.95 and np.mean(hits[False]) > 0.9
 
 
+def test_registered_query_builds_graphs(spark, monkeypatch):
+    from chirpflow.llm.queries import op2_hnsw
+    sf, held = "/root/testdata/sf0.01", []
+    index = hnsw.index
+    monkeypatch.setattr(hnsw, "index", lambda *a: held.append(index(*a)) or held[0])
+    got = {}
+    for r in op2_hnsw(spark, sf).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    blobs = [np.load(io.BytesIO(r.graph)) for r in held[0].collect()]
+    assert len(blobs) == 1 and all("layer0" in b.files for b in blobs)  # 500 rows: one shard, by the graph
+    rows = [(r[0], np.array(r[1], float)) for r in spark.read.parquet(f"{sf}/embeddings.parquet")
+            .select("vec_id", "embedding").collect()]
+    want = brute(rows, 20, 20)
+    assert sum(len(got[q] & {j for j, _ in near[0]}) for q, near in want.items()) / (20 * len(want)) > 0.9
+
+
 def test_search_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [0.0, 0.0]), (4, None),
