@@ -9,7 +9,7 @@ with the tokens.  Loopy sum-product message passing then carries what the rules
 know about one mention to the others, and tokens whose label is sure enough
 become further spans.  Rule spans always stay.
 
-The potentials are fitted piecewise, on a bounded sample of documents: a
+The potentials are fitted piecewise, on counts over all documents: a
 multinomial logistic regression of the rules' label on the token's shape, and
 smoothed pointwise mutual information for the two edge kinds.
 
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from . import common as C
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_DOCS = 4000          # documents the potentials are fitted on, at most twice as many
 SURE, LIKELY = 0.8, 0.5  # a span needs one token of the first belief, and all of the second
 EVIDENCE = 8.0           # log potential of a rule's own label
 ROUNDS, DAMPING = 12, 0.3
@@ -188,10 +187,10 @@ def fit_potentials(rows: list[tuple[int, int, int, int]], steps: int = 400) -> d
     if not shapes:
         return {"unary": np.zeros((SHAPES + 1, k)), "edges": edges}
     x = np.array([[1.0, *((s >> i) & 1 for i in range(SHAPES))] for s in shapes])
-    y = np.zeros((len(shapes), k))
+    y, place = np.zeros((len(shapes), k)), {s: i for i, s in enumerate(shapes)}
     for t, a, b, c in rows:
         if t == 2 and c:
-            y[shapes.index(a), b] += c
+            y[place[a], b] += c
     total = y.sum()
     w = np.zeros((SHAPES + 1, k))
     for _ in range(steps):
@@ -202,10 +201,10 @@ def fit_potentials(rows: list[tuple[int, int, int, int]], steps: int = 400) -> d
     return {"unary": w, "edges": edges}
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
-    """Potentials from a bounded sample of ``(doc_id, text)``.  Only counts of
-    shapes and label pairs reach the driver (at most a few thousand numbers)."""
-    counts = (C.bounded_sample(docs, "doc_id", fit_docs)
+def fit(docs: DataFrame) -> dict:
+    """Potentials from the ``text`` of all documents.  Only counts of shapes and
+    label pairs reach the driver (at most a few thousand numbers)."""
+    counts = (docs.select("text")
               .mapInArrow(C.per_batch(count_batch), "kind long, a long, b long, n long")
               .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
     return fit_potentials([tuple(r) for r in counts.collect()])
@@ -313,8 +312,7 @@ def mask(text: str, rules: list[list[Span]], more: list[list[Span]]) -> str:
 
 def masked(docs: DataFrame, text_col: str = "text", model: dict | None = None) -> DataFrame:
     """``docs`` with its columns, spans in ``text_col`` masked.  NULL stays NULL."""
-    model = model or fit(docs.select(F.lit(0).alias("doc_id") if "doc_id" not in docs.columns else F.col("doc_id"),
-                                     F.col(text_col).cast("binary").alias("text")))
+    model = model or fit(docs.select(F.col(text_col).cast("binary").alias("text")))
 
     def run(batch):
         data = batch.column(text_col).to_pylist()

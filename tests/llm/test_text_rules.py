@@ -97,6 +97,19 @@ def test_luhn():
     assert pii_crf.luhn("4111111111111111") and not pii_crf.luhn("4111111111111112")
 
 
+def test_potentials_count_all_documents(spark):
+    texts = [f"order {i} of {i % 97}" if i % 600 else "card 4111 1111 1111 1111 or +49 (30) 123456" for i in range(6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = {}
+    for t in texts:
+        _, shapes, labels, edges = pii_crf.graph(t, pii_crf.rule_spans(t))
+        for key in [(2, s, int(y)) for s, y in zip(shapes, labels)] + [(k, int(labels[i]), int(labels[j])) for i, j, k in edges]:
+            counts[key] = counts.get(key, 0) + 1
+    want = pii_crf.fit_potentials([(*k, n) for k, n in counts.items()])
+    got = pii_crf.fit(docs.selectExpr("doc_id", "cast(text AS binary) AS text"))
+    assert np.allclose(got["unary"], want["unary"]) and np.allclose(got["edges"], want["edges"])
+
+
 def test_field_carries_labels_to_twins_and_matches_exact_inference():
     rng = np.random.default_rng(3)
     unary, edges = rng.normal(size=(4, 5)), np.array([[0, 1, 0], [1, 2, 0], [2, 3, 0]])
