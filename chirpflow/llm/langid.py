@@ -4,9 +4,10 @@ One model per language, of order four, over lower-cased letters (every run of
 other characters is one space).  Each order is held as sorted arrays: hashes of
 the n-grams with their interpolated probabilities, and hashes of the contexts
 with their back-off weights.  A text gets the language with the lowest cross-entropy per
-character.  The temperature that turns cross-entropies into a score, and each
-language's rejection limit, are calibrated on sampled documents that the
-n-gram counts have not seen.
+character.  The n-grams are counted on a sample bounded per language, so that a
+rare language is learned however large the table is.  The temperature that turns
+cross-entropies into a score, and each language's rejection limit, are calibrated
+on all labelled documents that the counts have not seen.
 
 Edge cases: a NULL text, or one without a letter, is ``und`` with score 0 and
 rejected; if no labelled text exists, all are ``und``; ties go to the language
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 ORDER = 4
-FIT_DOCS = 8000          # labelled documents sampled for the models and their calibration, at most twice as many
+LANG_DOCS = 2000         # about so many documents of each language are counted, all of a rarer one
+LIMIT_DOCS = 50          # a language with fewer calibration documents is only rejected beyond a uniform guess, or its own limit
+TEMPERATURES = np.geomspace(0.5, 200, 40)
 BLOCK = 1 << 20          # characters worked on at once
 HASH = np.uint64(0x9E3779B97F4A7C15)
 SLACK = 1.25             # a rejected text is this much harder than the hardest calibration texts
@@ -189,14 +192,25 @@ def cross_entropies(texts: list[bytes | None], model: dict) -> tuple[np.ndarray,
     return -total / np.maximum(sizes, 1)[:, None], counts
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, lang_col: str = "lang") -> dict:
-    """Models and calibration from a bounded sample of labelled documents.  A
-    fifth of the sample calibrates; the rest is counted, by Spark, per language."""
-    text = F.col("text").cast("binary")
+def labelled(docs: DataFrame, lang_col: str = "lang", lang_docs: int = LANG_DOCS) -> DataFrame:
+    """``(lang, text, counted)`` of the labelled documents.  A fifth is left for
+    calibration; of the rest, a hash picks about ``lang_docs`` of each language.
+    A language that has documents in that fifth only is counted on these."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
-                       text.alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    sample = C.write_once(C.bounded_sample(rows, "doc_id", fit_docs), "langid_sample")
-    calibrates = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(5)) == 0
+                       F.col("text").cast("binary").alias("text"))
+    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    left = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(5)) == 0
+    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    sizes = rows.groupBy("lang").agg(F.count(F.when(~left, 1)).alias("n")).select(
+        "lang", (F.lit(lang_docs) / F.greatest("n", F.lit(1)) * (1 << 30)).alias("share"), (F.col("n") == 0).alias("few"))
+    return rows.join(F.broadcast(sizes), "lang").select(
+        "lang", "text", (F.col("few") | ~left & (pick < F.col("share"))).alias("counted"))
+
+
+def fit(docs: DataFrame, lang_docs: int = LANG_DOCS, lang_col: str = "lang") -> dict:
+    """Models from a sample bounded per language, counted by Spark, and their
+    calibration on all other labelled documents."""
+    rows = labelled(docs, lang_col, lang_docs)
 
     def count(batch):
         out = []
@@ -207,7 +221,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, lang_col: str = "lang") -> di
         cols = list(zip(*out)) or [(), (), ()]
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
                                            pa.array(cols[2], pa.int64())], names=["lang", "gram", "n"])
-    counted = (sample.filter(~calibrates).mapInArrow(C.per_batch(count), "lang string, gram string, n long")
+    counted = (rows.filter("counted").select("lang", "text").mapInArrow(C.per_batch(count), "lang string, gram string, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     per: dict[str, dict[str, int]] = {}
     for lang, gram, n in zip(counted["lang"], counted["gram"], counted["n"]):
@@ -219,34 +233,51 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, lang_col: str = "lang") -> di
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    names = model["languages"]
+
     def measure(batch):
+        """Each text's cross-entropy in its own language; log likelihoods per temperature are summed up
+        on a batch's first row."""
         h, n = cross_entropies(batch.column("text").to_pylist(), shared.value)
-        return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(n, pa.int64()),
-                                           pa.array(list(h), pa.list_(pa.float64()))], names=["lang", "n", "h"])
-    seen = [r for r in sample.filter(calibrates)
-            .mapInArrow(C.per_batch(measure), "lang string, n long, h array<double>").collect()
-            if r.n and r.lang in per]
-    return model | calibrate(model["languages"], [(r.lang, r.h) for r in seen])
+        at = {name: i for i, name in enumerate(names)}
+        y = np.asarray([at.get(lang, -1) for lang in batch.column("lang").to_pylist()])
+        ok = (n > 0) & (y >= 0)
+        h, y = h[ok], y[ok]
+        sums = [log_likelihoods(h, y).tolist()] + [None] * (len(y) - 1) if len(y) else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([names[k] for k in y], pa.string()), pa.array(h[np.arange(len(y)), y], pa.float64()),
+             pa.array(sums, pa.list_(pa.float64()))], names=["lang", "own", "ll"])
+    seen = (rows.filter("NOT counted").select("lang", "text")
+            .mapInArrow(C.per_batch(measure, 4 << 20), "lang string, own double, ll array<double>")
+            .rollup("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("own", 0.999, 100_000).alias("high"),
+                                F.array(*(F.sum(F.col("ll")[i]) for i in range(len(TEMPERATURES)))).alias("ll")).collect())
+    return model | calibrate(names, {r.lang: r for r in seen if r.n}, alphabet)
+
+
+def log_likelihoods(h: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum over texts of the label's log probability, per temperature."""
+    out = []
+    for t in TEMPERATURES:
+        z = -t * h
+        z -= z.max(1, keepdims=True)
+        p = np.exp(z)
+        out.append(np.log(np.maximum((p / p.sum(1, keepdims=True))[np.arange(len(y)), y], 1e-4)).sum())
+    return np.asarray(out)
 
 
-def calibrate(names: list[str], seen: list[tuple[str, list[float]]]) -> dict:
+def calibrate(names: list[str], seen: dict, alphabet: int) -> dict:
     """The temperature with the highest likelihood of the labels, and per language
-    the cross-entropy above which a text is rejected."""
+    the cross-entropy above which a text is rejected.  ``seen`` has number of texts,
+    quantile and likelihoods per language, and under None those of all."""
     if not seen:
-        return {"temperature": 10.0, "limits": {}}
-    h = np.asarray([x for _, x in seen])
-    y = np.asarray([names.index(lang) for lang, _ in seen])
-    best, choice = -math.inf, 10.0
-    for t in np.geomspace(0.5, 200, 40):
-        z = -t * h
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
-        ll = np.log(np.maximum((p / p.sum(1, keepdims=True))[np.arange(len(y)), y], 1e-4)).mean()
-        if ll > best:
-            best, choice = ll, float(t)
-    own = h[np.arange(len(y)), y]
-    limits = {name: float(np.quantile(own[y == k], 0.999) * SLACK) for k, name in enumerate(names) if (y == k).any()}
-    return {"temperature": choice, "limits": limits}
+        return {"temperature": 10.0, "limits": {name: math.log(alphabet) for name in names}}
+    limits = {}
+    for name in names:
+        own = seen.get(name)
+        limits[name] = own.high * SLACK if own else 0.0
+        if not own or own.n < LIMIT_DOCS:  # too few to know how hard its texts can be
+            limits[name] = max(limits[name], math.log(alphabet))
+    return {"temperature": float(TEMPERATURES[int(np.argmax(seen[None].ll))]), "limits": limits}
 
 
 def predict(texts: list[bytes | None], model: dict) -> list[tuple[str, float, float | None, bool, int]]:

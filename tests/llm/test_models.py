@@ -102,6 +102,20 @@ def test_language_held_out_and_edges(spark, edge, empty, edge_rows):
     assert langid.kept(edge, train=edge).columns == edge.columns
 
 
+def test_rare_languages_are_learned_and_keep_clean_texts(spark):
+    words = {"en": ["the", "cat", "with", "this", "thing"], "xx": ["qoqa", "zuzi", "qaqu", "zizo"], "yy": ["ñoñu"]}
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(words["en"], 6)), "en") for i in range(30_000)]
+    rows += [(40_000 + i, " ".join(rng.choice(words["xx"], 6)), "xx") for i in range(8)] + [(50_000, "ñoñu ñu", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(docs)
+    assert model["languages"] == ["en", "xx", "yy"] and model["limits"].keys() == {"en", "xx", "yy"}
+    got = langid.predict([b"qoqa zizo", "ñoñu".encode(), b"the cat with this thing the"], model)
+    assert [r[0] for r in got] == ["xx", "yy", "en"] and not got[0][3] and not got[2][3]
+    picked = {r.lang: r["count"] for r in langid.labelled(docs).filter("counted").groupBy("lang").count().collect()}
+    assert 0.9 < picked["en"] / langid.LANG_DOCS < 1.1 and picked["yy"] == 1
+
+
 def test_blocks_of_characters_do_not_change_the_result(monkeypatch):
     texts = [b"the cat sat", None, b"", "größe und maß".encode(), b"x" * 500]
     counts = {"en": langid.grams_of([b"the cat sat on the mat"]), "de": langid.grams_of(["die größe".encode()])}
