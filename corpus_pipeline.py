@@ -38,8 +38,8 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences (1)."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    """Pieces of training sequences with their token ids (1)."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("quality", quality_stage), ("language", language_stage), ("near_duplicates", near_duplicate_stage),

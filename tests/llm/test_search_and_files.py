@@ -262,3 +262,11 @@ def test_pipeline_stages(spark, edge, edge_rows, tmp_path):
     for name, stage in P.STAGES:  # edge cases: every stage takes them
         rows = stage(spark, edge, sf).count()
         assert rows >= 0, name
+
+
+def test_pipeline_returns_token_ids(spark, edge):
+    import zlib
+
+    import corpus_pipeline as P
+    pieces = P.packing_stage(spark, edge, None).collect()
+    assert pieces and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in pieces)
