@@ -83,7 +83,8 @@ def line_rule(line: bytes, n_words: int, seen: set[bytes]) -> str:
     """The name of the first rule the line fails, or ``""``."""
     if line in seen:
         return "repeated"
-    if len(SEPARATORS.findall(line)) >= 2 and 2 * len(SEPARATORS.findall(line)) >= n_words:
+    separators = len(SEPARATORS.findall(line))
+    if separators >= 2 and 2 * separators >= n_words - sum(SEPARATORS.fullmatch(w) is not None for w in line.split()):
         return "navigation"
     if n_words <= BOILERPLATE_WORDS and BOILERPLATE.search(line.lower()):
         return "boilerplate"

@@ -17,13 +17,14 @@ WITH d AS (
     SELECT r, l, i, len(regexp_extract_all(l, '[^{WHITE}]+')) AS n,
            row_number() OVER (PARTITION BY r, l ORDER BY i) AS copy,
            len(regexp_extract_all(l, '[|>»•·]')) AS separators,
+           len(list_filter(regexp_extract_all(l, '[^{WHITE}]+'), lambda w: regexp_full_match(w, '[|>»•·]'))) AS alone,
            len(regexp_extract_all(l, '[#*$%&|<>]')) AS symbols,
            length(regexp_replace(l, '[{WHITE}]+', '', 'g')) AS chars
     FROM lines
 ), ruled AS (
     SELECT r, copy, chars, CASE
         WHEN copy > 1 THEN 'repeated'
-        WHEN separators >= 2 AND 2 * separators >= n THEN 'navigation'
+        WHEN separators >= 2 AND 2 * separators >= n - alone THEN 'navigation'
         WHEN n <= {BOILERPLATE_WORDS} AND regexp_matches(
             translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '{"|".join(p.decode() for p in PHRASES)}') THEN 'boilerplate'

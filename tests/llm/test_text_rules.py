@@ -53,6 +53,13 @@ def by_id_text(rows, doc_id):
     return next(t for d, t, _ in rows if d == doc_id)
 
 
+def test_menus_with_and_without_spaces_go():
+    for menu in ("Home | News | About", "Home|News|About", "Home | News | About | Sport", "a » b » c » d"):
+        assert line_rules.line_rule(menu.encode(), len(menu.split()), set()) == "navigation", menu
+    for text in ("one | two words here and many more of them | three.", "a | b", "no separator at all."):
+        assert line_rules.line_rule(text.encode(), len(text.split()), set()) != "navigation", text
+
+
 def test_lines_that_go():
     body = "A sentence that stays here for good reasons, as it ends well.\n" * 1
     text = body + "Home | News | About\nWe use cookies here.\nshort\n" + body
