@@ -39,7 +39,6 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
 
     def encode(self, data: list[bytes]) -> list[bytes]:

@@ -151,7 +151,6 @@ def test_linear_time_on_long_runs():
 def test_packing_covers_every_id_once(edge, empty, edge_rows):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     want = sorted(tuple([*plain.encode(t or "", add_special_tokens=False).ids, 1]) for _, t, _ in edge_rows)
     got = packing.pack(edge, path).collect()
     seqs, total = {}, 0
