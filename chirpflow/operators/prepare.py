@@ -1,15 +1,16 @@
 """Labelled-set preparation: projection, literals, union, counts, sort, split
-(P1-P5, U1, A1, O1, O2, O4)."""
+(P1-P5, U1, A1, O1, O2, O4) and positions in an order."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import scratch_path
 
 POSITIVE, NEGATIVE = "Positive", "Negative"
 
@@ -65,16 +66,53 @@ def class_counts(df: DataFrame, cols: Sequence[str] = ("label", "sentiment")) ->
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: ``monotonically_increasing_id`` holds the partition above this many bits.
+_ROW_BITS = 33
+
+
+def partition_bases(rows: DataFrame, at: str) -> DataFrame:
+    """``(part, base)``: the rows in all partitions before each partition, from
+    row numbers ``at`` made by ``monotonically_increasing_id``.  One row per
+    partition, so the prefix sum and its broadcast are bounded by the number of
+    partitions, not by the data."""
+    totals = (rows.select(F.shiftright(at, _ROW_BITS).alias("part"))
+              .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
+def with_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
+    """Every row with its place, from 1, in the global order by ``order``.
+
+    A range-partitioned sort, a count per partition and a prefix sum over these
+    counts; no task sees more than its range.  The input's row number is the last
+    key, so the range partitioner can cut between rows that are equal in
+    ``order``, however many they are.  The sorted rows are written once to the
+    shared folder: a row's place stays what it is, whatever is computed again."""
+    spark = df.sparkSession
+    keys = [F.col(k) if isinstance(k, str) else k for k in order]
+    ordered = (df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*keys, "_tie").drop("_tie")
+               .withColumn("_at", F.monotonically_increasing_id()))
+    path = scratch_path(spark, "positions")
+    ordered.write.parquet(path)
+    rows = spark.read.schema(ordered.schema).parquet(path)
+    placed = rows.withColumn("part", F.shiftright("_at", _ROW_BITS)).join(
+        F.broadcast(partition_bases(rows, "_at")), "part")
+    inside = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("base") + inside + 1).alias(name))
+
+
 def label_sort(df: DataFrame, col: str = "label",
-               tie_break: Sequence[str] = ("doc_id",)) -> DataFrame:
+               tie_break: Sequence[str] = ("doc_id",), position: str | None = None) -> DataFrame:
     """O1: global ascending sort by label (range-partitioned shuffle).
 
     A label has two values, so range partitioning on it alone would put each
     class, half the data or more, into one partition.  The unique tie-break
     key lets the range partitioner cut inside a class; the order by label is
-    unchanged (the order within a label is unspecified anyway)."""
+    unchanged (the order within a label is unspecified anyway).  With
+    ``position`` each row carries its place in the order (``with_position``)."""
     keys = [F.col(col).asc(), *[F.col(k).asc() for k in tie_break if k in df.columns]]
-    return df.orderBy(*keys)
+    return with_position(df, *keys, name=position) if position else df.orderBy(*keys)
 
 
 def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -128,9 +166,15 @@ def index_labels(df: DataFrame, input_col: str = "sentiment", output_col: str =
     return model, model.transform(df)
 
 
-def shuffle_rows(df: DataFrame, seed: int = C.RANDOM_SPLIT_SEED) -> DataFrame:
-    """Random global order (a range-partitioned sort on a seeded random key)."""
-    return df.orderBy(F.rand(seed))
+def shuffle_rows(df: DataFrame, seed: int = C.RANDOM_SPLIT_SEED, key: str | None = None,
+                 position: str | None = None) -> DataFrame:
+    """Random global order (a range-partitioned sort).  The order comes from
+    a seeded random key or, with ``key``, from the md5 of seed and key, which is
+    the same whatever the layout of the input.  With ``position`` each row
+    carries its place (``with_position``)."""
+    order = [F.rand(seed)] if key is None else [
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.col(key)]
+    return with_position(df, *order, name=position) if position else df.orderBy(*order)
 
 
 def schema_frame(df: DataFrame) -> DataFrame:

@@ -249,7 +249,8 @@ ORACLE: dict[str, str] = {
         WITH {LABELLED}, c AS (SELECT sentiment, count(*) AS n FROM labelled WHERE label IN (0, 1) GROUP BY sentiment),
         r AS (SELECT sentiment, CAST(row_number() OVER (ORDER BY n DESC, sentiment) - 1 AS DOUBLE) AS idx FROM c)
         SELECT doc_id, sentiment, idx AS label FROM labelled JOIN r USING (sentiment)""",
-    "shuffle_rows": "SELECT doc_id, lang FROM documents",
+    "shuffle_rows": f"SELECT doc_id, lang, row_number() OVER (ORDER BY md5('{C.RANDOM_SPLIT_SEED}:' || doc_id), doc_id) "
+                    "AS position FROM documents",
     "area_under_roc": f"""
         WITH {LABELLED}, x AS (SELECT label, length(text) AS s FROM labelled WHERE label IN (0, 1)),
         r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM x),
@@ -262,7 +263,8 @@ ORACLE: dict[str, str] = {
                       "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 0",
     "class_counts": f"WITH {LABELLED} SELECT label, sentiment, count(*) AS n FROM labelled "
                     "GROUP BY label, sentiment",
-    "label_sort": f"WITH {LABELLED} SELECT doc_id, label FROM labelled ORDER BY label",
+    "label_sort": f"WITH {LABELLED} SELECT doc_id, label, row_number() OVER (ORDER BY label, doc_id) "
+                  "AS position FROM labelled",
     "hash_split": f"WITH {LABELLED} SELECT doc_id, label, "
                   "CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS side FROM labelled",
     "preview": f"WITH {LABELLED} SELECT doc_id, sentiment, label FROM labelled "

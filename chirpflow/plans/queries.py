@@ -234,8 +234,8 @@ def index_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random order, the same rows."""
-    return P.shuffle_rows(_docs(spark, sf_dir).select("doc_id", "lang"))
+    """The same rows in a keyed random order, each with its place."""
+    return P.shuffle_rows(_docs(spark, sf_dir).select("doc_id", "lang"), key="doc_id", position="position")
 
 
 def area_under_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,8 +263,8 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O1."""
-    return P.label_sort(_labelled(spark, sf_dir).select("doc_id", "label"))
+    """O1, each row with its place in the order."""
+    return P.label_sort(_labelled(spark, sf_dir).select("doc_id", "label"), position="position")
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
