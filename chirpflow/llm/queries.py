@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import bpe, ctw, hnsw, langid, line_rules, ngram_join, packing, pii_crf, quality, warc
+from . import (
+    bpe, chat, ctw, hnsw, importance, langid, line_rules, ngram_join, packing, pii_crf, quality, repair, warc,
+)
 from .oracle import ORACLE  # noqa: F401 - part of the registration
 
 
@@ -64,5 +66,22 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_first_rules(C.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_hnsw, op3_quality, op4_ctw, op5_pii_crf, op6_ngram_join, op7_bpe, op8_warc, op9_language,
-                                      op10_line_rules)}
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling (11) of all documents towards the benchmark texts."""
+    return importance.resample(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat formatting (12): all conversations written with their loss mask and read back."""
+    rows = chat.with_injection(spark, C.table(spark, sf_dir, "conversations"))
+    return chat.digests(C.write_once(chat.format_chats(rows), "chats"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation repair (13): the cheapest edits of all damaged conversations."""
+    return repair.repair(C.table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pack, op2_hnsw, op3_quality, op4_ctw, op5_pii_crf, op6_ngram_join, op7_bpe, op8_warc, op9_language, op10_line_rules,
+    op11_resample, op12_chat, op13_repair)}
