@@ -271,7 +271,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
     C.ready(docs.sparkSession)
     gain = gains(histogram(docs), histogram(target))
     takes_part = F.col("n_words") >= F.lit(min_words)
-    placed = with_position(scored(docs, gain, seed), F.desc(takes_part), F.desc("score"),
+    scores = C.write_once(scored(docs, gain, seed), "scores")  # the sort reads them twice, for its ranges and for itself
+    placed = with_position(scores, F.desc(takes_part), F.desc("score"),
                            F.asc_nulls_last("doc_id"), name="place")
     drawn = placed.agg(F.floor(F.count_if(takes_part) * percent / 100)).scalar()
     return placed.select("doc_id", "n_words", "n_features", "weight", "score",
