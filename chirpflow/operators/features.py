@@ -1,7 +1,8 @@
 """Text preparation and TF-IDF features (M1-M4, A4, A5, M7, M8, O3).
 
-A *profile* is the one place that says how raw text becomes tokens, and it is
-used both for training and for scoring (so the two cannot drift apart):
+A *profile* is the one place that says how raw text becomes tokens.  Its
+preparation is a stage of every fitted pipeline (``SQLTransformer``), so a saved
+model takes raw text wherever it is loaded:
 
 * ``english``: drop digits, lower-case, split on ASCII non-word characters,
   drop the English stop words, count terms, re-weight by IDF.
@@ -20,14 +21,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import (
+    IDF, CountVectorizer, CountVectorizerModel, RegexTokenizer, SQLTransformer, StopWordsRemover,
+)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.text import remove_digits, reverse_text, whitespace_tokens
-from ..session import scratch_path
-from .filters import drop_null_text
+from .prepare import with_position
 
 #: The term that stands for a document itself; no tokenizer gives an empty term.
 MARKER = ""
@@ -44,20 +45,26 @@ class Profile:
     unicode: bool = False
     vocab_size: int = C.VOCAB_SIZE
 
-    def prepare(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        """Null policy (P6) + the profile's text cleaning; batch or stream."""
-        df = drop_null_text(df, [text_col])
+    def preparation(self, text_col: str = "text") -> SQLTransformer:
+        """Null policy (P6) + the profile's text cleaning as a pipeline stage."""
+        text = f"`{text_col}`"
         if self.name == "english":
-            return df.withColumn(text_col, remove_digits(text_col))
-        return df.withColumn("words", whitespace_tokens(reverse_text(text_col)))
+            cleaned = f"SELECT * EXCEPT ({text}), regexp_replace({text}, r'{C.DIGITS}', '') AS {text}"
+        else:
+            cleaned = f"SELECT *, array_remove(split(reverse({text}), r'{C.PY_WHITESPACE_RUN}'), '') AS words"
+        return SQLTransformer(statement=f"{cleaned} FROM __THIS__ WHERE {text} IS NOT NULL")
+
+    def prepare(self, df: DataFrame, text_col: str = "text") -> DataFrame:
+        """The preparation alone; batch or stream."""
+        return self.preparation(text_col).transform(df)
 
     def token_stages(self, text_col: str = "text") -> list[Transformer]:
-        """Stateless stages from cleaned text to ``tokens_col``."""
+        """Stateless stages from raw text to ``tokens_col``."""
         if self.name != "english":
-            return []
+            return [self.preparation(text_col)]
         tok = RegexTokenizer(inputCol=text_col, outputCol="words",
                              pattern=C.NON_WORD_UNICODE if self.unicode else C.NON_WORD)
-        stages: list[Transformer] = [tok]
+        stages: list[Transformer] = [PipelineModel(stages=[self.preparation(text_col), tok])]
         if self.stop_words:
             stages.append(StopWordsRemover(inputCol="words", outputCol="filtered",
                                            stopWords=list(self.stop_words)))
@@ -81,19 +88,20 @@ def get_profile(profile: str | Profile) -> Profile:
 
 
 def with_profile(model: PipelineModel, profile: str | Profile) -> PipelineModel:
-    """Note the preparation a model was trained with on the model."""
+    """Note the name of a model's preparation on the model."""
     model.profile = get_profile(profile)
     return model
 
 
 def tokenize(df: DataFrame, profile: str | Profile = ENGLISH, text_col: str = "text") -> DataFrame:
     """Prepared frame with the profile's token column (M1, M2); narrow, no fit."""
-    p = get_profile(profile)
-    out = p.prepare(df, text_col)
-    stages = p.token_stages(text_col)
-    if stages:
-        out = PipelineModel(stages=stages).transform(out)
-    return out
+    return PipelineModel(stages=get_profile(profile).token_stages(text_col)).transform(df)
+
+
+def prepares(model: PipelineModel) -> bool:
+    """Does a pipeline begin with its preparation?  (Models saved before it was a stage do not.)"""
+    first = model.stages[0]
+    return isinstance(first, SQLTransformer) or (isinstance(first, PipelineModel) and prepares(first))
 
 
 def doc_terms(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
@@ -125,28 +133,12 @@ def term_stats(df: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "d
             .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
 
 
-def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE, prefix: int = 4) -> DataFrame:
-    """O3: the ``k`` most frequent terms in order (ties by term), as a filter and
-    a range-partitioned sort: no task merges candidates.  The frequency at the cut comes from the histogram of
-    frequencies (one row per distinct frequency).  Of the terms with exactly that
-    frequency the first ones stay: those whose first ``prefix`` characters sort
-    before the prefix at the cut, and within that one prefix by rank."""
-    def cumulative(counts: DataFrame, order) -> DataFrame:
-        return counts.withColumn("upto", F.sum("c").over(Window.orderBy(order)))
-    by_tf = cumulative(stats.groupBy("tf").agg(F.count(F.lit(1)).alias("c")), F.desc("tf"))
-    cut = by_tf.filter(F.col("upto") >= k).agg(F.max("tf")).scalar()
-    above = by_tf.filter(F.col("tf") > cut).agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
-    tied = stats.filter(F.col("tf") == cut).withColumn("head", F.substring("term", 1, prefix))
-    by_head = cumulative(tied.groupBy("head").agg(F.count(F.lit(1)).alias("c")), F.asc("head"))
-    heads = by_head.filter(F.col("upto") - F.col("c") + above < k)
-    placed = (tied.join(heads, "head").filter(F.col("upto") + above > k)
-              .withColumn("rank", F.row_number().over(Window.partitionBy("head").orderBy("term")))
-              .filter(F.col("rank") + F.col("upto") - F.col("c") + above <= k))
-    whole = tied.join(heads, "head").filter(F.col("upto") + above <= k)
-    cols = stats.columns
-    return (stats.filter(cut.isNull() | (F.col("tf") > cut)).select(*cols)
-            .unionByName(whole.select(*cols)).unionByName(placed.select(*cols))
-            .orderBy(F.desc("tf"), "term"))
+def vocabulary_topk(stats: DataFrame, k: int = C.VOCAB_SIZE) -> DataFrame:
+    """O3: the ``k`` most frequent terms in order (ties by term).  Every term has
+    its place in one range-partitioned sort (``with_position``), so no task ranks
+    or merges candidates, wherever the cut falls among equal frequencies."""
+    placed = with_position(stats, F.desc("tf"), "term", name="_place")
+    return placed.filter(F.col("_place") <= k).orderBy("_place").drop("_place")
 
 
 def idf_weights(train: DataFrame, profile: str | Profile = ENGLISH, id_col: str = "doc_id",
@@ -204,23 +196,14 @@ def tfidf_terms(docs: DataFrame, profile: str | Profile = ENGLISH, id_col: str =
 
 def vectorizer(tokens: DataFrame, profile: str | Profile) -> CountVectorizerModel:
     """The fitted vectorizer of a frame with the profile's token column.  Its
-    vocabulary is ``vocabulary_topk``'s, so no candidate list is merged on the
-    driver: one task writes the at most ``vocab_size`` terms in order into a saved
-    model's folder, which is then loaded in one read."""
+    vocabulary is ``vocabulary_topk``'s: at most ``vocab_size`` terms reach the
+    driver, as in MLlib's own fit, but chosen and ordered before."""
     p = get_profile(profile)
-    spark = tokens.sparkSession
-    path = scratch_path(spark, "vectorizer")
-    (explode_tokens(tokens, [], p.tokens_col, "term").groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
-     .write.parquet(f"{path}/terms"))  # the selection reads the counts several times
-    stats = spark.read.schema("term string, tf long").parquet(f"{path}/terms")
-    ordered = F.sort_array(F.collect_list(F.struct((-F.col("tf")).alias("tf"), "term")))
-    words = vocabulary_topk(stats, p.vocab_size).agg(ordered["term"].alias("vocabulary"))
-    CountVectorizerModel.from_vocabulary(["-"], inputCol=p.tokens_col, outputCol=FEATURES).save(f"{path}/model")
-    words.write.mode("overwrite").parquet(f"{path}/model/data")
-    model = CountVectorizerModel.load(f"{path}/model")
-    if not model.vocabulary:
+    stats = explode_tokens(tokens, [], p.tokens_col, "term").groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+    words = [r["term"] for r in vocabulary_topk(stats, p.vocab_size).select("term").collect()]
+    if not words:
         raise ValueError("no term to train on")
-    return model
+    return CountVectorizerModel.from_vocabulary(words, inputCol=p.tokens_col, outputCol=FEATURES)
 
 
 def feature_pipeline(profile: str | Profile = ENGLISH, text_col: str = "text") -> Pipeline:

@@ -2,20 +2,24 @@
 
 The collectors hand a keyword list to a remote service ("track") and publish
 each match to one topic per script.  Here the rule is explicit and the five
-scripts become one ``(topic, keyword)`` table: a text matches a keyword when one
-of its lower-cased word tokens equals the lower-cased keyword.  One text can go
+scripts become one ``(topic, keyword)`` table: a text matches a keyword when all
+word tokens of the keyword, lower-cased, are among the text's lower-cased word
+tokens, in any order.  A keyword without a word matches nothing.  One text can go
 to several topics.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import regex_tokens
 
+
 def drop_null_text(df: DataFrame, cols: Sequence[str] = ("text",)) -> DataFrame:
     """Drop rows with NULL in ``cols`` (the tokenizer fails on NULL)."""
     return df.na.drop(subset=list(cols))
@@ -23,27 +27,67 @@ def drop_null_text(df: DataFrame, cols: Sequence[str] = ("text",)) -> DataFrame:
 
 def keyword_filter(df: DataFrame, keywords: Iterable[str], text_col: str = "text",
                    unicode: bool = False) -> DataFrame:
-    """P10: keep rows whose text has any keyword as a whole token (any case)."""
+    """P10: keep rows whose text has all words of any keyword as whole tokens (any case)."""
     kws = sorted({k.lower() for k in keywords})
     if not kws:
         return df.limit(0)
-    wanted = F.array(*[F.lit(k) for k in kws])
-    return df.filter(F.arrays_overlap(regex_tokens(text_col, unicode), wanted))
+    one_word = [k for k in kws if re.fullmatch("[a-z0-9_]+", k)]
+    others = [F.array_distinct(regex_tokens(F.lit(k), unicode)) for k in kws if k not in one_word]
+
+    def matches(tokens: Column) -> Column:
+        found = F.arrays_overlap(tokens, F.array(*map(F.lit, one_word))) if one_word else F.lit(False)
+        for phrase in others:  # folded to literals by the optimizer
+            found |= (F.size(phrase) > 0) & (F.size(F.array_except(phrase, tokens)) == 0)
+        return found
+    # a one-element array binds the tokens, so that the text is split once
+    return df.filter(F.exists(F.array(regex_tokens(text_col, unicode)), matches))
 
 
 def routes_frame(spark: SparkSession,
                  routes: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """``[(topic, [keywords])]`` to a ``(topic, keyword)`` frame.  Built as a
-    parameterized ``VALUES`` query, so Spark plans it as a local relation that
-    is read on the driver without a job."""
-    rows = [(topic, kw) for topic, kws in routes for kw in kws]
-    if not rows:
-        return spark.createDataFrame([], "topic string, keyword string")
-    marks = ", ".join(f"(:t{i}, :k{i})" for i in range(len(rows)))
-    args = {}
-    for i, (topic, kw) in enumerate(rows):
-        args[f"t{i}"], args[f"k{i}"] = topic, kw
-    return spark.sql(f"SELECT * FROM VALUES {marks} AS routes(topic, keyword)", args=args)
+    """``[(topic, [keywords])]`` to a ``(topic, keyword)`` frame, from an Arrow
+    table: no plan expression per keyword, however many there are."""
+    topics, keywords = [], []
+    for topic, kws in routes:
+        topics += [topic] * len(kws)
+        keywords += kws
+    return spark.createDataFrame(pa.table({"topic": pa.array(topics, pa.string()),
+                                           "keyword": pa.array(keywords, pa.string())}))
+
+
+def keyword_tokens(routes: DataFrame, unicode: bool = False) -> DataFrame:
+    """``(topic, phrase, need, _token)``: a row per word of each keyword and topic.
+    ``phrase`` is NULL for a keyword of one word."""
+    words = F.array_distinct(regex_tokens("keyword", unicode))
+    keys = (routes.filter(F.col("keyword").isNotNull() & F.col("topic").isNotNull())
+            .select("topic", F.array_sort(words).alias("_words")).distinct()
+            .select("topic", F.when(F.size("_words") > 1, F.array_join("_words", " ")).alias("phrase"),
+                    F.size("_words").alias("need"), F.explode_outer("_words").alias("_token")))
+    return keys.filter(F.col("_token").isNotNull())
+
+
+def _matched(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``(_row, _topics)`` from ``(_row, _token)``.  A keyword of several words
+    needs as many different matched tokens as it has words (relational division).
+    Only matches are exchanged, and rows of a text that many rows share are
+    combined before that."""
+    whole = (tokens.join(words, "_token").groupBy("_row", "topic", "phrase", "need")
+             .agg(F.collect_set("_token").alias("_found"))
+             .filter((F.col("need") == 1) | (F.size("_found") == F.col("need"))))
+    return whole.groupBy("_row").agg(F.collect_set("topic").alias("_topics"))
+
+
+def _tokens_of(rows: DataFrame, tokens: Column) -> DataFrame:
+    """One row per distinct token.  ``explode_outer`` and a filter, since for
+    ``explode`` Catalyst would evaluate the tokenizer a second time."""
+    return (rows.select("_row", F.explode_outer(F.array_distinct(tokens)).alias("_token"))
+            .filter(F.col("_token").isNotNull()))
+
+
+def text_key(text_col: str) -> Column:
+    """A stable identity of a text: 16 bytes of its SHA-256.  Rows of equal text
+    have equal matches, so they may share it."""
+    return F.substring(F.unhex(F.sha2(F.col(text_col).cast("binary"), 256)), 1, 16)
 
 
 def keyword_route(df: DataFrame, routes: DataFrame, id_col: str | None = "doc_id",
@@ -51,13 +95,13 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str | None = "doc_id
                   unicode: bool = False) -> DataFrame:
     """One row per input row and matching topic: ``id_col, topic, *keep``.
 
-    A row number is made before the tokens are exploded, so equal or NULL ids
-    stay separate rows, and ``id_col`` may be None.  Tokens are joined with the
-    keywords: Spark broadcasts the keywords if their measured size is under
-    the threshold, and then explode, join and the per-row grouping of the few
-    matches follow each other without moving a text that has no match; a larger
-    keyword table is shuffled, and a hot token is split by AQE's skew join.  NULL
-    keywords match nothing and NULL topics route nothing.
+    What is exploded and exchanged per token is a row key of 16 bytes (the text's
+    digest) and the token, never a text or a kept column.  Matches, one row per
+    text, are then joined with the rows.  Equal or NULL ids stay separate rows,
+    and ``id_col`` may be None.  Spark broadcasts the keywords, or the matches, if
+    their measured size is under the threshold; else they are shuffled, and a hot
+    token or text is split by AQE's skew join.  NULL keywords match nothing and
+    NULL topics route nothing.
 
     The grouping needs whole batches: on a stream use it in ``foreachBatch``
     (``run_to_table(transform=...)``, ``collect_to_kafka``).
@@ -65,14 +109,9 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str | None = "doc_id
     if df.isStreaming:
         raise ValueError("route a stream per micro-batch: pass the routing as the batch transform")
     cols = list(dict.fromkeys([*([id_col] if id_col else []), *keep]))
-    words = (routes.filter(F.col("keyword").isNotNull() & F.col("topic").isNotNull())
-             .select(F.lower("keyword").alias("_token"), "topic").distinct())
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*cols).alias("_kept"),
-                     F.array_distinct(regex_tokens(text_col, unicode)).alias("_tokens"))
-    tokens = (rows.select("_row", "_kept", F.explode_outer("_tokens").alias("_token"))
-              .filter(F.col("_token").isNotNull()))
-    found = (tokens.join(words, "_token").groupBy("_row")
-             .agg(F.first("_kept").alias("_kept"), F.collect_set("topic").alias("_topics")))
-    return (found.select("_kept", F.explode("_topics").alias("topic"))
-            .select(*([f"_kept.{id_col}"] if id_col else []), "topic",
-                    *(f"_kept.{c}" for c in keep if c != id_col)))
+    texts = df.select(text_key(text_col).alias("_row"), F.col(text_col).alias("_text"))
+    found = _matched(_tokens_of(texts, regex_tokens("_text", unicode)), keyword_tokens(routes, unicode))
+    rows = df.select(text_key(text_col).alias("_row"), F.struct(*cols).alias("_kept"))
+    routed = rows.join(found, "_row").select("_kept", F.explode("_topics").alias("topic"))
+    return routed.select(*([f"_kept.{id_col}"] if id_col else []), "topic",
+                         *(f"_kept.{c}" for c in keep if c != id_col))

@@ -2,9 +2,8 @@
 
 Training fits the feature stages once on the training part (M9), persists the
 featurized rows, then fits each classifier on them.  Every returned model is a
-full ``PipelineModel`` (features + classifier), so it can be saved, loaded and
-applied to a stream on its own.  Text preparation comes from the profile and is
-applied the same way for training and scoring.
+full ``PipelineModel`` (preparation + features + classifier): saved, it can be
+loaded by MLlib alone and applied to raw texts, batch or stream.
 """
 
 from __future__ import annotations
@@ -19,15 +18,16 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import save_model
 from .features import (
-    ENGLISH, FEATURES, WEIGHTS, Profile, doc_terms, get_profile, idf_from_terms, vectorizer, with_profile,
+    ENGLISH, FEATURES, WEIGHTS, Profile, doc_terms, get_profile, idf_from_terms, prepares, vectorizer, with_profile,
 )
-from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, known_labels, union_classes
+from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, known_labels, union_classes, with_position
 
 
 def classifier(name: str, label_col: str = "label"):
@@ -54,21 +54,20 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
 
     The training text is scanned and tokenized once: the token arrays are
     persisted (MEMORY_AND_DISK, recomputed from lineage if an executor is
-    lost) for the vectorizer and IDF passes, then the TF-IDF vectors are
-    persisted for the iterative classifier fits and the tokens released.
-    With ``reliable`` (default) the vectors are first written to the shared
-    ``spark.checkpoint.dir`` (``DataFrame.checkpoint``), which cuts the
-    lineage: an executor lost during the many LR iterations costs a re-read
-    of its vectors, not a re-scan and re-tokenization of the raw text.
+    lost) for the vectorizer and IDF passes, then the TF-IDF vectors are stored
+    for the classifiers and the tokens released.  With ``reliable`` (default)
+    they are written to the shared ``spark.checkpoint.dir``
+    (``DataFrame.checkpoint``), which cuts the lineage: an executor lost during
+    the many LR iterations costs a re-read of its vectors, not a re-scan and
+    re-tokenization of the raw text; without it they are persisted.  An iterative
+    classifier caches its own form of them.
     Rows whose label is not 0 or 1 are left out.  ``fit_partitions`` (off by
-    default) merges the cached vectors into that many partitions: L-BFGS pays
+    default) merges the stored vectors into that many partitions: L-BFGS pays
     for each task in each iteration.
     """
     p = get_profile(profile)
     token_stages = p.token_stages(text_col)
-    tokens = p.prepare(known_labels(train, label_col), text_col)
-    if token_stages:
-        tokens = PipelineModel(stages=token_stages).transform(tokens)
+    tokens = PipelineModel(stages=token_stages).transform(known_labels(train, label_col))
     tokens = tokens.select(p.tokens_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     featurized = None
     try:
@@ -79,9 +78,9 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
         if reliable:
             ensure_checkpoint_dir(featurized.sparkSession)
             featurized = featurized.checkpoint(eager=True)
-        featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
-        featurized.count()
-        tokens.unpersist()
+            tokens.unpersist()
+        else:
+            featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
         fit_input = featurized.coalesce(fit_partitions) if fit_partitions else featurized
         models = {}
         for name in names:
@@ -90,20 +89,24 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
         return models
     finally:
         tokens.unpersist()
-        if featurized is not None:
+        if featurized is not None and not reliable:
             featurized.unpersist()
 
 
-def _profile_of(model: PipelineModel, profile: str | Profile | None) -> Profile:
-    """The preparation asked for, else the one the model was trained with."""
-    return get_profile(profile or getattr(model, "profile", ENGLISH))
+def _raw(df: DataFrame, model: PipelineModel, profile: str | Profile | None, text_col: str) -> DataFrame:
+    """What a model's stages expect: raw texts, or prepared ones for a model that
+    was saved before its preparation was a stage."""
+    if prepares(model):
+        return df
+    return get_profile(profile or getattr(model, "profile", ENGLISH)).prepare(df, text_col)
 
 
 def score_texts(df: DataFrame, model: PipelineModel, profile: str | Profile | None = None,
                 text_col: str = "text") -> DataFrame:
-    """Prepare exactly as in training (the profile is saved with the
-    model), then apply the model.  Any number of rows, batch or stream."""
-    return model.transform(_profile_of(model, profile).prepare(df, text_col))
+    """The model applied to raw texts.  The preparation is one of its
+    stages; ``profile`` counts only for a model without it.  Any number of rows,
+    batch or stream."""
+    return model.transform(_raw(df, model, profile, text_col))
 
 
 def score_all(df: DataFrame, models: dict[str, PipelineModel],
@@ -116,7 +119,7 @@ def score_all(df: DataFrame, models: dict[str, PipelineModel],
     per-model scan, no join of the results).  Models that do not share feature
     stages are rejected; score them with ``score_texts``.
     """
-    out = _profile_of(next(iter(models.values())), profile).prepare(df, text_col)
+    out = _raw(df, next(iter(models.values())), profile, text_col)
     done: list = []
     for name, model in models.items():
         *feats, clf = model.stages
@@ -153,10 +156,40 @@ def accuracy(pred: DataFrame, model_name: str | None = None, label_col: str = "l
     return out.select(F.lit(model_name).alias("model"), F.lit("accuracy").alias("metric"), "value")
 
 
+def area_under_roc(scored: DataFrame, score: str | Column = "rawPrediction", label_col: str = "label") -> DataFrame:
+    """X4, exact: ``(metric, value)`` from the ranks of the positive rows, without bins.
+
+    Every row gets its place in the order of scores (``with_position``: a
+    range-partitioned sort and a prefix sum over partition counts).  Rows of equal
+    score share the mean of their places, so first, last and the number of
+    positives per score are enough; they are summed exactly as decimals.  A vector
+    of raw predictions counts by its second entry.  Rows without a score or a
+    label 0 or 1 are left out; the value is NULL unless both labels occur."""
+    column = F.col(score) if isinstance(score, str) else score
+    if scored.select(column).schema[0].dataType.typeName() == "vectorudt":
+        column = vector_to_array(column)[1]
+    rows = known_labels(scored, label_col).select(column.cast("double").alias("_score"),
+                                                  F.col(label_col).cast("int").alias("_label")).filter("_score IS NOT NULL")
+    tied = (with_position(rows, "_score", name="_place").groupBy("_score")
+            .agg(F.min("_place").alias("first"), F.max("_place").alias("last"), F.sum("_label").alias("positives"),
+                 F.count(F.lit(1)).alias("n")))
+    whole = "decimal(38,0)"
+    twice = F.sum(F.col("positives").cast("decimal(18,0)") * (F.col("first") + F.col("last")).cast("decimal(19,0)"))
+    sums = tied.agg(twice.cast(whole).alias("twice"), F.sum("positives").alias("p"),
+                    (F.sum("n") - F.sum("positives")).alias("q"))
+    above = F.col("twice") - (F.col("p").cast("decimal(18,0)") * (F.col("p") + 1).cast("decimal(19,0)"))
+    pairs = F.col("p").cast("double") * F.col("q").cast("double") * 2
+    return sums.select(F.lit("areaUnderROC").alias("metric"),
+                       F.when(pairs > 0, above.cast("double") / pairs).alias("value"))
+
+
 def evaluate(pred: DataFrame, metric: str = "accuracy", label_col: str = "label") -> float:
-    """A3 through MLlib's evaluators (accuracy, f1, ... or areaUnderROC, X4)."""
-    if metric in ("areaUnderROC", "areaUnderPR"):
-        ev = BinaryClassificationEvaluator(labelCol=label_col, metricName=metric)
+    """A3 (accuracy, f1, ...) through MLlib's evaluator; areaUnderROC (X4) exactly,
+    areaUnderPR from MLlib's curve over all distinct scores."""
+    if metric == "areaUnderROC":
+        return area_under_roc(pred, label_col=label_col).first()["value"]
+    if metric == "areaUnderPR":
+        ev = BinaryClassificationEvaluator(labelCol=label_col, metricName=metric, numBins=0)
     else:
         ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="prediction",
                                                metricName=metric)

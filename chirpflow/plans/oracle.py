@@ -8,7 +8,7 @@ them alike.  RE2's ``.`` already stops only at ``\\n``, like Python's.
 from __future__ import annotations
 
 from .. import constants as C
-from .queries import DEMO_KEYWORDS, DEMO_ROUTES
+from .queries import DEMO_KEYWORDS, DEMO_ROUTES, PHRASE_ROUTES
 
 # The retweet pattern is written in the common subset of Java and RE2 syntax.
 RT_RE2 = C.RETWEET_MARKER
@@ -182,6 +182,15 @@ routed AS (
   SELECT DISTINCT tok.doc_id, routes.topic FROM tok JOIN routes ON tok.token = lower(routes.keyword)
 )"""
 
+def _phrase_hits(routes) -> str:
+    """``hits(doc_id, topic)``: a keyword's words are all among the text's."""
+    rows = ", ".join(f"({_q(t)}, {_q(k)})" for t, kws in routes for k in kws)
+    return f"""
+words AS (SELECT doc_id, {_word_tokens("text")} AS tokens FROM documents),
+wanted AS (SELECT topic, {_word_tokens("keyword")} AS phrase FROM (VALUES {rows}) AS r(topic, keyword)),
+hits AS (SELECT DISTINCT doc_id, topic FROM words JOIN wanted ON len(phrase) > 0 AND list_has_all(tokens, phrase))"""
+
+
 ENVELOPE = f"""WITH {ROUTED}
 SELECT hex(encode({_clean("d.text")})) AS value_hex, routed.topic, true AS null_key
 FROM routed JOIN documents d ON routed.doc_id = d.doc_id"""
@@ -194,6 +203,31 @@ def _tokens_sql(split: str) -> str:
             f"array_to_string({split}, '|') AS tokens FROM documents")
 
 
+_PART_TEXT = _clean("text")
+
+BEST_SPLIT = TOKENS + """,
+rows AS (SELECT doc_id, label FROM prepared WHERE bucket < 80 AND label IN (0, 1)),
+total AS (SELECT count(*)::DOUBLE AS n, sum(label)::DOUBLE AS pos FROM rows),
+bins AS (
+  SELECT tf.term, tf.tf, max(tf.tf * idf.idf) AS weight, count(*)::DOUBLE AS n, sum(tf.label)::DOUBLE AS pos
+  FROM tf JOIN idf USING (term) WHERE tf.bucket < 80 AND tf.label IN (0, 1) GROUP BY tf.term, tf.tf
+),
+cuts AS (
+  SELECT term, sum(tf * n) OVER (PARTITION BY term) AS uses, (coalesce(lag(weight) OVER s, 0) + weight) / 2 AS threshold,
+         sum(n) OVER (PARTITION BY term ORDER BY tf DESC) AS rn, sum(pos) OVER (PARTITION BY term ORDER BY tf DESC) AS rp
+  FROM bins WINDOW s AS (PARTITION BY term ORDER BY tf)
+),
+sides AS (
+  SELECT cuts.*, n, pos, n - rn AS ln, pos - rp AS lp FROM cuts, total WHERE rn < n
+),
+gains AS (
+  SELECT term, uses, threshold,
+         1 - pow(pos / n, 2) - pow(1 - pos / n, 2)
+         - ln / n * (1 - pow(lp / ln, 2) - pow(1 - lp / ln, 2))
+         - rn / n * (1 - pow(rp / rn, 2) - pow(1 - rp / rn, 2)) AS gain
+  FROM sides
+)"""
+
 ORACLE: dict[str, str] = {
     "tweet_shape": TWEET_SHAPE,
     "conversation_shape": f"SELECT conv_id, turn, role, {_shape(_clean('text'))} FROM conversations",
@@ -219,6 +253,8 @@ ORACLE: dict[str, str] = {
         ), tok AS (SELECT DISTINCT r, doc_id, lang, unnest({_word_tokens("text")}) AS token FROM rows),
         kw AS (SELECT DISTINCT token, 'topic_' || substr(token, 1, 1) AS topic FROM tok WHERE lang = 'de')
         SELECT doc_id, topic FROM (SELECT DISTINCT r, doc_id, topic FROM tok JOIN kw USING (token))""",
+    "keyword_phrases": f"WITH {_phrase_hits(PHRASE_ROUTES)} SELECT doc_id, topic FROM hits",
+    "keyword_phrase_filter": f"WITH {_phrase_hits(PHRASE_ROUTES[:2])} SELECT DISTINCT doc_id FROM hits",
     "kafka_envelope": ENVELOPE,
     "kafka_payload": "SELECT text, lang AS topic FROM documents",
     "rename_project": "SELECT doc_id, text FROM documents",
@@ -256,6 +292,12 @@ ORACLE: dict[str, str] = {
         r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM x),
         t AS (SELECT sum(label) AS p, count(*) - sum(label) AS q, sum(CASE WHEN label = 1 THEN r END) AS s FROM r)
         SELECT 'areaUnderROC' AS metric, round(CAST((s - p * (p + 1) / 2.0) / (p * q) AS DOUBLE), 6) AS value FROM t""",
+    "nb_area_under_roc": NB_TEST_PRED + """, x AS (
+            SELECT p.label, round(max(CASE WHEN s.label = 1 THEN s.s END) - max(CASE WHEN s.label = 0 THEN s.s END), 6) AS s
+            FROM score s JOIN prepared p USING (doc_id) WHERE p.label IN (0, 1) GROUP BY p.doc_id, p.label),
+        r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM x),
+        t AS (SELECT sum(label) AS p, count(*) - sum(label) AS q, sum(CASE WHEN label = 1 THEN r END) AS s FROM r)
+        SELECT 'areaUnderROC' AS metric, round(CAST((s - p * (p + 1) / 2.0) / (p * q) AS DOUBLE), 6) AS value FROM t""",
     "labelled_union": "SELECT d.doc_id, d.text, 'Positive' AS sentiment, 1 AS label "
                       "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1 "
                       "UNION ALL "
@@ -296,11 +338,41 @@ ORACLE: dict[str, str] = {
                            "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
     "model_roundtrip": NB_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
                        "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
+    "shared_fit": NB_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
+                  "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
+    "nb_score_texts": "WITH " + _nb_scores(
+        "SELECT item_id AS doc_id FROM benchmark WHERE text IS NOT NULL",
+        _ALL_DOC_TERMS.replace("SELECT doc_id, unnest", "SELECT item_id AS doc_id, unnest").replace("FROM documents", "FROM benchmark"))
+        + " SELECT doc_id AS item_id, prediction FROM pred",
+    "lr_stationarity": f"WITH {TOKENS} SELECT term, true AS stationary FROM idf UNION ALL SELECT '(intercept)', true",
+    "tree_root_split": f"WITH {BEST_SPLIT}, best AS (SELECT term, threshold FROM gains "
+                       "ORDER BY round(gain, 10) DESC, uses DESC, term, threshold LIMIT 1) "
+                       "SELECT source, term, round(threshold, 6) AS threshold "
+                       "FROM best, (VALUES ('fitted'), ('searched')) AS s(source)",
+    "self_contained_model": NB_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
+                            "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
+    "self_contained_whitespace": WHITESPACE_TEST_PRED + " SELECT p.doc_id, p.label, pred.prediction "
+                                 "FROM prepared p JOIN pred ON p.doc_id = pred.doc_id",
     "json_source": "SELECT doc_id, text FROM documents",
     "csv_source": "SELECT doc_id, text FROM documents",
+    "json_corrupt": """
+        SELECT CASE WHEN good THEN doc_id END AS doc_id, CASE WHEN good THEN text END AS text, line FROM (
+          SELECT *, line IS NULL AS good FROM (SELECT *, CASE
+            WHEN doc_id % 7 = 0 THEN '{"doc_id": ' || doc_id || ', "text": "cut'
+            WHEN doc_id % 11 = 0 THEN '{"doc_id": "x' || doc_id || '", "text": "typed"}'
+            WHEN doc_id % 13 = 0 THEN 'no json ' || doc_id END AS line FROM documents))""",
+    "csv_corrupt": """
+        SELECT CASE WHEN line IS NULL THEN doc_id END AS doc_id, CASE WHEN line IS NULL THEN lang END AS text, line FROM (
+          SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'x' || doc_id || ',' || lang
+                         WHEN doc_id % 11 = 0 THEN doc_id || ',' || lang || ',more' END AS line FROM documents)""",
     "table_append": TWEET_SHAPE,
     "stream_tweet_shape": TWEET_SHAPE,
     "stream_batch_counts": "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n FROM documents",
+    "stream_rows_read": f"""
+        SELECT CAST({_BUCKET} % 3 AS BIGINT) AS batch_id, count(*) AS rows_read,
+               count(*) FILTER (lang = 'de' AND {_BUCKET} % 3 < 2) AS rows_written FROM documents GROUP BY 1""",
+    "stream_compaction": f"SELECT CAST({_BUCKET} % 6 AS BIGINT) AS batch_id, doc_id, {_shape(_PART_TEXT)} FROM documents",
+    "stream_trigger": TWEET_SHAPE,
     "stream_two_runs": f"SELECT {_shape(_clean('text'))} FROM documents "
                        f"UNION ALL SELECT {_shape(_clean('text'))} FROM conversations",
     "stream_replay": TWEET_SHAPE,

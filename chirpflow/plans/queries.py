@@ -10,19 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as T
+from ..operators import certificates as CT
 from ..operators import features as FT
 from ..operators import filters as FL
 from ..operators import models as M
 from ..operators import prepare as P
 from ..session import scratch_path
+from ..sinks.compaction import read_batches
 from ..sinks.kafka import kafka_frame
 from ..sinks.tables import append_batch, append_to_table, save_model
-from ..sources.files import read_csv_texts, read_json_texts, read_table, texts_frame
+from ..sources.files import read_csv_texts, read_json_texts, read_records, read_table, texts_frame
 from ..sources.kafka import payload_text
 from ..sources.models import load_model
 from ..streaming import jobs as S
@@ -157,6 +161,24 @@ def keyword_route_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FL.keyword_route(docs.unionAll(docs), words)
 
 
+# Keywords of several words, as a track list allows them: one more topic per pair.
+PHRASE_ROUTES = [
+    ("english_pair", ["the and", "of in, is", "THIS"]), ("french_pair", ["le la", "dans avec"]),
+    ("german_pair", ["der und", "nicht", "!!!"]), ("both", ["the le", "un,una", "on On"]),
+]
+
+
+def keyword_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 with keywords of several words: all of them in the text, in any order."""
+    return FL.keyword_route(_docs(spark, sf_dir), FL.routes_frame(spark, PHRASE_ROUTES))
+
+
+def keyword_phrase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 with the same keywords."""
+    keywords = [k for _, kws in PHRASE_ROUTES[:2] for k in kws]
+    return FL.keyword_filter(_docs(spark, sf_dir), keywords).select("doc_id")
+
+
 def kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Kafka rows, and their payload as text again."""
     frame = kafka_frame(_docs(spark, sf_dir), topic="lang")
@@ -239,11 +261,17 @@ def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def area_under_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How well the text's length alone ranks the labels."""
-    scored = P.known_labels(_labelled(spark, sf_dir)).select(
-        F.col("label").cast("double").alias("label"), T.char_length("text").cast("double").alias("rawPrediction"))
-    value = M.evaluate(scored, "areaUnderROC")
-    return spark.range(1).select(F.lit("areaUnderROC").alias("metric"), F.round(F.lit(value), 6).alias("value"))
+    """How well the text's length alone ranks the labels, over all labelled rows."""
+    scored = _labelled(spark, sf_dir).select("label", T.char_length("text").alias("score"))
+    return M.area_under_roc(scored, "score").select("metric", _r6("value").alias("value"))
+
+
+def nb_area_under_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 on classifier scores: the NB model's log odds of the held-out rows."""
+    models, test = _fitted(spark, sf_dir, ("nb",))
+    raw = vector_to_array("rawPrediction")
+    scored = M.score_texts(test, models["nb"]).select("label", F.round(raw[1] - raw[0], 6).alias("score"))
+    return M.area_under_roc(scored, "score").select("metric", _r6("value").alias("value"))
 
 
 def labelled_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,6 +451,47 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.score_texts(test, load_model(path)).select("doc_id", "label", "prediction")
 
 
+def shared_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M12: NB from a fit it shares with LR, both applied in one pass."""
+    models, test = _fitted(spark, sf_dir, ("lr", "nb"))
+    return M.score_all(test, models).select("doc_id", "label", F.col("prediction_nb").alias("prediction"))
+
+
+def nb_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NB on the ``benchmark`` texts, which are in no training row."""
+    models, _ = _fitted(spark, sf_dir, ("nb",))
+    return M.score_texts(read_table(spark, sf_dir, "benchmark"), models["nb"]).select("item_id", "prediction")
+
+
+def lr_stationarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: the gradient of the log loss vanishes at every fitted coefficient."""
+    train, _ = _train_test(spark, sf_dir)
+    return CT.lr_stationarity(train, M.fit_models(train, names=("lr",))["lr"])
+
+
+def tree_root_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted decision tree's root, and the best split over all terms' histograms."""
+    train, _ = _train_test(spark, sf_dir)
+    root = CT.tree_root(M.fit_models(train, names=("dt",))["dt"])
+    fitted = spark.createDataFrame([("fitted", *root)] if root else [], "source string, term string, threshold double")
+    searched = CT.best_split(train).select(F.lit("searched").alias("source"), "term", "threshold")
+    return fitted.unionByName(searched).select("source", "term", _r6("threshold").alias("threshold"))
+
+
+def self_contained_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + S7: the saved NB pipeline loaded by MLlib alone takes raw texts."""
+    models, test = _fitted(spark, sf_dir, ("nb",))
+    path = save_model(models["nb"], scratch_path(spark, "models", "naive-bayes"))
+    return PipelineModel.load(path).transform(test).select("doc_id", "label", "prediction")
+
+
+def self_contained_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the pipeline of the whitespace job (M8)."""
+    models, test = _fitted(spark, sf_dir, ("nb",), FT.WHITESPACE)
+    path = save_model(models["nb"], scratch_path(spark, "models", "whitespace"))
+    return PipelineModel.load(path).transform(test).select("doc_id", "label", "prediction")
+
+
 # ------------------------------------------------------------ sources, sinks
 
 def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +512,34 @@ def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumnRenamed("col0", "doc_id")
 
 
+def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with malformed lines: cut off, of another type, and no JSON at all."""
+    path = scratch_path(spark, "json", "corrupt")
+    doc = F.col("doc_id").cast("string")
+    line = (F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"doc_id": '), doc, F.lit(', "text": "cut')))
+            .when(F.col("doc_id") % 11 == 0, F.concat(F.lit('{"doc_id": "x'), doc, F.lit('", "text": "typed"}')))
+            .when(F.col("doc_id") % 13 == 0, F.concat(F.lit("no json "), doc))
+            .otherwise(F.to_json(F.struct("doc_id", "text"))))
+    _docs(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return _good_and_rejected(*read_records(spark, path, "doc_id BIGINT, text STRING"))
+
+
+def csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 with malformed lines: a word for a number, a field too many."""
+    path = scratch_path(spark, "csv", "corrupt")
+    doc = F.col("doc_id").cast("string")
+    line = (F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("x"), doc, F.lit(","), F.col("lang")))
+            .when(F.col("doc_id") % 11 == 0, F.concat(doc, F.lit(","), F.col("lang"), F.lit(",more")))
+            .otherwise(F.concat(doc, F.lit(","), F.col("lang"))))
+    _docs(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return _good_and_rejected(*read_records(spark, path, "doc_id BIGINT, text STRING", "csv"))
+
+
+def _good_and_rejected(good: DataFrame, rejected: DataFrame) -> DataFrame:
+    return good.select("doc_id", "text", F.lit(None).cast("string").alias("line")).unionByName(
+        rejected.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"), "line"))
+
+
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 in batch: two appends into one catalog table, read back whole."""
     path = scratch_path(spark, "tables", "tweets")
@@ -489,6 +586,51 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.batch_counts(spark, path).select("batch_id", "n")
 
 
+def _growing_source(spark: SparkSession, sf_dir: str, path: str, parts: int):
+    """Yields after each of ``parts`` parts of the documents has arrived in ``path``."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang")
+    for part in range(parts):
+        docs.filter(P.split_bucket("doc_id") % parts == part).write.mode("append").parquet(path)
+        yield docs.schema
+
+
+def stream_rows_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/T5: rows read and written per micro-batch where the batch step keeps one
+    language only; the last batch has none of it and still counts."""
+    path = scratch_path(spark, "streams", "rows-read")
+    for part, schema in enumerate(_growing_source(spark, sf_dir, path + "/in", 3)):
+        S.run_to_table(S.read_text_stream(spark, path + "/in", schema), path + "/table", path + "/checkpoint",
+                       transform=lambda b, wanted="de" if part < 2 else "none": _shape_batch(b.filter(F.col("lang") == wanted)),
+                       counts=path + "/counts")
+    return S.rows_per_batch(spark, path + "/counts").select("batch_id", "rows_read", "rows_written")
+
+
+def stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six micro-batches compacted every second batch, two of them replayed
+    after their compaction; every row is there once, with its batch."""
+    path = scratch_path(spark, "streams", "compaction")
+    for schema in _growing_source(spark, sf_dir, path + "/in", 6):
+        query = S.run_to_table(S.read_text_stream(spark, path + "/in", schema), path + "/table", path + "/checkpoint",
+                               transform=_shape_batch, compact_every=2)
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    for batch_id in (1, 3):
+        append_batch(docs.filter(P.split_bucket("doc_id") % 6 == batch_id), batch_id, path + "/table",
+                     query_id=str(query.id), transform=_shape_batch)
+    return read_batches(spark, path + "/table").select("batch_id", "doc_id", "text", "words", "length")
+
+
+def stream_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5-second trigger, stopped when it has taken what there is."""
+    path = scratch_path(spark, "streams", "trigger")
+    query = S.run_to_table(_doc_stream(spark, sf_dir).select("doc_id", "text"), path + "/table", path + "/checkpoint",
+                           trigger=S.PRODUCTION_TRIGGER, transform=_shape_batch)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(path + "/table").select("doc_id", "text", "words", "length")
+
+
 def stream_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6 + K2: two inputs through two checkpoints into one table; both stay."""
     path = scratch_path(spark, "streams", "two")
@@ -553,16 +695,18 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         tweet_shape, conversation_shape, strip_retweet, strip_urls, clean_tweet, remove_digits, reverse_text,
         space_tokens, whitespace_tokens, ingest_clock,
-        keyword_filter, keyword_route, keyword_route_wide, kafka_envelope, kafka_payload,
+        keyword_filter, keyword_route, keyword_route_wide, keyword_phrases, keyword_phrase_filter,
+        kafka_envelope, kafka_payload,
         rename_project, null_policy, literal_labels, literal_rows, schema_columns, labelled_union,
         class_counts, class_counts_nulls, label_sort, hash_split, hash_split_nulls, preview, random_split,
-        index_labels, shuffle_rows, area_under_roc,
+        index_labels, shuffle_rows, area_under_roc, nb_area_under_roc,
         regex_tokens, stopword_filtered, term_frequency, vocabulary_topk, vocabulary_top_1000, idf_weights,
         tfidf_terms,
         nb_priors, nb_parameters, nb_predictions, nb_accuracy, lr_predictions, lr_accuracy,
         model_comparison, whitespace_nb, whitespace_lr, tree_accuracy, score_texts, model_roundtrip,
-        json_source, csv_source, table_append,
-        stream_tweet_shape, stream_batch_counts, stream_two_runs, stream_replay, empty_batch, stream_route,
+        shared_fit, nb_score_texts, lr_stationarity, tree_root_split, self_contained_model, self_contained_whitespace,
+        json_source, csv_source, json_corrupt, csv_corrupt, table_append,
+        stream_tweet_shape, stream_batch_counts, stream_rows_read, stream_compaction, stream_trigger, stream_two_runs, stream_replay, empty_batch, stream_route,
         stream_score, stream_kafka_score,
     ]
 }

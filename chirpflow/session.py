@@ -100,10 +100,16 @@ def _scratch_root(spark: SparkSession) -> str:
     return "/".join([ensure_checkpoint_dir(spark), "chirpflow", spark.sparkContext.applicationId])
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path on it, for any store that Spark writes to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's scratch folder, on any file system Spark writes to."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete this application's scratch folder."""
+    fs, path = hadoop_fs(spark, _scratch_root(spark))
+    fs.delete(path, True)
 
 
 def input_bytes(df: DataFrame) -> int:

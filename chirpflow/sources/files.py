@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 TEXT_SCHEMA = StructType([StructField("text", StringType(), True)])
@@ -48,6 +49,31 @@ def read_csv_texts(spark: SparkSession, path: str, schema: str = CSV_SCHEMA,
     return df.selectExpr(*keep, f"`{text_col}` AS text")
 
 
+#: Where a record that does not fit the declared schema is kept.
+CORRUPT = "_corrupt_record"
+
+
+def read_records(spark: SparkSession, path: str, schema: str, fmt: str = "json",
+                 options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """S1/S2 with malformed records: JSON lines or header-less CSV lines split into
+    ``(good, rejected)``.
+
+    ``good`` has the columns of ``schema``, all of whose values could be read;
+    ``rejected`` the file and the line as it came, so nothing is lost and a repaired
+    file can be read again.  A record is malformed if it is cut off, is no record at
+    all, or has a value of another type or (CSV) another number of fields.  Lines are
+    split before they are parsed, so any number of tasks reads one file; a record
+    must not span lines.  Empty lines are no records."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+             .filter(F.trim("value") != ""))
+    parse = {"json": F.from_json, "csv": F.from_csv}[fmt]
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    parsed = lines.withColumn("record", parse("value", f"{schema}, {CORRUPT} STRING", how))
+    bad = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
+    return (parsed.filter(~bad).select("record.*").drop(CORRUPT),
+            parsed.filter(bad).select("file", F.col("value").alias("line")))
+
+
 def texts_frame(spark: SparkSession, texts: Sequence[str | None]) -> DataFrame:
     """Literal texts to a one-column frame with an explicit schema."""
     return spark.createDataFrame([(t,) for t in texts], TEXT_SCHEMA)

@@ -10,7 +10,8 @@ from ..operators.features import with_profile
 
 
 def load_model(path: str) -> PipelineModel:
-    """A saved pipeline, with the preparation saved beside it if there is one."""
+    """A saved pipeline, with the name of its preparation if that is beside it.
+    ``PipelineModel.load`` alone gives a model that scores the same."""
     model = PipelineModel.load(path)
     try:
         saved = SparkSession.getActiveSession().read.text(f"{path}/profile").first()

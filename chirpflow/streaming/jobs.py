@@ -8,7 +8,7 @@ partition.  Transformations are stateless: the same functions serve batch frames
 
 from __future__ import annotations
 
-import json
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -23,7 +23,9 @@ from ..operators.features import Profile
 from ..operators.filters import keyword_route
 from ..operators.models import score_texts
 from ..sinks.kafka import kafka_frame, require_kafka, write_kafka
+from ..sinks.compaction import compact, read_batches, vacuum
 from ..sinks.tables import append_batch
+from ..sources.files import SPREAD_SETTING
 from ..sources.kafka import read_kafka_stream
 from ..sources.models import load_model
 
@@ -33,11 +35,17 @@ DRAIN_TRIGGER = {"availableNow": True}
 
 
 def read_text_stream(spark: SparkSession, path: str, schema: StructType | str,
-                     fmt: str = "parquet", max_files_per_trigger: int = 1000) -> DataFrame:
+                     fmt: str = "parquet", max_files_per_trigger: int = 1000,
+                     min_partitions: int | None = None) -> DataFrame:
     """A file stream with a declared schema (a stand-in for the Kafka source:
-    the payload is already a ``text`` column), in micro-batches of bounded size."""
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+    the payload is already a ``text`` column), in micro-batches of bounded size.
+    ``min_partitions`` (or the session's ``SPREAD_SETTING``) spreads the rows of
+    files that Spark cannot split over that many tasks, as Kafka's ``minPartitions``
+    does; it costs a shuffle of the columns read."""
+    stream = (spark.readStream.schema(schema).format(fmt)
+              .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+    parts = min_partitions or spark.conf.get(SPREAD_SETTING, None)
+    return stream.repartition(int(parts)) if parts else stream
 
 
 def shape_stream(df: DataFrame, keep: Sequence[str] = (), clean: bool = True,
@@ -47,41 +55,46 @@ def shape_stream(df: DataFrame, keep: Sequence[str] = (), clean: bool = True,
     return df.select(*keep, *shape(text))
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark keeps in a checkpoint from its first start on."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
-
-
 def run_to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                  table: str | None = None, wait: bool | None = None,
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                 transform: Callable[[DataFrame], DataFrame] | None = None, counts: str | None = None,
+                 compact_every: int | None = None) -> StreamingQuery:
     """T3 + T4 + T6 + K2: append every micro-batch to the table at ``path``.
-    ``transform`` is an optional stateless per-batch step (see ``append_batch``).
+    ``transform`` is an optional stateless per-batch step and ``counts`` a folder
+    for the rows read and written per batch (see ``append_batch``).  After every
+    ``compact_every`` batches the closed ones are compacted, and the folders of
+    the compaction before are deleted: readers have that long to finish.
     With the default drain trigger the call blocks until the input is consumed."""
     trig = trigger or DRAIN_TRIGGER
-    known: list[str] = []
+    started, query = threading.Event(), []
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        if not known:
-            known.append(_query_id(batch.sparkSession, checkpoint))
-        append_batch(batch, batch_id, path, table, query_id=known[0], transform=transform)
-    q = (df.writeStream.foreachBatch(append)
-         .option("checkpointLocation", checkpoint)
-         .trigger(**trig)
-         .start())
+        started.wait()  # the first batch may come before start() has returned
+        append_batch(batch, batch_id, path, table, query_id=query[0].id, transform=transform, counts=counts)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            vacuum(batch.sparkSession, path)
+            compact(batch.sparkSession, path)
+    query.append(df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**trig).start())
+    started.set()
     if wait is None:
         wait = bool(trig.get("availableNow") or trig.get("once"))
     if wait:
-        q.awaitTermination()
-    return q
+        query[0].awaitTermination()
+    return query[0]
 
 
 def batch_counts(spark: SparkSession, path: str) -> DataFrame:
-    """A2/T5: rows per micro-batch of a table written by ``run_to_table``."""
-    return (spark.read.parquet(path).groupBy("query_id", "batch_id")
+    """Rows per micro-batch in a table written by ``run_to_table``."""
+    return (read_batches(spark, path).groupBy("query_id", "batch_id")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def rows_per_batch(spark: SparkSession, counts: str) -> DataFrame:
+    """A2/T5: ``(query_id, batch_id, rows_read, rows_written)``, a row per
+    micro-batch that ``run_to_table(counts=...)`` was given, empty ones too."""
+    return read_batches(spark, counts).select("query_id", "batch_id", "rows_read", "rows_written")
+
+
 def score_stream(df: DataFrame, model: PipelineModel | str, profile: str | Profile | None = None,
                  keep: Sequence[str] = (), text_col: str = "text") -> DataFrame:
     """Apply a (saved) sentiment pipeline to a stream of texts."""

@@ -53,6 +53,40 @@ def test_route_with_more_keywords_than_fit_a_plan(spark):
     assert got == {(1, "t3"), (1, f"t{19999 % 7}")}
 
 
+def test_keywords_of_several_words(spark):
+    docs = spark.createDataFrame([(1, "from New York to York"), (2, "York, a new one"), (3, "New Jersey"), (4, None),
+                                  (5, "york york york")], "doc_id long, text string")
+    routes = FL.routes_frame(spark, [("city", ["New York"]), ("york", ["York York", "!!!", ""]), ("both", ["jersey NEW", "one"])])
+    want = {(1, "city"), (2, "city"), (1, "york"), (2, "york"), (5, "york"), (2, "both"), (3, "both")}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for setting in (old, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+        try:
+            got = [tuple(r) for r in FL.keyword_route(docs, routes).collect()]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert set(got) == want and len(got) == len(want)
+    for keywords, ids in ((["New York"], {1, 2}), (["york jersey", "jersey"], {3}), (["!!!", ""], set()), (["new-one", "x"], {2})):
+        assert {r.doc_id for r in FL.keyword_filter(docs, keywords).collect()} == ids, keywords
+
+
+def test_one_word_of_each_phrase_is_no_match(spark):
+    """Words of different phrases, or of copies of a row, must not add up."""
+    docs = spark.createDataFrame([(i, "red green") for i in range(6)] + [(9, "red blue")], "doc_id long, text string")
+    routes = FL.routes_frame(spark, [("t", ["red yellow", "green black"]), ("u", ["blue red", "red green white"])])
+    assert {tuple(r) for r in FL.keyword_route(docs.repartition(3), routes).collect()} == {(9, "u")}
+
+
+def test_many_keywords_are_planned_fast(spark):
+    import time
+    start = time.perf_counter()
+    routes = FL.routes_frame(spark, [("t", [f"word{i}" for i in range(100_000)])])
+    plan = routes._jdf.queryExecution().optimizedPlan().toString()
+    assert time.perf_counter() - start < 10 and len(plan) < 10_000
+    docs = spark.createDataFrame([(1, "word99999"), (2, "word100000")], "doc_id long, text string")
+    assert [r.doc_id for r in FL.keyword_route(docs, routes).collect()] == [1]
+
+
 def test_route_other_scripts(spark):
     docs = spark.createDataFrame([(1, "زه طالبان نه"), (2, "un été"), (3, "x")], "doc_id long, text string")
     routes = FL.routes_frame(spark, [("a", ["طالبان"]), ("b", ["été"])])

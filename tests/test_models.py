@@ -287,3 +287,109 @@ def test_reloaded_models_keep_preparation_and_share_features(spark, split):
     both = M.score_all(test, loaded).select("doc_id", "prediction_lr", "prediction_nb")
     alone = M.score_texts(test, models["nb"]).select("doc_id", "prediction")
     assert {(r.doc_id, r.prediction_nb) for r in both.collect()} == {tuple(r) for r in alone.collect()}
+
+
+def test_a_saved_model_takes_raw_texts_without_this_library(spark, split):
+    from pyspark.ml import PipelineModel
+    _, train, test = split
+    raw = spark.createDataFrame([(1, "2good and 2nice", "x"), (2, None, "y"), (3, "", "z")], "doc_id long, text string, kept string")
+    for profile in (FT.ENGLISH, FT.WHITESPACE):
+        model = M.fit_models(train, profile, ("nb",))["nb"]
+        path = scratch_path(spark, "test-models", "own")
+        model.write().save(path)  # MLlib's own writer and reader
+        loaded = PipelineModel.load(path)
+        a = {tuple(r) for r in loaded.transform(test).select("doc_id", "prediction").collect()}
+        b = {tuple(r) for r in M.score_texts(test, model).select("doc_id", "prediction").collect()}
+        assert a == b and len(a) == test.count()
+        out = loaded.transform(raw)
+        assert {r.doc_id: r.words for r in out.collect()} == (
+            {1: ["good", "and", "nice"], 3: []} if profile is FT.ENGLISH else {1: ["eciN2".lower(), "dna", "doog2"], 3: []})
+        assert "kept" in out.columns
+
+
+def test_older_models_are_prepared_by_profile(spark, split):
+    from pyspark.ml import PipelineModel
+    _, train, test = split
+    model = M.fit_models(train, FT.ENGLISH, ("nb",))["nb"]
+    older = FT.with_profile(PipelineModel(stages=[model.stages[0].stages[1], *model.stages[1:]]), FT.ENGLISH)
+    assert not FT.prepares(older) and FT.prepares(model)
+    a = {tuple(r) for r in M.score_texts(test, older).select("doc_id", "prediction").collect()}
+    assert a == {tuple(r) for r in M.score_texts(test, model).select("doc_id", "prediction").collect()}
+
+
+def plain_auc(rows):
+    pos, neg = [s for s, y in rows if y == 1], [s for s, y in rows if y == 0]
+    return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+
+def test_area_under_roc_is_exact(spark):
+    import random
+    rng = random.Random(4)
+    for spread in (5, 3000):  # few ties broken, and over 1,000 distinct scores
+        rows = [(float(rng.randint(0, spread)) / 7, int(rng.random() < 0.3)) for _ in range(2500)]
+        df = spark.createDataFrame([*rows, (None, 1), (3.0, None), (2.0, 5)], "score double, label int")
+        want = plain_auc(rows)
+        for layout in (1, 3, 16):
+            got = M.area_under_roc(df.repartition(layout), "score").first()
+            assert got.metric == "areaUnderROC" and math.isclose(got.value, want, rel_tol=1e-12)
+    one = spark.createDataFrame([(1.0, 1), (2.0, 1)], "score double, label int")
+    assert M.area_under_roc(one, "score").first().value is None
+    assert M.area_under_roc(one.limit(0), "score").first().value is None
+    hot = spark.createDataFrame([(1.0, i % 2) for i in range(3000)], "score double, label int").repartition(5)
+    assert M.area_under_roc(hot, "score").first().value == 0.5
+
+
+def test_area_under_roc_of_a_model_agrees_with_mllib_without_bins(split, models):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    _, _, test = split
+    pred = M.score_texts(test, models["lr"]).cache()
+    want = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(pred)
+    assert math.isclose(M.evaluate(pred, "areaUnderROC"), want, rel_tol=1e-9)
+
+
+def test_gradient_vanishes_only_at_the_fit(spark, split, models):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from chirpflow.operators import certificates as CT
+    _, train, _ = split
+    rows = CT.lr_stationarity(train, models["lr"]).collect()
+    assert len(rows) == len(CT.vocabulary_of(models["lr"])) + 1 and all(r.stationary for r in rows)
+    tokens = PipelineModel(stages=models["lr"].stages[:-1]).transform(train)
+    early = LogisticRegression(featuresCol=FT.WEIGHTS, labelCol="label", maxIter=2).fit(tokens)
+    stopped = PipelineModel(stages=[*models["lr"].stages[:-1], early])
+    assert not all(r.stationary for r in CT.lr_stationarity(train, stopped).collect())
+
+
+def test_gradient_equals_finite_differences(spark):
+    from chirpflow.operators import certificates as CT
+    rows = [(i, f"{'good fine' if i % 3 else 'bad'} thing{i % 4} common", int(i % 3 != 0 or i == 6)) for i in range(24)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = M.fit_models(train, names=("lr",))["lr"]
+    g = {r.term: r for r in CT.lr_gradient(train, model).collect()}
+    data = model.transform(train).select(FT.WEIGHTS, "label").collect()
+    lr, vocab = model.stages[-1], CT.vocabulary_of(model)
+
+    def loss(w, b):
+        total = 0.0
+        for r in data:
+            m = sum(float(x) * w[int(i)] for i, x in zip(r[0].indices, r[0].values)) + b
+            total += math.log1p(math.exp(-m if r.label else m))
+        return total / len(data)
+    w, b, step = list(lr.coefficients.toArray()), lr.intercept, 1e-4
+    for i, term in enumerate(vocab):
+        up, down = w.copy(), w.copy()
+        up[i], down[i] = w[i] + step, w[i] - step
+        assert math.isclose(g[term].gradient, (loss(up, b) - loss(down, b)) / (2 * step), abs_tol=1e-6)
+    assert math.isclose(g[CT.INTERCEPT].gradient, (loss(w, b + step) - loss(w, b - step)) / (2 * step), abs_tol=1e-6)
+
+
+def test_root_of_a_tree_is_the_best_split(spark, split):
+    from chirpflow.operators import certificates as CT
+    _, train, _ = split
+    fitted = CT.tree_root(M.fit_models(train, FT.ENGLISH, ("dt",))["dt"])
+    best = CT.best_split(train).first()
+    assert fitted[0] == best.term and math.isclose(fitted[1], best.threshold, rel_tol=1e-9)
+    gains = CT.split_gains(train)
+    assert gains.agg(F.max("gain")).first()[0] == pytest.approx(best.gain, abs=1e-9)
+    pure = spark.createDataFrame([(1, "a b", 1), (2, "a a c", 1)], "doc_id long, text string, label int")
+    assert CT.tree_root(M.fit_models(pure, names=("dt",))["dt"]) is None

@@ -156,3 +156,126 @@ def test_kafka_writer_needs_only_the_connector(spark):
                            "localhost:9092", path)
     assert "kafka" in str(e.value).lower()
     assert [f.name for f in frame.schema.fields] == ["key", "value", "topic"]
+
+
+def test_rows_read_count_what_the_batch_step_drops(spark):
+    base = scratch_path(spark, "test-counts")
+    docs = Q._docs(spark, SF_SMALL).select("doc_id", "text")
+    for i, keep in enumerate((50, 0, 200)):
+        append_batch(docs, i, base + "/t", transform=lambda b, n=keep: b.filter(F.col("doc_id") < n), counts=base + "/c")
+    append_batch(docs.limit(0), 3, base + "/t", counts=base + "/c")
+    append_batch(docs.limit(7), 1, base + "/t", counts=base + "/c")  # replayed with other rows: replaced
+    got = {r.batch_id: (r.rows_read, r.rows_written) for r in S.rows_per_batch(spark, base + "/c").collect()}
+    assert got == {0: (200, 50), 1: (7, 7), 2: (200, 200), 3: (0, 0)}
+
+
+def test_rows_read_where_the_step_reads_the_batch_twice(spark):
+    from chirpflow.operators.filters import routes_frame
+    base = scratch_path(spark, "test-counts-routed")
+    routes = routes_frame(spark, Q.DEMO_ROUTES)
+    docs = Q._docs(spark, SF_SMALL).select("text")
+    append_batch(docs, 0, base + "/t", transform=lambda b: S.routed_frame(b, routes), counts=base + "/c")
+    (row,) = S.rows_per_batch(spark, base + "/c").collect()
+    assert (row.rows_read, row.rows_written) == (200, spark.read.parquet(base + "/t").count())
+
+
+def test_progress_log_hears_every_batch(spark):
+    import time
+
+    from chirpflow.streaming.progress import log_progress, observe_rows
+    base = scratch_path(spark, "test-progress")
+    Q._docs(spark, SF_SMALL).select("doc_id", "text").repartition(3).write.parquet(base + "/in")
+    stream = S.read_text_stream(spark, base + "/in", "doc_id long, text string", max_files_per_trigger=1)
+    log = log_progress(spark)
+    try:
+        q = (observe_rows(stream.filter("doc_id % 2 = 0"), "even").writeStream.format("parquet")
+             .option("path", base + "/t").option("checkpointLocation", base + "/c").trigger(availableNow=True).start())
+        q.awaitTermination()
+        for _ in range(100):
+            rows = log.rows(q.id)
+            if sum(r["rows_read"] for r in rows) == 200:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert sum(r["rows_read"] for r in rows) == 200 and sum(r["even"] for r in rows) == 100
+    assert len({r["batch_id"] for r in rows}) >= 3
+
+
+def _batch(spark, i):
+    return spark.createDataFrame([(i, f"row {j}") for j in range(i + 1)], "n int, text string")
+
+
+def _held(spark, path):
+    from chirpflow.sinks.compaction import read_batches
+    rows = read_batches(spark, path).collect()
+    out = {}
+    for r in rows:
+        out.setdefault((r.query_id, r.batch_id), []).append(r.text)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_compaction_keeps_every_row_once(spark):
+    from chirpflow.sinks import compaction as K
+    path = scratch_path(spark, "test-compact")
+    want = {}
+    for query in ("a", "7"):
+        for i in range(5):
+            append_batch(_batch(spark, i), i, path, query_id=query)
+            want[query, i] = [f"row {j}" for j in range(i + 1)]
+    assert _held(spark, path) == want  # before any compaction
+    assert K.compact(spark, path) == 8  # each query's newest batch stays open
+    assert _held(spark, path) == want   # the folders are still there
+    assert K.vacuum(spark, path) == 8 and K.batches(spark, path) == {"a": [4], "7": [4]}
+    assert _held(spark, path) == want
+    append_batch(_batch(spark, 9), 2, path, query_id="a")   # a replay after compaction
+    assert K.batches(spark, path)["a"] == [4] and _held(spark, path) == want
+    append_batch(_batch(spark, 1), 4, path, query_id="a")   # a replay of an open batch
+    append_batch(_batch(spark, 5), 5, path, query_id="a")
+    want["a", 4], want["a", 5] = ["row 0", "row 1"], [f"row {j}" for j in range(6)]
+    assert _held(spark, path) == want
+    assert K.compact(spark, path) == 1 and K.compact(spark, path) == 0
+    assert K.compact(spark, path, upto=5) == 2 and K.vacuum(spark, path) == 3
+    assert K.batches(spark, path) in ({"a": [], "7": []}, {}) and _held(spark, path) == want
+    assert {r.batch_id: r.n for r in S.batch_counts(spark, path).filter("query_id = 'a'").collect()} == {
+        0: 1, 1: 2, 2: 3, 3: 4, 4: 2, 5: 6}
+
+
+def test_a_compaction_that_dies_changes_nothing(spark, monkeypatch):
+    import pytest
+
+    from chirpflow.sinks import compaction as K
+    path = scratch_path(spark, "test-compact-crash")
+    for i in range(3):
+        append_batch(_batch(spark, i), i, path)
+    before = _held(spark, path)
+    monkeypatch.setattr(K, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        K.compact(spark, path)
+    monkeypatch.undo()
+    assert _held(spark, path) == before and K.table_log(spark, path)["version"] == 0
+    assert K.vacuum(spark, path) == 1  # the segment that no version lists
+    log = K.table_log(spark, path) | {"version": 1}
+    K._commit(spark, path, log)
+    with pytest.raises(RuntimeError):  # a second writer of the same version
+        K._commit(spark, path, log)
+
+
+def test_compacted_files_are_few(spark):
+    from chirpflow.sinks import compaction as K
+    from chirpflow.session import local_fs_path
+    import glob
+    path = scratch_path(spark, "test-compact-files")
+    for i in range(12):
+        append_batch(_batch(spark, i).repartition(2), i, path)
+    K.compact(spark, path)
+    local = local_fs_path(path)
+    assert len(glob.glob(local + "/_segments/*/*.parquet")) * 3 < len(glob.glob(local + "/query_id=*/*/*.parquet"))
+
+
+def test_stream_spread_over_partitions(spark):
+    base = scratch_path(spark, "test-spread")
+    stream = S.read_text_stream(spark, f"{SF_SMALL}/documents.parq[u]et", Q._docs(spark, SF_SMALL).schema, min_partitions=3)
+    S.run_to_table(stream.select("doc_id", F.spark_partition_id().alias("p")), base + "/t", base + "/c")
+    out = spark.read.parquet(base + "/t")
+    assert out.count() == 200 and out.select("p").distinct().count() == 3
