@@ -66,21 +66,29 @@ def keyword_tokens(routes: DataFrame, unicode: bool = False) -> DataFrame:
     return keys.filter(F.col("_token").isNotNull())
 
 
-def _matched(tokens: DataFrame, words: DataFrame) -> DataFrame:
-    """``(_row, _topics)`` from ``(_row, _token)``.  A keyword of several words
-    needs as many different matched tokens as it has words (relational division).
-    Only matches are exchanged, and rows of a text that many rows share are
-    combined before that."""
-    whole = (tokens.join(words, "_token").groupBy("_row", "topic", "phrase", "need")
-             .agg(F.collect_set("_token").alias("_found"))
-             .filter((F.col("need") == 1) | (F.size("_found") == F.col("need"))))
-    return whole.groupBy("_row").agg(F.collect_set("topic").alias("_topics"))
-
-
-def _tokens_of(rows: DataFrame, tokens: Column) -> DataFrame:
+def _matched(tokens: DataFrame, words: DataFrame, *carried: str) -> DataFrame:
+    """``(_row, *carried, _topics)`` from rows with a distinct ``_token`` each.
+
+    Only matches are exchanged, one-word keywords once per topic, and matches of a
+    text that many rows share are combined before.  A keyword of several words
+    needs as many different matched tokens as it has words (relational division):
+    in a row's sorted matches its entries follow each other, so the entry
+    ``need - 1`` places after its first is still its own."""
+    hit = F.struct("topic", "phrase", "need", F.when(F.col("need") > 1, F.col("_token")).alias("token"))
+    by_row = tokens.join(words, "_token").groupBy("_row").agg(
+        *[F.first(c).alias(c) for c in carried], F.array_sort(F.collect_set(hit)).alias("_hits"))
+
+    def whole(x: Column, i: Column) -> Column:
+        last = F.try_element_at("_hits", i + x["need"])
+        return (x["need"] == 1) | ((last["topic"] == x["topic"]) & (last["phrase"] == x["phrase"]))
+    topics = F.array_distinct(F.transform(F.filter("_hits", whole), lambda x: x["topic"]))
+    return by_row.select("_row", *carried, topics.alias("_topics"))
+
+
+def _tokens_of(rows: DataFrame, tokens: Column, *carried: str) -> DataFrame:
     """One row per distinct token.  ``explode_outer`` and a filter, since for
     ``explode`` Catalyst would evaluate the tokenizer a second time."""
-    return (rows.select("_row", F.explode_outer(F.array_distinct(tokens)).alias("_token"))
+    return (rows.select("_row", *carried, F.explode_outer(F.array_distinct(tokens)).alias("_token"))
             .filter(F.col("_token").isNotNull()))
 
 
@@ -95,23 +103,30 @@ def keyword_route(df: DataFrame, routes: DataFrame, id_col: str | None = "doc_id
                   unicode: bool = False) -> DataFrame:
     """One row per input row and matching topic: ``id_col, topic, *keep``.
 
-    What is exploded and exchanged per token is a row key of 16 bytes (the text's
-    digest) and the token, never a text or a kept column.  Matches, one row per
-    text, are then joined with the rows.  Equal or NULL ids stay separate rows,
-    and ``id_col`` may be None.  Spark broadcasts the keywords, or the matches, if
-    their measured size is under the threshold; else they are shuffled, and a hot
-    token or text is split by AQE's skew join.  NULL keywords match nothing and
-    NULL topics route nothing.
+    What is exploded and exchanged per token is a row key, the token and at most
+    ``id_col``, never a text or a kept column.  Where columns are kept, the key is
+    the text's digest, and the matches, one row per text, are joined with the rows;
+    else it is a row number.  Equal or NULL ids stay separate rows, and ``id_col``
+    may be None.  Spark broadcasts the keywords, or the matches, if their measured
+    size is under the threshold; else they are shuffled, and a hot token or text is
+    split by AQE's skew join.  NULL keywords match nothing and NULL topics route
+    nothing.
 
     The grouping needs whole batches: on a stream use it in ``foreachBatch``
     (``run_to_table(transform=...)``, ``collect_to_kafka``).
     """
     if df.isStreaming:
         raise ValueError("route a stream per micro-batch: pass the routing as the batch transform")
-    cols = list(dict.fromkeys([*([id_col] if id_col else []), *keep]))
+    words = keyword_tokens(routes, unicode)
+    others = [c for c in dict.fromkeys(keep) if c != id_col]
+    if not others:
+        own = df.select(F.monotonically_increasing_id().alias("_row"), F.col(text_col).alias("_text"),
+                        *([F.col(id_col).alias("_id")] if id_col else []))
+        carried = ["_id"] if id_col else []
+        found = _matched(_tokens_of(own, regex_tokens("_text", unicode), *carried), words, *carried)
+        return found.select(*([F.col("_id").alias(id_col)] if id_col else []), F.explode("_topics").alias("topic"))
     texts = df.select(text_key(text_col).alias("_row"), F.col(text_col).alias("_text"))
-    found = _matched(_tokens_of(texts, regex_tokens("_text", unicode)), keyword_tokens(routes, unicode))
-    rows = df.select(text_key(text_col).alias("_row"), F.struct(*cols).alias("_kept"))
+    found = _matched(_tokens_of(texts, regex_tokens("_text", unicode)), words)
+    rows = df.select(text_key(text_col).alias("_row"), F.struct(*([id_col] if id_col else []), *others).alias("_kept"))
     routed = rows.join(found, "_row").select("_kept", F.explode("_topics").alias("topic"))
-    return routed.select(*([f"_kept.{id_col}"] if id_col else []), "topic",
-                         *(f"_kept.{c}" for c in keep if c != id_col))
+    return routed.select(*([f"_kept.{id_col}"] if id_col else []), "topic", *(f"_kept.{c}" for c in others))

@@ -30,6 +30,12 @@ from .features import (
 from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, known_labels, union_classes, with_position
 
 
+#: Session setting with the number of partitions that classifiers are fitted on
+#: (unset: as many as the training rows have).  For training sets of a few
+#: partitions' size; on large ones each task has enough to do.
+FIT_SETTING = "spark.chirpflow.fit.partitions"
+
+
 def classifier(name: str, label_col: str = "label"):
     """M5 (lr), M6 (nb) and the imported-but-unused tree models."""
     common = {"featuresCol": WEIGHTS, "labelCol": label_col}
@@ -61,9 +67,10 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
     the many LR iterations costs a re-read of its vectors, not a re-scan and
     re-tokenization of the raw text; without it they are persisted.  An iterative
     classifier caches its own form of them.
-    Rows whose label is not 0 or 1 are left out.  ``fit_partitions`` (off by
-    default) merges the stored vectors into that many partitions: L-BFGS pays
-    for each task in each iteration.
+    Rows whose label is not 0 or 1 are left out.  ``fit_partitions``, or else the
+    session's ``FIT_SETTING`` (unset: off), merges the stored vectors into that
+    many partitions: L-BFGS sends a gradient as wide as the vocabulary for each
+    task in each iteration.
     """
     p = get_profile(profile)
     token_stages = p.token_stages(text_col)
@@ -81,7 +88,8 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
             tokens.unpersist()
         else:
             featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
-        fit_input = featurized.coalesce(fit_partitions) if fit_partitions else featurized
+        parts = fit_partitions or featurized.sparkSession.conf.get(FIT_SETTING, None)
+        fit_input = featurized.coalesce(int(parts)) if parts else featurized
         models = {}
         for name in names:
             clf = classifier(name, label_col).fit(fit_input)
