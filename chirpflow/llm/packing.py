@@ -9,7 +9,8 @@ record per window.  Only the last window needs padding.
 
 Edge cases: a NULL or empty text is the end id alone; documents with equal ids
 or texts are separate; an empty table gives an empty result; a document longer
-than a window covers several; other columns are ignored.
+than a window covers several; bytes that are not UTF-8 count as U+FFFD; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from . import common as C
 WINDOW, END_ID = 2048, 1
 #: Word spellings kept by one worker.  It bounds memory only: others are encoded again.
 CACHED_WORDS = 500_000
+#: Words that are encoded together; a token costs less than a call.
+LINE_WORDS = 64
 
 
 class WordEncoder:
@@ -44,20 +47,31 @@ class WordEncoder:
     def encode(self, data: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split() for t in data]
-        memo, fresh = self.memo, {}
-        missing = list(set().union(*split).difference(memo)) if split else []
-        for a in range(0, len(missing), 4096):
-            part = missing[a:a + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part],
-                                                                   add_special_tokens=False)):
-                fresh[w] = np.asarray(e.ids, "<u4").tobytes()
-        if len(memo) + len(fresh) <= CACHED_WORDS:
-            memo.update(fresh)
-            return [b"".join([memo[w] for w in words]) for words in split]
-        room = max(0, CACHED_WORDS - len(memo))
-        out = [b"".join([memo[w] if w in memo else fresh[w] for w in words]) for words in split]
-        for w in list(fresh)[:room]:
-            memo[w] = fresh[w]
+        known = [list(map(self.memo.get, words)) for words in split]
+        gaps = [i for i, ids in enumerate(known) if None in ids]
+        fresh = self.fresh(list({w for i in gaps for w, ids in zip(split[i], known[i]) if ids is None}))
+        for i in gaps:
+            known[i] = [fresh[w] if ids is None else ids for w, ids in zip(split[i], known[i])]
+        room = max(0, CACHED_WORDS - len(self.memo))
+        self.memo.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
+        return [b"".join(ids) for ids in known]
+
+    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct words, a line of ``LINE_WORDS`` words at a time: a token's
+        offset tells its word.  Words that hold a special token's mark go alone."""
+        out = {}
+        plain = [w for w in words if b"<|" not in w]
+        lines = [plain[a:a + LINE_WORDS] for a in range(0, len(plain), LINE_WORDS)]
+        lines += [[w] for w in words if b"<|" in w]
+        for own in lines:
+            texts = [w.decode(errors="replace") for w in own]
+            line = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.asarray(line.ids, "<u4")
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            at = np.asarray(line.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = np.searchsorted(at, starts)
+            for w, a, b in zip(own, cuts, cuts[1:]):
+                out[w] = ids[a:b].tobytes()
         return out
 
 

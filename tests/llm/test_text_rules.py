@@ -148,6 +148,25 @@ def test_linear_time_on_long_runs():
         pii_crf.tokens(text)
 
 
+def test_words_encoded_in_lines_equal_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.lists(st.text(alphabet="aB'st é\u0301\u0327ﬁ1日🙂\u00a0\u2028\x1c.-<|endoftext|>\u1100\u1161\n", max_size=30), max_size=90))
+    def holds(texts):
+        own = packing.WordEncoder(path)
+        for _ in range(2):  # fresh, then from the memo
+            got = [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts])]
+            assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    holds()
+    own = packing.WordEncoder(path)
+    marked = ["end <|endoftext|> of<|startoftext|>text", "<|endoftext|>", "a <| b |> c"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in marked])] == [
+        plain.encode(t, add_special_tokens=False).ids for t in marked]
+    assert own.encode([b"ab\xff cd"]) == own.encode(["ab\ufffd cd".encode()])
+
+
 def test_packing_covers_every_id_once(edge, empty, edge_rows):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
