@@ -43,6 +43,7 @@ from . import common as C
 
 WORDS, THRESHOLD = 5, 75
 CACHED_WORDS = 150_000     # bounds memory only
+BLOCK_BYTES = 3 << 20      # of text; a block's arrays take several times as much
 HOT_CODE, SALTS = 80, 16   # postings of tokens in about a thousand documents or more are salted
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 ORDERS = (np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
@@ -109,9 +110,10 @@ def shard_keys(tokens: np.ndarray, shards: int) -> np.ndarray:
 
 def asked(texts: list[bytes | None], block: int, shards: int) -> pa.Table:
     """A block's distinct tokens with the number of its distinct sets that hold them."""
-    sets = {s.tobytes(): s for s in map(shingles, texts)}
-    every = np.concatenate([*sets.values(), np.zeros(0, np.uint64)])
-    keys, counts = np.unique(shard_keys(every, shards), return_counts=True)
+    sets = {xxhash.xxh3_128_digest(s.tobytes()): s for s in map(shingles, texts)}
+    keys = shard_keys(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), shards)
+    del sets
+    keys, counts = np.unique(keys, return_counts=True)
     ends = np.searchsorted(keys, np.arange(1, shards + 1, dtype=np.uint64) << np.uint64(32))
     low, counts = keys.astype(np.uint32), np.minimum(counts, 65535).astype(np.uint16)
     starts = np.r_[0, ends[:-1]]
@@ -141,11 +143,11 @@ def block_sets(block: pa.Table, codes: pa.Table, shards: int, threshold: int) ->
     shareable tokens with their codes in the first order."""
     docs = block.to_pylist()[0]
     sets = [shingles(t) for t in C.block_texts(docs)]
-    every = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    keys = shard_keys(every, shards)
+    keys = shard_keys(np.concatenate([*sets, np.zeros(0, np.uint64)]), shards)
     known = C.distinct(keys)
     code = np.concatenate([C.unpacked(x, np.uint8) for x in codes.sort_by("shard").column("codes").to_pylist()])
     code = code[np.searchsorted(known, keys)] if len(keys) else np.zeros(0, np.uint8)
+    del keys, known
     prints, kept, kept_codes, at = [], [], [], 0
     for s in sets:
         own, at = code[at:at + len(s)], at + len(s)
@@ -168,7 +170,7 @@ def document_sets(docs: DataFrame, threshold: int = THRESHOLD, shards: int | Non
     """One row per document (``SETS``), written once."""
     spark = docs.sparkSession
     shards = shards or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    held = C.text_blocks(C.texts(docs), "join_blocks")
+    held = C.text_blocks(C.texts(docs), "join_blocks", block_bytes=BLOCK_BYTES)
 
     def ask(batches):
         for batch in batches:
