@@ -3,19 +3,26 @@
 Rules find e-mail addresses, IP addresses, card and phone numbers.  Then every
 white-space token with a digit or ``@`` is a node of a conditional random field
 with the labels none, email, ip, card and phone.  Neighbouring tokens share a
-chain potential, and equal or similar tokens anywhere in the document share a
-skip potential; each token is linked to the previous one like it, so edges grow
-with the tokens.  Loopy sum-product message passing then carries what the rules
+chain potential, and tokens that are alike anywhere in the document share a skip
+potential.  Alike are tokens that are equal but for case and separators; numbers
+with the same first or last nine digits, in one token or in groups, so a country or
+trunk prefix does not matter; and, in numbers written in groups, groups with the
+same group beside them.  Each token is linked to the previous one for each of
+these, so edges grow with the tokens.  Loopy sum-product message passing then carries what the rules
 know about one mention to the others, and tokens whose label is sure enough
-become further spans.  Rule spans always stay.
+become further spans.  Rule spans always stay.  A token without any edge becomes
+no span, in whatever document: its shape alone is no evidence against the rules.
 
 The potentials are fitted piecewise, on counts over all documents: a
 multinomial logistic regression of the rules' label on the token's shape, and
-smoothed pointwise mutual information for the two edge kinds.
+smoothed pointwise mutual information for the two edge kinds.  Where a rule
+matched one of two alike tokens and not the other, the other's label is unknown,
+not none; such pairs say nothing about the skip potential and are left out of it.
 
 Edge cases: a NULL or empty text has no spans; very long texts are read whole
 and in linear time; equal rows get equal results; an empty table gives an empty
-result (and flat potentials); other columns are ignored.
+result (and flat potentials); bytes that are not UTF-8 count as U+FFFD; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +39,11 @@ from . import common as C
 
 KINDS = ("email", "ip", "card", "phone")
 SURE, LIKELY = 0.8, 0.5  # a span needs one token of the first belief, and all of the second
-EVIDENCE = 8.0           # log potential of a rule's own label
+EVIDENCE = 20.0          # log potential of a rule's own label
+LEAST_DIGITS = (0, 4, 13, 7)  # in a span of each kind
 ROUNDS, DAMPING = 12, 0.3
 SHAPES = 18
+SMOOTH = (0.1, 0.001)    # added to the counts of chain and skip pairs
 
 # The rules.  The possessive forms match what the plain ones do, in linear time.
 LOCAL_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -44,6 +53,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HINT = re.compile(r"[0-9@]\S*+")
 NOT_DIGIT = re.compile(r"[^0-9]+")
+LETTER = re.compile(r"[^\W\d_]")
 TRIM = ".,;:!?()[]{}<>\"'"
 Span = tuple[int, int]
 
@@ -111,20 +121,47 @@ def tokens(text: str) -> list[Span]:
 def shape(token: str) -> int:
     """Bits of a token's shape."""
     digits = sum(map(token.count, "0123456789"))
-    dots, letters = token.count("."), sum(c.isalpha() for c in token[:64])
+    dots, letters = token.count("."), LETTER.search(token) is not None
     flags = ("@" in token, "@" in token and "." in token.rpartition("@")[2], digits == 0, 1 <= digits <= 2,
              3 <= digits <= 4, 5 <= digits <= 6, 7 <= digits <= 9, 10 <= digits <= 12, 13 <= digits <= 19,
-             digits > 19, token[0] == "+", dots == 3, dots in (1, 2), letters > 0, digits == len(token),
+             digits > 19, token[0] == "+", dots == 3, dots in (1, 2), letters, digits == len(token),
              "-" in token, any(c in token for c in "/:=$#%"), "(" in token)
     return sum(1 << i for i, f in enumerate(flags) if f)
 
 
-def likeness(token: str) -> str:
-    """Equal for tokens that are the same but for case and separators; empty
-    for tokens too plain to be told apart."""
-    key = "".join(c for c in token.lower() if c.isalnum() or c == "@")
-    digits = sum(map(key.count, "0123456789"))
-    return key if len(key) >= 5 and (digits >= 4 or "@" in key) else ""
+SAME_ENDS = 9     # digits in which numbers must agree at either end
+
+
+def likenesses(own: list[str], joint: list[bool]) -> list[list[tuple]]:
+    """For each token what makes it alike to others; ``joint`` tells whether it and
+    the next are groups of a number.  Tokens too plain to be told apart have nothing."""
+    digits = [NOT_DIGIT.sub("", t) for t in own]
+    bare = [d.lstrip("0") for d in digits]
+    out = []
+    for i, token in enumerate(own):
+        keys: list[tuple] = []
+        key = "".join(c for c in token.lower() if c.isalnum() or c == "@")
+        if len(key) >= 5 and (len(digits[i]) >= 4 or "@" in key):
+            keys.append(("same", key))
+        if len(digits[i]) == len(key):  # a number or a group of one
+            back = ahead = digits[i]
+            j = i
+            while j and joint[j - 1] and len(back) < SAME_ENDS:
+                j -= 1
+                back = digits[j] + back
+            j = i
+            while j < len(joint) and joint[j] and len(ahead) < SAME_ENDS:
+                j += 1
+                ahead += digits[j]
+            if len(back) >= SAME_ENDS:
+                keys.append(("end", back[-SAME_ENDS:]))
+            if len(ahead) >= SAME_ENDS:
+                keys.append(("start", ahead[:SAME_ENDS]))
+        for kind, j in (("with next", i), ("with last", i - 1)):
+            if 0 <= j < len(joint) and joint[j] and bare[j] and bare[j + 1] and len(bare[j]) + len(bare[j + 1]) >= 5:
+                keys.append((kind, bare[j], bare[j + 1]))
+        out.append(keys)
+    return out
 
 
 def graph(text: str, rules: list[list[Span]]):
@@ -140,18 +177,19 @@ def graph(text: str, rules: list[list[Span]]):
             while k < len(spans) and spans[k][0] < b:
                 labels[k] = kind
                 k += 1
-    shapes, edges, before = [], [], {}
-    for i, (a, b) in enumerate(spans):
-        token = text[a:b]
-        shapes.append(shape(token))
-        if i and a - spans[i - 1][1] <= 3 and "\n" not in text[spans[i - 1][1]:a]:
-            edges.append((i - 1, i, 0))
-        key = likeness(token)
-        if key:
-            if key in before:
-                edges.append((before[key], i, 1))
-            before[key] = i
-    return spans, shapes, labels, edges
+    own = [text[a:b] for a, b in spans]
+    near = [a - z <= 3 and "\n" not in text[z:a] for (_, z), (a, _) in zip(spans, spans[1:])]
+    number = [not LETTER.search(t) and "@" not in t for t in own]
+    joint = [x and number[i] and number[i + 1] for i, x in enumerate(near)]
+    edges, last = [(i, i + 1, 0) for i, x in enumerate(near) if x], {}
+    for i, keys in enumerate(likenesses(own, joint)):
+        linked = set()
+        for key in keys:
+            if key in last and last[key] not in linked:
+                linked.add(last[key])
+                edges.append((last[key], i, 1))
+            last[key] = i
+    return spans, [shape(t) for t in own], labels, edges
 
 
 # ------------------------------------------------------------------ fitting
@@ -161,7 +199,7 @@ def count_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     C.kept_by("pii_crf", dict)  # drops what another operator left in this worker
     counts: dict[tuple[int, int, int], int] = {}
     for data in batch.column("text").to_pylist():
-        text = (data or b"").decode()
+        text = (data or b"").decode(errors="replace")
         _, shapes, labels, edges = graph(text, rule_spans(text))
         for s, y in zip(shapes, labels.tolist()):
             counts[2, s, y] = counts.get((2, s, y), 0) + 1
@@ -177,13 +215,13 @@ def fit_potentials(rows: list[tuple[int, int, int, int]], steps: int = 400) -> d
     k = len(KINDS) + 1
     edges = []
     for kind in (0, 1):
-        n = np.full((k, k), 0.1)
+        n = np.full((k, k), SMOOTH[kind])
         for t, a, b, c in rows:
-            if t == kind:
+            if t == kind and (kind == 0 or (a > 0) == (b > 0)):
                 n[a, b] += c
         p = n / n.sum()
         pmi = np.log(p / (p.sum(1, keepdims=True) * p.sum(0, keepdims=True)))
-        edges.append(np.clip(pmi, -2.0, 2.0) if kind == 0 else np.diag(np.clip(np.diag(pmi), 2.0, 5.0)))
+        edges.append(np.clip(pmi, -2.0, 2.0) if kind == 0 else pmi)
     shapes = sorted({a for t, a, _, c in rows if t == 2 and c})
     if not shapes:
         return {"unary": np.zeros((SHAPES + 1, k)), "edges": edges}
@@ -247,7 +285,7 @@ def find_spans(texts: list[str], model: dict) -> list[tuple[list[list[Span]], li
         rules = rule_spans(text)
         found.append((rules, [[] for _ in KINDS]))
         spans, shapes, labels, edges = graph(text, rules)
-        if edges:  # a token without a neighbour or a twin cannot be sure against its fitted label
+        if edges:  # without an edge no token becomes a span, as below
             graphs.append((len(found) - 1, n, spans, shapes, labels, edges))
             n += len(spans)
     if not graphs:
@@ -260,7 +298,8 @@ def find_spans(texts: list[str], model: dict) -> list[tuple[list[list[Span]], li
     unary[np.arange(n), labels] += EVIDENCE * (labels > 0)
     belief = beliefs(unary, edges, model["edges"])
     best, top = belief.argmax(1), belief.max(1)
-    likely = (labels == 0) & (best > 0) & (top >= LIKELY)
+    degree = np.bincount(edges[:, :2].ravel(), minlength=n)
+    likely = (labels == 0) & (best > 0) & (top >= LIKELY) & (degree > 0)
     for doc, first, spans, _, _, _ in graphs:
         runs: list[list[int]] = []  # a mention of several tokens is one span
         for i in np.flatnonzero(likely[first:first + len(spans)]).tolist():
@@ -271,8 +310,10 @@ def find_spans(texts: list[str], model: dict) -> list[tuple[list[list[Span]], li
             else:
                 runs.append([i])
         for run in runs:
-            if max(top[first + i] for i in run) >= SURE:
-                found[doc][1][best[first + run[0]] - 1].append((spans[run[0]][0], spans[run[-1]][1]))
+            kind, a, b = best[first + run[0]] - 1, spans[run[0]][0], spans[run[-1]][1]
+            long_enough = len(NOT_DIGIT.sub("", texts[doc][a:b])) >= LEAST_DIGITS[kind]
+            if long_enough and max(top[first + i] for i in run) >= SURE:
+                found[doc][1][kind].append((a, b))
     return found
 
 
@@ -288,7 +329,7 @@ def personal_data(docs: DataFrame, model: dict | None = None) -> DataFrame:
     model = model or fit(rows)
 
     def run(batch):
-        found = find_spans([(t or b"").decode() for t in batch.column("text").to_pylist()], model)
+        found = find_spans([(t or b"").decode(errors="replace") for t in batch.column("text").to_pylist()], model)
         counts = [[len(r[k]) for r, _ in found] for k in range(len(KINDS))]
         digests = [hashlib.sha256(joined(r).encode()).hexdigest() for r, _ in found]
         every = [joined([sorted(x + y) for x, y in zip(r, more)]) for r, more in found]

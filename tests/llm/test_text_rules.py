@@ -1,11 +1,13 @@
 """Line rules (10), personal data (5), packing (1), BPE (7): brute force and edge cases."""
 
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,6 +135,81 @@ def test_field_carries_labels_to_twins_and_matches_exact_inference():
     assert [text[a:b] for a, b in more[0]] == ["jo.doe@mail-example-org"] and len(rules[0]) == 2
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    """Potentials of the whole documents table of sf0.1."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return pii_crf.fit(docs.selectExpr("doc_id", "cast(text AS binary) AS text"))
+
+
+def spans_of(text, model):
+    (rules, more), = pii_crf.find_spans([text], model)
+    return [[(k, text[a:b]) for k, own in zip(pii_crf.KINDS, x) for a, b in own] for x in (rules, more)]
+
+
+def test_twins_of_a_rule_span_get_its_kind(field):
+    for text, kind, twin in (
+            ("card 4111 1111 1111 1111 then 4111 1111 1111 1111 55", "card", "4111 1111 1111 1111"),
+            ("ip 10.0.0.25 or 10-0-0-25 there", "ip", "10-0-0-25"),
+            ("ring 0049 171 5550123 or +49 171 5550123 now", "phone", "0049 171 5550123"),
+            ("call +491715550123 or 01715550123", "phone", "01715550123"),
+            ("card 4111-1111-1111-1111 and 4111 1111 1111 1111 9 end", "card", "4111 1111 1111 1111"),
+            ("jo.doe@mail.example.org and JO.DOE@mail-example-org", "email", "JO.DOE@mail-example-org")):
+        rules, more = spans_of(text, field)
+        assert {k for k, _ in rules} == {kind} and more == [(kind, twin)], text
+
+
+def test_planted_mentions_that_rules_miss(field):
+    """Recall and precision of the field on twins that no rule matches."""
+    rng = random.Random(8)
+    words = "the account was moved to another branch and nobody could say why this happened".split()
+    found = planted = wrong = 0
+    for _ in range(200):
+        kind = rng.choice(pii_crf.KINDS)
+        d = [str(rng.randint(0, 9)) for _ in range(12)]
+        if kind == "email":
+            name = "".join(rng.choice("abcdefgh") for _ in range(6))
+            own, twin = f"{name}{d[0]}@mail.example.org", f"{name}{d[0]}@mail-example-org"
+        elif kind == "ip":
+            parts = [str(rng.randint(10, 255)) for _ in range(4)]
+            own, twin = ".".join(parts), "-".join(parts)
+        elif kind == "card":
+            head = "4" + "".join(str(rng.randint(0, 9)) for _ in range(14))
+            own = next(head + c for c in "0123456789" if pii_crf.luhn(head + c))
+            own = " ".join(own[i:i + 4] for i in range(0, 16, 4))
+            twin = own + " 7" if not pii_crf.luhn(own.replace(" ", "") + "7") else own + " 8"
+        else:
+            own = f"+49 17{d[0]} 555{''.join(d[1:5])}"
+            twin = "0049" + own[3:]
+        text = " ".join([*rng.sample(words, 4), own, *rng.sample(words, 4), twin, *rng.sample(words, 3)])
+        rules, more = spans_of(text, field)
+        planted += 1
+        found += any(k == kind and v in twin for k, v in more)
+        wrong += sum(k != kind for k, _ in more)
+    print("planted", planted, "found", found, "of another kind", wrong)
+    assert found >= 0.9 * planted and wrong <= 0.02 * planted
+
+
+def test_a_lone_token_is_judged_alike_in_every_document(field):
+    for lone in ("10-0-0-25", "4111111111111112", "01715550123", "jo@localhost"):
+        alone = spans_of(f"text {lone} text", field)[1]
+        beside = spans_of(f"text {lone} text. And so on, then 5550123 and 5550123 again", field)[1]
+        assert alone == [] and not [x for x in beside if x[1] == lone]
+
+
+def test_numbers_are_no_personal_data(field):
+    for text in ("order 4111 of 1111 and 2222", "in 2019 and 2020, 1500 and 1500", "pages 10-12 and 10-12, section 3.1.2 and 3.1.2",
+                 "v1.2.3.400 and v1.2.3.400"):
+        assert spans_of(text, field) == [[], []], text
+
+
+def test_shape_reads_whole_tokens_and_any_bytes(spark):
+    assert pii_crf.shape("1" * 100 + "a") != pii_crf.shape("1" * 101)
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'ff61204040203132' AS STRING) AS text")
+    (row,) = pii_crf.personal_data(docs).collect()
+    assert row.spans == ""
+
+
 def test_personal_data_edges(edge, empty, edge_rows):
     got = pii_crf.personal_data(edge).collect()
     assert len(got) == len(edge_rows) and pii_crf.personal_data(empty).collect() == []
