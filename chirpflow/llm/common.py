@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, hadoop_fs, scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 MASK64 = (1 << 64) - 1
@@ -34,15 +34,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.  This cuts the
     lineage: a lost executor costs a re-read, not a re-computation."""
     spark = df.sparkSession
     path = scratch_path(ready(spark), "llm", name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> list[str]:
+    """The folders that ``write_once`` has made and nobody has freed."""
+    return list(_WRITTEN)
+
+
+def free(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of ``write_once`` that no DataFrame in use reads any more."""
+    for path in paths:
+        fs, folder = hadoop_fs(spark, path)
+        fs.delete(folder, True)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)``, the text as UTF-8 bytes; a NULL text stays NULL.
     Every other column is dropped, so clashing names cannot matter."""
