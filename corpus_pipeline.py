@@ -3,6 +3,11 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``.  All stages but
 the last return the columns of ``documents``.
+
+Edge cases, for every stage: an empty table gives an empty result with the same
+columns; repeated rows and equal or NULL ids are judged row by row; texts are read
+whole, however long; other columns pass unread, whatever their names.  What a NULL
+or empty text comes to is said at each stage.
 """
 
 from __future__ import annotations
@@ -16,29 +21,35 @@ from chirpflow.llm import langid, ngram_join, packing, pii_crf, quality
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (3)."""
+    """Documents that the quality classifier accepts (3).  A NULL or empty text is
+    scored by its statistics, which are all zero; without labelled rows the
+    classifier is a constant."""
     return quality.kept(docs, quality.fit(docs, C.table(spark, sf_dir, "labels")))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification does not reject (9)."""
+    """Documents that language identification does not reject (9).  A NULL text or
+    one without a letter has no language and goes."""
     return langid.kept(docs, train=docs.filter(C.fold(F.col("doc_id")) != 0))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (6)."""
+    """One document of each group of near duplicates (6): the least id, of equal
+    ids one row.  Texts without a word link with nothing, so each of them stays."""
     return ngram_join.one_of_each(docs)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data masked in every text (5); ``n_chars`` follows the text."""
+    """Personal data masked in every text (5); ``n_chars`` follows the text.  NULL
+    stays NULL, and every row stays."""
     out = pii_crf.masked(docs)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their token ids (1)."""
+    """Pieces of training sequences with their token ids (1).  A NULL or empty text
+    is the end id alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -50,8 +61,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = C.table(spark, sf_dir, "documents")
+    """All stages over ``documents``.  When a stage's result has been written, the
+    copies it made and the result before it are deleted; what the last stage reads
+    stays as long as its result may be computed."""
+    docs, before = C.table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = C.write_once(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        older = C.written()
+        result = C.write_once(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        *copies, own = [p for p in C.written() if p not in older]
+        C.free(spark, copies + before)
+        docs, before = result, [own]
     return STAGES[-1][1](spark, docs, sf_dir)
