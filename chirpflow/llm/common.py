@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -78,14 +80,25 @@ _KEPT: dict[str, Any] = {}
 
 def kept_by(owner: str, make: Callable[[], Any]) -> Any:
     """What a worker keeps between batches and tasks for one operator.  Workers
-    live on when another operator's tasks come; the first of these drops it, so
-    caches never add up."""
+    live on when another operator's tasks come; the first of these drops it and
+    gives the memory back, so neither caches nor free lists add up."""
     if owner not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[owner] = make()
     return _KEPT[owner]
 
 
+def give_back() -> None:
+    """Return what the allocators hold free to the operating system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Re-slice Arrow batches so that each holds about ``max_bytes`` of data and
     at least one row; the rows and their order stay as they are."""

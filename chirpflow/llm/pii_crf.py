@@ -43,6 +43,7 @@ EVIDENCE = 20.0          # log potential of a rule's own label
 LEAST_DIGITS = (0, 4, 13, 7)  # in a span of each kind
 ROUNDS, DAMPING = 12, 0.3
 SHAPES = 18
+BATCH_BYTES = 2 << 20    # of text; graphs and messages take several times as much
 SMOOTH = (0.1, 0.001)    # added to the counts of chain and skip pairs
 
 # The rules.  The possessive forms match what the plain ones do, in linear time.
@@ -244,7 +245,7 @@ def fit(docs: DataFrame) -> dict:
     """Potentials from the ``text`` of all documents.  Only counts of shapes and
     label pairs reach the driver (at most a few thousand numbers)."""
     counts = (docs.select("text")
-              .mapInArrow(C.per_batch(count_batch), "kind long, a long, b long, n long")
+              .mapInArrow(C.per_batch(count_batch, BATCH_BYTES), "kind long, a long, b long, n long")
               .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
     return fit_potentials([tuple(r) for r in counts.collect()])
 
@@ -337,7 +338,7 @@ def personal_data(docs: DataFrame, model: dict | None = None) -> DataFrame:
             [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests), pa.array(every),
              pa.array([sum(map(len, more)) for _, more in found], pa.int64())],
             names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
-    return rows.mapInArrow(C.per_batch(run), SCHEMA)
+    return rows.mapInArrow(C.per_batch(run, BATCH_BYTES), SCHEMA)
 
 
 def mask(text: str, rules: list[list[Span]], more: list[list[Span]]) -> str:
@@ -362,4 +363,4 @@ def masked(docs: DataFrame, text_col: str = "text", model: dict | None = None) -
         new = [None if t is None else mask(t, *f) if any(f[0]) or any(f[1]) else t for t, f in zip(data, found)]
         at = batch.schema.get_field_index(text_col)
         return batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-    return docs.mapInArrow(C.per_batch(run), docs.schema)
+    return docs.mapInArrow(C.per_batch(run, BATCH_BYTES), docs.schema)
