@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import filters as FL
 from .operators import models as M
 from .operators.features import get_profile
-from .session import get_session, input_bytes, tune_shuffle
+from .session import clear_scratch, get_session, input_bytes, tune_shuffle
 from .sources.files import read_csv_texts, read_json_texts
 from .sources.models import load_model
 from .streaming import jobs as S
@@ -80,7 +80,17 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
+    own = spark is None
     spark = spark or get_session()
+    try:
+        _run(args, spark)
+    finally:
+        if own:  # a session of the caller's may have scratch data in use
+            clear_scratch(spark)
+    return 0
+
+
+def _run(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.cmd == "train":
         pos = _read(spark, args.positive, args.format)
         neg = _read(spark, args.negative, args.format)
@@ -108,7 +118,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         source = spark.readStream.schema(spark.read.parquet(args.input).schema).parquet(args.input)
         S.collect_to_kafka(source, routes, args.servers, args.checkpoint,
                            unicode=not args.ascii).awaitTermination()
-    return 0
 
 
 if __name__ == "__main__":
