@@ -66,12 +66,14 @@ class WordEncoder:
         for own in lines:
             texts = [w.decode(errors="replace") for w in own]
             line = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.asarray(line.ids, "<u4")
-            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-            at = np.asarray(line.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.searchsorted(at, starts)
-            for w, a, b in zip(own, cuts, cuts[1:]):
-                out[w] = ids[a:b].tobytes()
+            ids, at = np.asarray(line.ids, "<u4").tobytes(), [a for a, _ in line.offsets]
+            at.append(1 << 62)
+            k, following = 0, 0
+            for w, text in zip(own, texts):
+                first, following = k, following + len(text) + 1
+                while at[k] < following:
+                    k += 1
+                out[w] = ids[4 * first:4 * k]
         return out
 
 
