@@ -39,9 +39,10 @@ class WordEncoder:
     normalization nor its merges reach across an ASCII white-space character,
     so a text's ids are its words' ids in order."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.cached_words = cached_words
         self.memo: dict[bytes, bytes] = {}
 
     def encode(self, data: list[bytes]) -> list[bytes]:
@@ -52,7 +53,7 @@ class WordEncoder:
         fresh = self.fresh(list({w for i in gaps for w, ids in zip(split[i], known[i]) if ids is None}))
         for i in gaps:
             known[i] = [fresh[w] if ids is None else ids for w, ids in zip(split[i], known[i])]
-        room = max(0, CACHED_WORDS - len(self.memo))
+        room = max(0, self.cached_words - len(self.memo))
         self.memo.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
         return [b"".join(ids) for ids in known]
 
@@ -77,17 +78,18 @@ class WordEncoder:
         return out
 
 
-def encoder(path: str) -> WordEncoder:
-    return C.kept_by(f"packing {path}", lambda: WordEncoder(path))
+def encoder(path: str, cached_words: int = CACHED_WORDS) -> WordEncoder:
+    return C.kept_by(f"packing {path} {cached_words}", lambda: WordEncoder(path, cached_words))
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
+              cached_words: int = CACHED_WORDS) -> DataFrame:
     """Pass 1: ``(part, local_start, doc_id, n, ids)``.  ``ids`` are little-endian
     and unsigned: 16 bits where the vocabulary allows it, else 32."""
     def run(batches):
         from pyspark import TaskContext
         part, at = TaskContext.get().partitionId(), 0
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, cached_words)
         narrow = enc.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         for batch in C.small_batches(batches, 2 << 20):
             ids = enc.encode([t or b"" for t in batch.column("text").to_pylist()])
@@ -122,15 +124,17 @@ def cut(batch: pa.RecordBatch, window: int, with_ids: bool) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,
-         with_ids: bool = True) -> DataFrame:
+         with_ids: bool = True, cached_words: int = CACHED_WORDS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` and, if asked for, ``ids`` (little-endian unsigned 32 bits).
 
+    ``cached_words`` bounds the memory of a worker's memo; the ids do not depend on it.
+
     The ids are written once to the shared folder, so the partition numbers that
     carry the offsets stay fixed whatever is recomputed later.  The prefix sum
     runs over one row per partition of the input, not over documents; that
     table (16 bytes per input partition) is the only thing broadcast."""
-    rows = C.write_once(tokenized(docs, tokenizer_path, end_id), "packed_ids")
+    rows = C.write_once(tokenized(docs, tokenizer_path, end_id, cached_words), "packed_ids")
     totals = rows.groupBy("part").agg(F.sum("n").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
