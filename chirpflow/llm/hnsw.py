@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 K, EVERY = 20, 20
-LINKS, BUILD_BEAM, SEARCH_BEAM = 16, 64, 96
-SHARDS, SHARD_ROWS = 1, 5_000     # at least so many shards, and at most about so many rows in one
+LINKS, BUILD_BEAM, SEARCH_BEAM = 32, 64, 128
+SHARDS, SHARD_ROWS = 1, 20_000    # at least so many shards, and at most about so many rows in one
+RELINKED = 512                     # points whose links are chosen anew at once; bounds memory only
 QUERY_BLOCK = 8192                 # queries one task holds
 
 
@@ -123,9 +124,9 @@ def _insert(base: np.ndarray, links: np.ndarray, new: np.ndarray, ids: np.ndarra
     starts = np.flatnonzero(np.r_[True, dst[1:] != dst[:-1]]) if len(dst) else np.zeros(0, np.int64)
     place = np.arange(len(dst)) - np.repeat(starts, np.diff(np.r_[starts, len(dst)]))
     points = dst[starts]
-    for a in range(0, len(points), 4096):
-        some = points[a:a + 4096]
-        inside = (dst >= some[0]) & (dst <= some[-1])
+    for a in range(0, len(points), RELINKED):
+        some = points[a:a + RELINKED]
+        inside = slice(*np.searchsorted(dst, [some[0], some[-1] + 1]))
         d, s, p = dst[inside], src[inside], place[inside]
         row = np.searchsorted(some, d)
         used = (links[some] >= 0).sum(1)
@@ -156,7 +157,7 @@ def build(base: np.ndarray, links: int = LINKS, beam: int = BUILD_BEAM, seed: in
     entry = order[:1]
     at = 1
     while at < n:
-        size = min(n - at, max(1, min(at, 1024)))
+        size = min(n - at, at // 8 + 1, 1024)  # a batch is small beside the graph that it is searched against
         new = order[at:at + size]
         near = np.repeat(entry[None, :], len(new), 0)
         for l in range(top, -1, -1):

@@ -47,6 +47,23 @@ def test_recall_and_order(spark):
     assert hits / (20 * len(got)) > 0.9
 
 
+def test_recall_in_one_graph():
+    base = hnsw._lifted(np.random.default_rng(5).normal(size=(6000, 64)), 16.0)
+    asked = np.arange(0, len(base), 50)
+    found = hnsw.search(base, hnsw.build(base), base[asked], hnsw.SEARCH_BEAM)
+    right = np.argsort(-(base[asked] @ base.T), 1, kind="stable")[:, :hnsw.K + 1]
+    shares = [len(set(f[:hnsw.K + 1]) & set(r)) / (hnsw.K + 1) for f, r in zip(found, right)]
+    assert np.mean(shares) >= 0.95
+
+
+def test_links_do_not_depend_on_how_many_points_are_relinked_at_once(monkeypatch):
+    base = hnsw._lifted(np.random.default_rng(6).normal(size=(700, 16)), 9.0)
+    whole = hnsw.build(base)
+    monkeypatch.setattr(hnsw, "RELINKED", 5)
+    parts = hnsw.build(base)
+    assert all((a == b).all() for a, b in zip(whole["layers"], parts["layers"], strict=True))
+
+
 def test_recall_by_id_with_a_third_of_rows_equal(spark, monkeypatch):
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(30, 24))
