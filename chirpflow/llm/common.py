@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -14,23 +13,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, hadoop_fs, scratch_path
+from ..session import hadoop_fs, ready, scratch_path
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 MASK64 = (1 << 64) - 1
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Name the shared folder and let Python workers import this package, also
-    when the driver's process was started from another folder."""
-    ensure_checkpoint_dir(spark)
-    env = spark.sparkContext.environment
-    known = [p for p in (env.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
-    if ROOT not in known:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *known])
-    return spark
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables under ``sf_dir`` (any file system Spark reads)."""
     return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import trees
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import save_model
 from .features import (
@@ -36,6 +37,10 @@ from .prepare import NEGATIVE, POSITIVE, class_frame, hash_split, known_labels,
 FIT_SETTING = "spark.chirpflow.fit.partitions"
 
 
+#: Fitted by ``trees.fit``: MLlib's own fit makes every vector as wide as the vocabulary.
+TREES = ("rf", "dt", "gbt")
+
+
 def classifier(name: str, label_col: str = "label"):
     """M5 (lr), M6 (nb) and the imported-but-unused tree models."""
     common = {"featuresCol": WEIGHTS, "labelCol": label_col}
@@ -92,7 +97,8 @@ def fit_models(train: DataFrame, profile: str | Profile = ENGLISH,
         fit_input = featurized.coalesce(int(parts)) if parts else featurized
         models = {}
         for name in names:
-            clf = classifier(name, label_col).fit(fit_input)
+            clf = classifier(name, label_col)
+            clf = trees.fit(clf, fit_input) if name in TREES else clf.fit(fit_input)
             models[name] = with_profile(PipelineModel(stages=[*token_stages, counts, idf, clf]), p)
         return models
     finally:
