@@ -18,8 +18,10 @@ several: first by document frequency, rarest first, then by two hash orders.
    its size and the largest partner size its position allows; postings without
    any possible partner in their list go.
 5. Each list is first compared with one leader (linear work).  Verified links
-   join lists into components; pairs across components that are left in a list
-   are then compared too, so no link between components is lost.
+   join lists into components.  Where a list still holds many pairs across
+   components, its rows are compared with a few others at a time, as long as that
+   joins components; the pairs across components that are left in a list are then
+   compared too, so no link between components is lost.
 6. A pair passes the other orders' prefix filters, then is verified on the sets.
 7. Components by alternating large-star and small-star rounds.
 
@@ -45,6 +47,7 @@ WORDS, THRESHOLD = 5, 75
 CACHED_WORDS = 150_000     # bounds memory only
 BLOCK_BYTES = 3 << 20      # of text; a block's arrays take several times as much
 HOT_CODE, SALTS = 80, 16   # postings of tokens in about a thousand documents or more are salted
+LEADERS, TURNS = 16, 6     # rows of a list that its others are compared with at once, and how often at most
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 ORDERS = (np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
@@ -243,13 +246,60 @@ def leader_pairs(posts: DataFrame) -> DataFrame:
     return pairs.select(F.col("lead.row").alias("a"), F.col("row").alias("b")).distinct()
 
 
-def crossing_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a list but no component."""
+def mixed_lists(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings, with their component, of lists that hold several components."""
     named = posts.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
-        "token", "row", "n", "most", F.coalesce("label", "row").alias("label"))
+        "token", "salt", "row", "n", "most", F.coalesce("label", "row").alias("label"))
     mixed = (named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
              .filter("low < high").select("token"))
-    left = named.join(mixed, "token", "left_semi")
+    return C.write_once(named.join(mixed, "token", "left_semi"), "join_mixed")
+
+
+def crossing_count(left: DataFrame) -> tuple[int, int]:
+    """The postings of mixed lists, and the pairs across components in them."""
+    own = left.groupBy("token", "label").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    lists = own.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    found = lists.agg(F.sum("k").alias("k"), (F.sum(F.col("k") * F.col("k") - F.col("same")) / 2).alias("pairs")).first()
+    return int(found.k or 0), int(found.pairs or 0)
+
+
+def sampled_pairs(left: DataFrame, turn: int) -> DataFrame:
+    """Each posting with up to ``LEADERS`` rows of its list in other components,
+    other ones at each turn: linear work."""
+    place = F.xxhash64("row", F.lit(turn))
+    lists = (left.groupBy("token", F.pmod(place, F.lit(LEADERS)).alias("seat"))
+             .agg(F.min(F.struct(place.alias("place"), "row", "n", "most", "label")).alias("lead"),
+                  F.max(F.col("salt") >= 0).alias("hot")))
+    hot = lists.groupBy("token").agg(F.max("hot").alias("hot"))
+    pairs = with_list(left, lists.drop("hot").join(hot, "token")).filter(
+        (F.col("lead.label") != F.col("label")) & (F.col("lead.n") <= F.col("most")) & (F.col("n") <= F.col("lead.most")))
+    return pairs.select(F.least("lead.row", "row").alias("a"), F.greatest("lead.row", "row").alias("b")).distinct()
+
+
+def merged(posts: DataFrame, links: DataFrame, classes: DataFrame,
+           threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links, components and the mixed lists that are left, when comparing with a few
+    rows of each list no longer joins components.  Rows of a large group of near
+    copies link with some of its rows only, so one leader leaves many of them apart,
+    and the pairs across components would grow with the square of the group."""
+    labels = components(links)
+    left = mixed_lists(posts, labels)
+    size, pairs = crossing_count(left)
+    for turn in range(TURNS):
+        if pairs <= LEADERS * size / 4:
+            break
+        found = verified(sampled_pairs(left, turn), classes, threshold)
+        links = links.union(found)
+        labels = components(links)
+        left = mixed_lists(left.drop("label"), labels)
+        before, (size, pairs) = pairs, crossing_count(left)
+        if pairs > 0.75 * before:
+            break
+    return links, labels, left
+
+
+def crossing_pairs(left: DataFrame) -> DataFrame:
+    """Pairs that share a list but no component."""
     right = left.select("token", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "most", "label")))
     pairs = left.join(right, (left["token"] == right["token"]) & (F.col("row") < F.col("row_b"))
                       & (F.col("label") != F.col("label_b")) & (F.col("n_b") <= F.col("most"))
@@ -329,8 +379,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                            .select("row", "n", "tokens", "codes"), "join_classes")
     posts = C.write_once(possible(postings(classes, threshold)), "join_postings")
     links = verified(leader_pairs(posts), classes, threshold)
-    labels = components(links)
-    more = verified(crossing_pairs(posts, labels), classes, threshold)
+    links, labels, left = merged(posts, links, classes, threshold)
+    more = verified(crossing_pairs(left), classes, threshold)
     labels = components(links.union(more))
     # Classes carry their smallest id; a component's id is the smallest of its classes'.
     grouped = (equal.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")

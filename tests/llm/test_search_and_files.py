@@ -341,3 +341,34 @@ def test_pipeline_returns_token_ids(spark, edge):
     import corpus_pipeline as P
     pieces = P.packing_stage(spark, edge, None).collect()
     assert pieces and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in pieces)
+
+
+def test_a_large_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Near copies of which each links with some others only: one leader for a list
+    leaves most of them apart."""
+    rng, rows = np.random.default_rng(4), []
+    base = [f"w{i}" for i in range(150)]
+    for i in range(400):
+        words = list(base)
+        for at in rng.choice(150, rng.integers(1, 4), replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(400 + i, f"alone {i} " + " ".join(f"t{i}_{j}" for j in range(9))) for i in range(20)]
+    sets = [set(ngram_join.shingles(t.encode()).tolist()) for _, t in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    compared, verify = [], ngram_join.verified
+
+    def counted(pairs, classes, threshold):
+        compared.append(pairs.count())
+        return verify(pairs, classes, threshold)
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    monkeypatch.setattr(ngram_join, "HOT_CODE", 20)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == list(enumerate(label)) and len(set(label)) < 60
+    assert sum(compared) < 20_000, compared  # 79,800 pairs
