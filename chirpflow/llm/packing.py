@@ -15,7 +15,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import string
 import zlib
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +46,25 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cached_words = cached_words
         self.memo: dict[bytes, bytes] = {}
+        normalizer, letters = self.tokenizer.normalizer, string.ascii_uppercase
+        marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Whether the case of ASCII texts without a special token's mark is lost anyway.
+        self.lowers = (normalizer is not None and normalizer.normalize_str(letters) == letters.lower()
+                       and all("<|" in m for m in marks))
 
     def encode(self, data: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in data]
-        known = [list(map(self.memo.get, words)) for words in split]
-        gaps = [i for i, ids in enumerate(known) if None in ids]
-        fresh = self.fresh(list({w for i in gaps for w, ids in zip(split[i], known[i]) if ids is None}))
+        split = [(t.lower() if self.lowers and t.isascii() and b"<|" not in t else t).split() for t in data]
+        words = list(chain.from_iterable(split))
+        known = list(map(self.memo.get, words))
+        gaps = [i for i, ids in enumerate(known) if ids is None]
+        fresh = self.fresh(list({words[i] for i in gaps}))
         for i in gaps:
-            known[i] = [fresh[w] if ids is None else ids for w, ids in zip(split[i], known[i])]
+            known[i] = fresh[words[i]]
         room = max(0, self.cached_words - len(self.memo))
         self.memo.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
-        return [b"".join(ids) for ids in known]
+        ends = list(accumulate(map(len, split)))
+        return [b"".join(known[a:b]) for a, b in zip([0, *ends], ends)]
 
     def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct words, a line of ``LINE_WORDS`` words at a time: a token's
@@ -68,13 +77,9 @@ class WordEncoder:
             texts = [w.decode(errors="replace") for w in own]
             line = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ids, at = np.asarray(line.ids, "<u4").tobytes(), [a for a, _ in line.offsets]
-            at.append(1 << 62)
-            k, following = 0, 0
-            for w, text in zip(own, texts):
-                first, following = k, following + len(text) + 1
-                while at[k] < following:
-                    k += 1
-                out[w] = ids[4 * first:4 * k]
+            following = np.cumsum([len(text) + 1 for text in texts])
+            ends = (4 * np.searchsorted(np.asarray(at, np.int64), following)).tolist()
+            out.update(zip(own, [ids[a:b] for a, b in zip([0, *ends], ends)]))
         return out
 
 

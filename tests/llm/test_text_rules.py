@@ -301,3 +301,16 @@ def test_bpe_on_any_text():
     holds()
     long = "abcdefgh" * 200
     assert bpe.contract(long.encode(), own.ranks) == enc.encode_ordinary(long)
+
+
+def test_case_of_ascii_texts_costs_no_second_spelling():
+    """Spellings that the tokenizer lower-cases anyway are one entry of the memo; marks of
+    special tokens and other alphabets keep their case."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = packing.WordEncoder(path)
+    own.encode([b"Tail tail TAIL taiL", b"", b"tail"])
+    assert set(own.memo) == {b"tail"}
+    texts = ["The END the end", "<|STARTOFTEXT|> A a <|startoftext|>x", "T\u0308 t\u0308 I\u0307 i\u0307 \u212aelvin K", "It'S IT's", ""]
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts])] == want
